@@ -89,12 +89,14 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     cov = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
     vx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
     vy = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
-    r = F.when((F.col("n") > 1) & (vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
+    ok = (F.col("n") > 1) & (vx > 0) & (vy > 0)
+    # greatest/least skip NULL, so the clamp sits inside the guard
+    r = F.when(ok, F.least(F.greatest(cov / F.sqrt(vx * vy), F.lit(-1.0)), F.lit(1.0)))
     lookup = F.array(*[F.lit(c) for c in cols])
     return s.select("i", "j", F.element_at(lookup, F.col("i") + 1).alias("feature_a"),
                     F.element_at(lookup, F.col("j") + 1).alias("feature_b"),
                     F.col("n").cast("long").alias("n"),
-                    F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)).alias("r"))
+                    r.alias("r"))
 
 
 def correlation_prune(pairs: DataFrame, threshold: float) -> DataFrame:

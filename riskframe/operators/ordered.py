@@ -22,8 +22,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Groups whose cut-point table is broadcast; above this the cut points are
-# joined with a shuffle instead.
+# Groups whose cut-point table is broadcast by hint; above this, or when the
+# group count is unknown, a plain join lets AQE choose broadcast from the
+# measured size at run time (spark.sql.adaptive.autoBroadcastJoinThreshold).
 BROADCAST_GROUPS = 20000
 
 
@@ -52,8 +53,8 @@ def cumulative_before(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     only break ties inside a bucket (equal ``order[0]`` values always share a
     bucket).  Rows equal in every order column are *not* separated: feed
     distinct (group, value) rows for tie-aware statistics.
-    ``groups_hint`` bounds the number of groups (keys); when unknown it is
-    counted, which is a cheap aggregate.
+    ``groups_hint`` bounds the number of groups (keys); when it is unknown no
+    broadcast is forced and AQE decides from the materialised size.
     """
     keys, order, weights = list(keys), list(order), list(weights)
     original = list(df.columns)
@@ -70,12 +71,12 @@ def cumulative_before(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         cuts = df.groupBy(*keys).agg(
             F.percentile_approx(v.cast("double"), probs, accuracy).alias("_cuts"))
         cuts = cuts.select(*keys, F.array_distinct("_cuts").alias("_cuts"))
-        n_groups = groups_hint if groups_hint is not None else cuts.count()
+        n_groups = groups_hint
         x = _join_small(df, cuts, keys, "inner", n_groups)
         x = x.withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < v.cast("double"))))
         x = x.drop("_cuts")
     else:
-        n_groups = groups_hint if groups_hint is not None else 1
+        n_groups = groups_hint
         x = df.withColumn("_bucket", F.lit(0))
 
     # per-bucket totals: one row per (group, bucket) -> offsets by a small window

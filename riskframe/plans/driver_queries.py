@@ -2,8 +2,8 @@
 
 Each function takes (spark, sf_dir) and returns a DataFrame whose column
 names equal those of the matching SQL in :mod:`riskframe.plans.oracle`.
-Computed doubles are snapped to a 2**-20 grid (:func:`snap`) so that a
-value hash ignores summation order.  Every query reads whole tables.
+Computed doubles are snapped to 36 significant bits (:func:`snap`) so that
+a value hash ignores summation order.  Every query reads whole tables.
 """
 
 from __future__ import annotations
@@ -27,17 +27,19 @@ LI_FEATURES = ["l_quantity", "l_price_m", "l_discount", "l_tax"]
 SCORE_COLS = ["discount_score", "tax_score", "quantity_score"]
 
 
-def snap(c, bits: int = 20):
-    """Round to a multiple of 2**-bits.  Decimal-valued data often lands exactly
-    on a decimal half-way point (a mean of 0.0499185), where two engines'
-    last-ulp differences round apart; dyadic grid points are never such ties.
-    ``+ 0.0`` folds -0.0 into 0.0."""
-    scale = float(2 ** bits)
-    return F.round(c * F.lit(scale)) / F.lit(scale) + F.lit(0.0)
+def snap(c, bits: int = 36, floor_exp: int = -40):
+    """Round to ``bits`` significant bits (and to a multiple of 2**floor_exp near
+    zero).  Two engines' results differ in the last ulps with summation order,
+    and decimal-valued data often lands exactly on a decimal half-way point (a
+    mean of 0.0499185) where those ulps round apart; a binary grid relative to
+    the magnitude has no such ties.  ``+ 0.0`` folds -0.0 into 0.0."""
+    q = F.greatest(F.pow(F.lit(2.0), F.floor(F.log2(F.abs(c))) - F.lit(bits)),
+                   F.lit(2.0 ** floor_exp))
+    return F.when(c == 0, F.lit(0.0)).otherwise(F.round(c / q) * q) + F.lit(0.0)
 
 
-def round_doubles(df: DataFrame, bits: int = 20, skip: tuple[str, ...] = ()) -> DataFrame:
-    return df.select(*[snap(F.col(f"`{f.name}`"), bits).alias(f.name)
+def round_doubles(df: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
+    return df.select(*[snap(F.col(f"`{f.name}`")).alias(f.name)
                        if isinstance(f.dataType, (DoubleType, FloatType)) and f.name not in skip
                        else F.col(f"`{f.name}`") for f in df.schema.fields])
 
@@ -207,8 +209,7 @@ def q_binary_column_check(spark, sf):
 def q_class_histogram(spark, sf):
     li = derived(spark, sf, LINEITEM_MISSING)
     h = profile.class_histogram(li, "l_price_m", "is_r", bins=40)
-    return round_doubles(round_doubles(h, 40, skip=("bin_start", "bin_end", "count")), 20,
-                         skip=("density",))
+    return round_doubles(h)
 
 
 def q_correlation_matrix(spark, sf):
@@ -371,3 +372,64 @@ def q_standard_scale(spark, sf):
     li = derived(spark, sf, LINEITEM_MISSING)
     s = encode.StandardScaler.fit(li, WINSOR_COLS)
     return round_doubles(s.transform(li).select("l_orderkey", "l_linenumber", *WINSOR_COLS))
+
+
+# ---- 2.K / 2.L results and reports ---------------------------------------------------
+# "Models" are the three score columns of LINEITEM_SCORES, evaluated on a stratified
+# 80/20 split of all lineitem rows (id = order-line-part-supplier, which is unique) with
+# per-fold CV metrics on the training rows: a results table computed from data.
+
+def score_results(spark, sf) -> DataFrame:
+    from riskframe.operators import report
+    s = derived(spark, sf, LINEITEM_SCORES).withColumn(
+        "row_id", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    split = sampling.stratified_split(s, "row_id", "y", 0.2, 5, 42)
+    from riskframe.operators.longform import to_long
+    lf = to_long(split, SCORE_COLS, keep=["y", "is_test", "fold"], feature="model", value="score")
+    test = lf.where(F.col("is_test") == 1).select("model", "score", "y")
+    t_rank = curves.ranking_metrics(test, groups_hint=3)
+    t_conf = curves.confusion_metrics(test, 0.5)
+    test_m = t_rank.join(t_conf, "model")
+    cv = lf.where(F.col("is_test") == 0).select(
+        F.concat_ws("|", "model", F.col("fold").cast("string")).alias("model"), "score", "y")
+    c_rank = curves.ranking_metrics(cv, groups_hint=15)
+    c_conf = curves.confusion_metrics(cv, 0.5)
+    folds = c_rank.join(c_conf, "model").select(
+        F.split("model", r"\|")[0].alias("model"),
+        F.split("model", r"\|")[1].cast("int").alias("fold"), "roc_auc", "f1")
+    return report.results_long(test_m, folds)
+
+
+def q_results_table(spark, sf):
+    return round_doubles(score_results(spark, sf))
+
+
+def q_comparison_table(spark, sf):
+    from riskframe.operators import report
+    return round_doubles(report.comparison_table(score_results(spark, sf), digits=None))
+
+
+def q_model_selection(spark, sf):
+    from riskframe.operators import report
+    r = report.rank_models(report.selection_scores(score_results(spark, sf)))
+    return round_doubles(r.select("model", "weighted_score", "rank", "selected"))
+
+
+def q_score_contributions(spark, sf):
+    from riskframe.operators import report
+    return round_doubles(report.score_contributions(score_results(spark, sf)))
+
+
+def q_runner_up_margin(spark, sf):
+    from riskframe.operators import report
+    return round_doubles(report.runner_up_margin(score_results(spark, sf)))
+
+
+def q_metric_leaderboard(spark, sf):
+    from riskframe.operators import report
+    return round_doubles(report.leaderboard(score_results(spark, sf), "test_pr_auc"))
+
+
+def q_screening_quadrant(spark, sf):
+    from riskframe.operators import report
+    return round_doubles(report.screening_quadrant(score_results(spark, sf)))

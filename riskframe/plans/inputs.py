@@ -49,7 +49,7 @@ CUSTOMER_SENTINEL = ("customer", """
     CASE WHEN c_custkey % 5 = 0 THEN 365243 ELSE -30 * c_nationkey END AS DAYS_EMPLOYED""")
 
 LINEITEM_SCORES = ("lineitem", """
-    l_orderkey, l_linenumber,
+    l_orderkey, l_linenumber, l_partkey, l_suppkey,
     CAST(l_returnflag = 'R' AS INT) AS y,
     l_discount * 10 AS discount_score,
     l_tax * CAST(12.5 AS DOUBLE) AS tax_score,

@@ -25,9 +25,10 @@ PLACEHOLDERS = "('', 'NA', 'N/A', 'None', 'null')"
 LI = ["l_quantity", "l_price_m", "l_discount", "l_tax"]
 
 
-def _r(e: str, bits: int = 20) -> str:
-    # snap to a multiple of 2**-bits, as the Spark side does; + 0.0 folds -0.0
-    return f"(round(({e}) * {float(2 ** bits)}) / {float(2 ** bits)} + 0.0)"
+def _r(e: str, bits: int = 36, floor_exp: int = -40) -> str:
+    # 36 significant bits, 2**-40 near zero, as the Spark side's snap(); + 0.0 folds -0.0
+    q = f"greatest(pow(2.0, floor(log2(abs({e}))) - {bits}), pow(2.0, {floor_exp}))"
+    return f"(CASE WHEN ({e}) = 0 THEN 0.0 ELSE round(({e}) / {q}) * {q} END + 0.0)"
 
 
 def _clean_priority(col: str = "o_orderpriority") -> str:
@@ -293,7 +294,7 @@ b AS (SELECT c.target, CAST(CASE WHEN (hi - lo) / 40 > 0
 h AS (SELECT target, bin, lo, hi, n_class, count(*) AS count FROM b GROUP BY ALL),
 w AS (SELECT *, CASE WHEN hi > lo THEN (hi - lo) / 40 ELSE 1.0 END AS width FROM h)
 SELECT target, bin, {_r("lo + bin * width")} AS bin_start, {_r("lo + (bin + 1) * width")} AS bin_end,
-       count, {_r("count / (n_class * width)", 40)} AS density FROM w"""
+       count, {_r("count / (n_class * width)")} AS density FROM w"""
 
 
 def _pairs(cols: list[str]) -> list[tuple[int, int]]:
@@ -482,3 +483,103 @@ WITH li AS ({sql_from(LINEITEM_MISSING)}),
 m AS (SELECT {", ".join(f"avg({c}) AS {c}_m, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS {c}_s" for c in _W)} FROM li)
 SELECT l_orderkey, l_linenumber, {", ".join(_r(f"({c} - {c}_m) / {c}_s") + f" AS {c}" for c in _W)}, is_r
 FROM li, m"""
+
+# ---- results table from score "models" on a stratified split of lineitem -------------
+_RESULTS = f"""
+s AS (SELECT *, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_id
+      FROM ({sql_from(LINEITEM_SCORES)})),
+p AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {_HASH.format(id="row_id")}, row_id) - 1 AS pos,
+             count(*) OVER (PARTITION BY y) AS n_class FROM s),
+sp AS (SELECT *, CAST(pos < floor(n_class * 0.2 + 0.5) AS INT) AS is_test,
+              CASE WHEN pos >= floor(n_class * 0.2 + 0.5) THEN (pos - floor(n_class * 0.2 + 0.5)) % 5 END AS fold
+       FROM p),
+l AS (SELECT 'discount_score' AS model, discount_score AS score, y, is_test, fold FROM sp
+      UNION ALL SELECT 'tax_score', tax_score, y, is_test, fold FROM sp
+      UNION ALL SELECT 'quantity_score', quantity_score, y, is_test, fold FROM sp),
+g AS (SELECT model, CASE WHEN is_test = 1 THEN -1 ELSE fold END AS grp, score, y FROM l),
+v AS (SELECT model, grp, score, sum(CASE WHEN y = 0 THEN 1 ELSE 0 END) AS n0, sum(y) AS n1
+      FROM g GROUP BY ALL),
+t AS (SELECT *, sum(n1) OVER w AS tp, sum(n0) OVER w AS fp,
+             sum(n1) OVER (PARTITION BY model, grp) AS P, sum(n0) OVER (PARTITION BY model, grp) AS N,
+             coalesce(sum(n0) OVER (PARTITION BY model, grp ORDER BY score
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n0_before
+      FROM v WINDOW w AS (PARTITION BY model, grp ORDER BY score DESC
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+rk AS (SELECT model, grp, sum(n1 * (n0_before + n0 / 2.0)) / (any_value(P) * any_value(N)) AS auc,
+              sum(CASE WHEN n1 > 0 THEN n1 * tp / (tp + fp) ELSE 0 END) / any_value(P) AS ap
+       FROM t GROUP BY model, grp),
+cf AS (SELECT model, grp,
+              sum(CASE WHEN score > 0.5 AND y = 1 THEN 1 ELSE 0 END) AS tp,
+              sum(CASE WHEN score > 0.5 AND y = 0 THEN 1 ELSE 0 END) AS fp,
+              sum(CASE WHEN NOT score > 0.5 AND y = 1 THEN 1 ELSE 0 END) AS fn
+       FROM g GROUP BY model, grp),
+m AS (SELECT rk.model, rk.grp, rk.auc, rk.ap,
+             coalesce(cf.tp / NULLIF(cf.tp + cf.fp, 0), 0.0) AS prec,
+             coalesce(cf.tp / NULLIF(cf.tp + cf.fn, 0), 0.0) AS rec,
+             coalesce(2.0 * cf.tp / NULLIF(2 * cf.tp + cf.fp + cf.fn, 0), 0.0) AS f1
+      FROM rk JOIN cf ON rk.model = cf.model AND rk.grp = cf.grp),
+res AS (
+  SELECT model, 'test' AS stage, 'test_auc' AS metric, auc AS value FROM m WHERE grp = -1
+  UNION ALL SELECT model, 'test', 'test_pr_auc', ap FROM m WHERE grp = -1
+  UNION ALL SELECT model, 'test', 'test_f1', f1 FROM m WHERE grp = -1
+  UNION ALL SELECT model, 'test', 'test_precision', prec FROM m WHERE grp = -1
+  UNION ALL SELECT model, 'test', 'test_recall', rec FROM m WHERE grp = -1
+  UNION ALL SELECT model, 'cv', 'cv_auc_mean', avg(auc) FROM m WHERE grp >= 0 GROUP BY model
+  UNION ALL SELECT model, 'cv', 'cv_auc_std', stddev_pop(auc) FROM m WHERE grp >= 0 GROUP BY model
+  UNION ALL SELECT model, 'cv', 'cv_f1_mean', avg(f1) FROM m WHERE grp >= 0 GROUP BY model
+  UNION ALL SELECT model, 'cv', 'cv_f1_std', stddev_pop(f1) FROM m WHERE grp >= 0 GROUP BY model),
+wide AS (SELECT model,
+    any_value(CASE WHEN metric = 'test_auc' THEN value END) AS test_auc,
+    any_value(CASE WHEN metric = 'test_pr_auc' THEN value END) AS test_pr_auc,
+    any_value(CASE WHEN metric = 'test_f1' THEN value END) AS test_f1,
+    any_value(CASE WHEN metric = 'test_precision' THEN value END) AS test_precision,
+    any_value(CASE WHEN metric = 'test_recall' THEN value END) AS test_recall,
+    any_value(CASE WHEN metric = 'cv_auc_mean' THEN value END) AS cv_auc_mean,
+    any_value(CASE WHEN metric = 'cv_auc_std' THEN value END) AS cv_auc_std,
+    any_value(CASE WHEN metric = 'cv_f1_mean' THEN value END) AS cv_f1_mean,
+    any_value(CASE WHEN metric = 'cv_f1_std' THEN value END) AS cv_f1_std
+  FROM res GROUP BY model),
+sc AS (SELECT *, 0.6 * test_auc AS contrib_test_auc, 0.2 * coalesce(cv_auc_mean, test_auc) AS contrib_cv_auc,
+              0.2 * test_pr_auc AS contrib_pr_auc FROM wide),
+sc2 AS (SELECT *, contrib_test_auc + contrib_cv_auc + contrib_pr_auc AS weighted_score FROM sc),
+rnk AS (SELECT *, row_number() OVER (ORDER BY weighted_score DESC, model) AS rank FROM sc2)"""
+
+SQL["results_table"] = f"""
+WITH {_RESULTS}
+SELECT model, stage, metric, {_r("value")} AS value FROM res"""
+
+SQL["comparison_table"] = f"""
+WITH {_RESULTS}
+SELECT model, {", ".join(_r(c) + " AS " + c for c in ["cv_auc_mean", "cv_auc_std", "cv_f1_mean", "cv_f1_std",
+                                                   "test_auc", "test_pr_auc", "test_f1", "test_precision",
+                                                   "test_recall", "weighted_score"])},
+       CAST(rank AS INT) AS rank, CASE WHEN rank = 1 THEN 'Selected' ELSE 'Other' END AS selected
+FROM rnk"""
+
+SQL["model_selection"] = f"""
+WITH {_RESULTS}
+SELECT model, {_r("weighted_score")} AS weighted_score, CAST(rank AS INT) AS rank,
+       CASE WHEN rank = 1 THEN 'Selected' ELSE 'Other' END AS selected FROM rnk"""
+
+SQL["score_contributions"] = f"""
+WITH {_RESULTS}
+SELECT model, 'contrib_test_auc' AS component, {_r("contrib_test_auc")} AS contribution FROM sc2
+UNION ALL SELECT model, 'contrib_cv_auc', {_r("contrib_cv_auc")} FROM sc2
+UNION ALL SELECT model, 'contrib_pr_auc', {_r("contrib_pr_auc")} FROM sc2"""
+
+SQL["runner_up_margin"] = f"""
+WITH {_RESULTS},
+nx AS (SELECT *, lead(model) OVER (ORDER BY rank) AS runner_up,
+              lead(weighted_score) OVER (ORDER BY rank) AS nxt FROM rnk)
+SELECT model AS best, runner_up, {_r("weighted_score - nxt")} AS margin FROM nx WHERE rank = 1"""
+
+SQL["metric_leaderboard"] = f"""
+WITH {_RESULTS}
+SELECT model, {_r("test_pr_auc")} AS value,
+       CAST(row_number() OVER (ORDER BY test_pr_auc DESC, model) AS INT) AS position FROM wide"""
+
+SQL["screening_quadrant"] = f"""
+WITH {_RESULTS}
+SELECT model, {_r("test_recall")} AS recall, {_r("test_precision")} AS precision,
+       CAST(test_recall >= 0.65 AS INT) AS meets_recall,
+       CAST(test_precision >= 0.17 AS INT) AS meets_precision FROM wide"""

@@ -52,6 +52,13 @@ QUERIES = {
     "encode_categoricals": dq.q_encode_categoricals,
     "winsorize": dq.q_winsorize,
     "standard_scale": dq.q_standard_scale,
+    "results_table": dq.q_results_table,
+    "comparison_table": dq.q_comparison_table,
+    "model_selection": dq.q_model_selection,
+    "score_contributions": dq.q_score_contributions,
+    "runner_up_margin": dq.q_runner_up_margin,
+    "metric_leaderboard": dq.q_metric_leaderboard,
+    "screening_quadrant": dq.q_screening_quadrant,
 }
 
 
