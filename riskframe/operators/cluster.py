@@ -9,6 +9,7 @@ whole-stage codegen.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 from pyspark.ml.clustering import KMeans
@@ -48,19 +49,27 @@ def project(df: DataFrame, cols: Sequence[str], loadings: np.ndarray, prefix: st
     return df.select("*", *outs)
 
 
+def _best_kmeans(data: DataFrame, k: int, restarts: int, seed: int, max_iter: int,
+                 parallelism: int = 4):
+    """Least-inertia model of ``restarts`` seeded runs.  The runs are independent
+    Spark jobs submitted from a few driver threads (like CrossValidator's
+    ``parallelism``), so small fits overlap instead of queueing."""
+    def fit(r):
+        model = KMeans(k=k, seed=seed + r, maxIter=max_iter, initMode="k-means||").fit(data)
+        return r, model, model.summary.trainingCost
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        runs = sorted(pool.map(fit, range(restarts)), key=lambda t: (t[2], t[0]))
+    _, model, cost = runs[0]
+    return model, cost
+
+
 def kmeans_fit(df: DataFrame, cols: Sequence[str], k: int = KMEANS_K,
                restarts: int = KMEANS_RESTARTS, seed: int = SEED, max_iter: int = 300
                ) -> tuple[list[list[float]], float]:
     """Best of ``restarts`` k-means runs (least inertia).  Centres are returned
     ordered by cluster size, largest first, so cluster ids are stable."""
     data = _vectors(df, cols).select("features").cache()
-    best = None
-    for r in range(restarts):
-        model = KMeans(k=k, seed=seed + r, maxIter=max_iter, initMode="k-means||").fit(data)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (model, cost)
-    model, cost = best
+    model, cost = _best_kmeans(data, k, restarts, seed, max_iter)
     sizes = model.summary.clusterSizes
     order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
     centres = [list(map(float, model.clusterCenters()[i])) for i in order]
@@ -96,21 +105,20 @@ def assign_clusters(df: DataFrame, cols: Sequence[str], centres: Sequence[Sequen
 
 
 def kmeans_k_selection(df: DataFrame, cols: Sequence[str], k_range=KMEANS_K_RANGE,
-                       restarts: int = KMEANS_RESTARTS, seed: int = SEED) -> list[dict]:
+                       restarts: int = KMEANS_RESTARTS, seed: int = SEED,
+                       max_iter: int = 300) -> list[dict]:
     """Inertia and silhouette for each k (J6).  The silhouette is MLlib's
     exact squared-Euclidean one over all rows, computed from per-cluster
-    aggregates (no row pairs)."""
+    aggregates (no row pairs); the reference's Euclidean silhouette on a
+    5,000-row sample would need all pairs."""
     rows = []
-    vec = _vectors(df, cols).select("features").cache()
+    data = _vectors(df, cols).select("features").cache()
     for k in range(k_range[0], k_range[1] + 1):
-        centres, cost = kmeans_fit(df, cols, k, restarts, seed)
-        assigned = assign_clusters(df.select(*cols), cols, centres, "prediction")
-        assigned = _vectors(assigned, cols)
+        model, cost = _best_kmeans(data, k, restarts, seed, max_iter)
         sil = ClusteringEvaluator(featuresCol="features", predictionCol="prediction",
-                                  distanceMeasure="squaredEuclidean").evaluate(assigned) \
-            if len(centres) > 1 else None
-        rows.append({"k": k, "inertia": cost, "silhouette_score": sil})
-    vec.unpersist()
+                                  distanceMeasure="squaredEuclidean").evaluate(model.transform(data))
+        rows.append({"k": k, "inertia": float(cost), "silhouette_score": float(sil)})
+    data.unpersist()
     return rows
 
 

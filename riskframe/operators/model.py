@@ -80,7 +80,12 @@ def assemble(df: DataFrame, features: Sequence[str], target: str, keep: Sequence
 
 def fit_score(spec: ModelSpec, train: DataFrame, test: DataFrame, features: Sequence[str],
               target: str, id_col: str):
-    """Fit on ``train``; return (model, scored test rows (id, y, score))."""
+    """Fit on ``train``; return (model, scored test rows (id, y, score)).
+    Remaining missing feature values get the training medians first (B20)."""
+    from riskframe.operators.clean import MedianImputer
+    imputer = MedianImputer.fit(train, list(features))
+    imputer.medians = {k: (v if v is not None else 0.0) for k, v in imputer.medians.items()}
+    train, test = imputer.transform(train), imputer.transform(test)
     tr = with_weights(assemble(train, features, target, [id_col]), "label", spec.weight_scheme)
     n = tr.count()
     model = spec.build(n).fit(tr)

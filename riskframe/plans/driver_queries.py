@@ -433,3 +433,102 @@ def q_metric_leaderboard(spark, sf):
 def q_screening_quadrant(spark, sf):
     from riskframe.operators import report
     return round_doubles(report.screening_quadrant(score_results(spark, sf)))
+
+
+# ---- 2.J / 2.K fitted models (no SQL oracle: iterative fits) --------------------------
+
+EMBED_DIMS = 64
+
+
+def _embedding_columns(spark, sf) -> tuple[DataFrame, list[str]]:
+    e = table(spark, sf, "embeddings")
+    names = [f"e{i:02d}" for i in range(EMBED_DIMS)]
+    return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(n)
+                                         for i, n in enumerate(names)]), names
+
+
+_PROJECTIONS: dict = {}
+
+
+def _projection(spark, sf):
+    from riskframe.plans.explore import fit_projection
+    key = (id(spark), sf)
+    if key not in _PROJECTIONS:
+        e, names = _embedding_columns(spark, sf)
+        _PROJECTIONS[key] = (fit_projection(e, names, "vec_id"), e)
+    return _PROJECTIONS[key]
+
+
+def q_pca_project(spark, sf):
+    proj, e = _projection(spark, sf)
+    return proj.transform(e, "vec_id").select("vec_id", "PCA_1", "PCA_2")
+
+
+def q_kmeans_assign(spark, sf):
+    proj, e = _projection(spark, sf)
+    return proj.transform(e, "vec_id").select("vec_id", "CLUSTER_ID", "DIST_TO_CLUSTER_0",
+                                              "DIST_TO_CLUSTER_1", "DIST_TO_CLUSTER_2")
+
+
+def q_unsupervised_summary(spark, sf):
+    """Sample size, variance shares, k-means inertia and cluster sizes."""
+    proj, e = _projection(spark, sf)
+    scored = proj.transform(e, "vec_id")
+    sizes = scored.groupBy("CLUSTER_ID").count().orderBy("CLUSTER_ID").collect()   # k rows
+    rows = [("pca_explained_pc1", float(proj.explained[0])),
+            ("pca_explained_pc2", float(proj.explained[1])),
+            ("pca_explained_total", float(sum(proj.explained[:2]))),
+            ("kmeans_inertia", float(proj.inertia)),
+            ("n_features", float(len(proj.features)))]
+    rows += [(f"cluster_{r['CLUSTER_ID']}_rows", float(r["count"])) for r in sizes]
+    return spark.createDataFrame(rows, "metric string, value double")
+
+
+def q_kmeans_k_selection(spark, sf):
+    from riskframe.operators.cluster import kmeans_k_selection
+    proj, e = _projection(spark, sf)
+    x, names = proj.prepare(e)
+    rows = kmeans_k_selection(x.select(*names), names)
+    return spark.createDataFrame([(r["k"], float(r["inertia"]), r["silhouette_score"]) for r in rows],
+                                 "k int, inertia double, silhouette_score double")
+
+
+_RUNS: dict = {}
+# The registered model queries keep the reference's model settings except the
+# boosted model's iteration count (300 in the library default), trimmed so the
+# check finishes in about a minute on one machine; CV runs for the linear model.
+QUERY_BOOST_ITER = 30
+
+
+def _model_run(spark, sf):
+    from riskframe.operators.model import default_models
+    from riskframe.plans.modeling import run_models
+    key = (id(spark), sf)
+    if key not in _RUNS:
+        _RUNS[key] = run_models(applicants(spark, sf), TableSpec(),
+                                default_models(boost_iter=QUERY_BOOST_ITER),
+                                cv_models=["Logistic Regression"])
+    return _RUNS[key]
+
+
+def q_model_results(spark, sf):
+    return _model_run(spark, sf).results
+
+
+def q_model_comparison(spark, sf):
+    return _model_run(spark, sf).comparison
+
+
+def q_top_importances(spark, sf):
+    from riskframe.operators.report import top_importances
+    return top_importances(_model_run(spark, sf).importances, 30)
+
+
+def q_selected_features(spark, sf):
+    plan = _model_run(spark, sf).plan
+    rows = [(f, i) for i, f in enumerate(plan.kept)]
+    return spark.createDataFrame(rows, "feature string, position int")
+
+
+def q_feature_log(spark, sf):
+    return _model_run(spark, sf).plan.log_frame(spark)

@@ -59,6 +59,15 @@ QUERIES = {
     "runner_up_margin": dq.q_runner_up_margin,
     "metric_leaderboard": dq.q_metric_leaderboard,
     "screening_quadrant": dq.q_screening_quadrant,
+    "pca_project": dq.q_pca_project,
+    "kmeans_assign": dq.q_kmeans_assign,
+    "unsupervised_summary": dq.q_unsupervised_summary,
+    "kmeans_k_selection": dq.q_kmeans_k_selection,
+    "model_results": dq.q_model_results,
+    "model_comparison": dq.q_model_comparison,
+    "top_importances": dq.q_top_importances,
+    "selected_features": dq.q_selected_features,
+    "feature_log": dq.q_feature_log,
 }
 
 
