@@ -143,42 +143,70 @@ def non_finite_columns_to_null(df: DataFrame, cols: Sequence[str] | None = None)
 
 
 def clean_table(df: DataFrame, name: str, spec: TableSpec | None = None,
-                text_fill: str = TEXT_FILL) -> tuple[DataFrame, dict]:
+                text_fill: str = TEXT_FILL, materialize: bool = True) -> tuple[DataFrame, dict]:
     """B1 -> B3 -> B2 -> B4 -> B5 -> B6, with the cleaning log.
 
+    Passes over the data: one aggregate on the raw table (rows, missing
+    cells); the de-duplicated, placeholder-normalised table is written once to
+    the shared checkpoint folder (``materialize``); one aggregate on it (rows,
+    missing per column, parseable share per text column); one exact-median
+    pass.  Everything else is a static projection.
+
     The id and target are numeric but never imputed.  Missing text becomes
     ``text_fill`` (documented behaviour; pass ``"nan"`` to get the literal
     string the reference's published columns carry).
     """
+    from riskframe.session import write_checkpoint_table
     spec = spec or TableSpec()
-    df = standardize_columns(df)
-    df = non_finite_columns_to_null(df)
-    raw_rows, raw_cols = df.count(), len(df.columns)
-    raw_missing = sum(null_counts(df).values())
-    df, n_dup = drop_exact_duplicates(df)
-    df = normalize_placeholders(df)
-    df, converted = coerce_numeric_like(df)
-    keep = [c for c in spec.passthrough if c in df.columns]
-    df, medians, num_fills = impute_median(df, exclude=keep)
+    df = non_finite_columns_to_null(standardize_columns(df))
+    raw_cols = len(df.columns)
+    first = df.agg(F.count(F.lit(1)).alias("_rows"),
+                   *[F.sum(F.col(quote(c)).isNull().cast("long")).alias(f"m{i}")
+                     for i, c in enumerate(df.columns)]).first()
+    raw_rows = int(first["_rows"])
+    raw_missing = sum(int(first[f"m{i}"] or 0) for i in range(raw_cols))
     texts = string_columns(df)
-    text_missing = null_counts(df, texts)
-    df = impute_constant(df, texts, text_fill)
-    missing_after = sum(null_counts(df, [c for c, m in medians.items() if m is None]).values()) \
-        if any(m is None for m in medians.values()) else 0
+    dedup = normalize_placeholders(df.dropDuplicates(), texts)
+    if materialize:
+        dedup = write_checkpoint_table(dedup, f"clean_{name}")
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, c in enumerate(dedup.columns):
+        aggs.append(F.sum(F.col(quote(c)).isNull().cast("long")).alias(f"m{i}"))
+        if c in texts:
+            aggs.append(F.count(F.when(numeric_like(quote(c)), 1)).alias(f"p{i}"))
+    second = dedup.agg(*aggs).first()
+    rows = int(second["_rows"])
+    idx = {c: i for i, c in enumerate(dedup.columns)}
+    missing = {c: int(second[f"m{idx[c]}"] or 0) for c in dedup.columns}
+    converted = [c for c in texts
+                 if rows - missing[c] > 0
+                 and int(second[f"p{idx[c]}"]) / (rows - missing[c]) >= NUMERIC_SHARE]
+    conv = set(converted)
+    typed = dedup.select(*[text_to_double(F.col(quote(c))).alias(c) if c in conv else F.col(quote(c))
+                           for c in dedup.columns])
+    keep = [c for c in spec.passthrough if c in typed.columns]
+    nums = numeric_columns(typed, keep)
+    imputer = MedianImputer.fit(typed, nums)
+    # after typing, a converted column is missing where it was missing or unparseable
+    num_missing = {c: (rows - int(second[f"p{idx[c]}"]) if c in conv else missing[c]) for c in nums}
+    num_fills = sum(n for c, n in num_missing.items() if imputer.medians.get(c) is not None)
+    left_over = sum(n for c, n in num_missing.items() if imputer.medians.get(c) is None)
+    still_text = [c for c in texts if c not in conv]
+    out = impute_constant(imputer.transform(typed), still_text, text_fill)
     log = {
         "table": name,
         "raw_rows": raw_rows,
         "raw_cols": raw_cols,
-        "clean_rows": raw_rows - n_dup,
-        "clean_cols": len(df.columns),
-        "duplicates_removed": n_dup,
+        "clean_rows": rows,
+        "clean_cols": len(out.columns),
+        "duplicates_removed": raw_rows - rows,
         "missing_before": raw_missing,
-        "numeric_imputed": sum(num_fills.values()),
-        "categorical_imputed": sum(text_missing.values()),
-        "missing_after": missing_after,
+        "numeric_imputed": num_fills,
+        "categorical_imputed": sum(missing[c] for c in still_text),
+        "missing_after": left_over,
         "numeric_columns_converted": converted,
     }
-    return df, log
+    return out, log
 
 
 def sentinel_flag(df: DataFrame, col: str, sentinel: float = DAYS_EMPLOYED_SENTINEL,

@@ -532,3 +532,42 @@ def q_selected_features(spark, sf):
 
 def q_feature_log(spark, sf):
     return _model_run(spark, sf).plan.log_frame(spark)
+
+
+# ---- 2.A sources and the preparation stage ---------------------------------------------
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+    from riskframe.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_csv_roundtrip(spark, sf):
+    """Customer written as header CSV to the shared scratch folder,
+    read back as text, names standardized, numeric-looking columns typed by content."""
+    from riskframe.sources.tables import read_csv_table, write_csv
+    base = _scratch(spark, "csv")
+    write_csv(table(spark, sf, "customer"), f"{base}/customer.csv")
+    raw = read_csv_table(spark, base, "customer.csv")
+    typed, _ = clean.coerce_numeric_like(clean.normalize_placeholders(raw))
+    return typed
+
+
+def q_prepared_customers(spark, sf):
+    """Task-1 shape on the driver tables: clean customer, orders and lineitem,
+    roll orders and lineitem up per customer, left-join both to the customers."""
+    from riskframe.plans.prepare import prepare
+    c = derived(spark, sf, CUSTOMER_MAIN)
+    o = table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey").drop("o_orderdate")
+    li = (table(spark, sf, "lineitem").drop("l_shipdate")
+          .join(o.select(F.col("o_orderkey").alias("l_orderkey"), "c_custkey"), "l_orderkey"))
+    merged, _ = prepare(c, {"ORD": o, "LI": li}, TableSpec("C_CUSTKEY", "TARGET"))
+    return merged
+
+
+def q_prepare_log(spark, sf):
+    from riskframe.plans.prepare import prepare
+    c = derived(spark, sf, CUSTOMER_MAIN)
+    o = table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey").drop("o_orderdate")
+    _, log = prepare(c, {"ORD": o, "BUREAU": None}, TableSpec("C_CUSTKEY", "TARGET"))
+    return log

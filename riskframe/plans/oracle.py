@@ -583,3 +583,22 @@ WITH {_RESULTS}
 SELECT model, {_r("test_recall")} AS recall, {_r("test_precision")} AS precision,
        CAST(test_recall >= 0.65 AS INT) AS meets_recall,
        CAST(test_precision >= 0.17 AS INT) AS meets_precision FROM wide"""
+
+SQL["csv_roundtrip"] = """
+SELECT CAST(c_custkey AS DOUBLE) AS C_CUSTKEY, c_name AS C_NAME, CAST(c_nationkey AS DOUBLE) AS C_NATIONKEY,
+       c_acctbal AS C_ACCTBAL, c_mktsegment AS C_MKTSEGMENT FROM customer"""
+
+SQL["clean_log"] = f"""
+WITH o AS ({sql_from(ORDERS_PLACEHOLDERS)}),
+d AS (SELECT DISTINCT * FROM o),
+m AS (SELECT count(*) AS n, sum(CASE WHEN {_clean_priority()} IS NULL THEN 1 ELSE 0 END) AS ph FROM d)
+SELECT 'raw_rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM o
+UNION ALL SELECT 'raw_cols', 5.0
+UNION ALL SELECT 'clean_rows', CAST(n AS DOUBLE) FROM m
+UNION ALL SELECT 'clean_cols', 5.0
+UNION ALL SELECT 'duplicates_removed', CAST((SELECT count(*) FROM o) - n AS DOUBLE) FROM m
+UNION ALL SELECT 'missing_before', CAST((SELECT count(*) - count(o_orderpriority) FROM o) AS DOUBLE)
+UNION ALL SELECT 'numeric_imputed', 0.0
+UNION ALL SELECT 'categorical_imputed', CAST(ph AS DOUBLE) FROM m
+UNION ALL SELECT 'missing_after', 0.0
+UNION ALL SELECT 'numeric_columns_converted', 0.0"""
