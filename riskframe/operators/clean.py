@@ -210,15 +210,16 @@ def clean_table(df: DataFrame, name: str, spec: TableSpec | None = None,
 
 
 def sentinel_flag(df: DataFrame, col: str, sentinel: float = DAYS_EMPLOYED_SENTINEL,
-                  flag_col: str | None = None, median: float | None = None
-                  ) -> tuple[DataFrame, int, float | None]:
+                  flag_col: str | None = None, median: float | None = None,
+                  count: bool = True) -> tuple[DataFrame, int | None, float | None]:
     """Flag rows equal to ``sentinel`` (int8), set them missing, fill the column
-    with the median of the remaining values (B9).  Returns (frame, hits, median)."""
+    with the median of the remaining values (B9).  Returns (frame, hits, median);
+    ``count=False`` skips the extra pass that counts the hits."""
     flag_col = flag_col or f"{col}_ANOM"
     hit = (F.col(quote(col)) == F.lit(sentinel))
     marked = df.withColumn(flag_col, F.coalesce(hit, F.lit(False)).cast("tinyint")) \
                .withColumn(col, F.when(~hit, F.col(quote(col))).cast("double"))
-    n = df.where(hit).count()
+    n = df.where(hit).count() if count else None
     if median is None:
         median = column_medians(marked, [col])[col]
     if median is not None:

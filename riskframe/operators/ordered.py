@@ -28,11 +28,20 @@ from pyspark.sql import functions as F
 BROADCAST_GROUPS = 20000
 
 
+# Rows a (group, bucket) window may hold: one task sorts it.
+TARGET_BUCKET_ROWS = 2_000_000
+MAX_BUCKETS = 4096
+# Above this size (groups x cut points x 8 bytes) the cut table is not broadcast.
+BROADCAST_CUT_BYTES = 64 << 20
+
+
 def _bucket_count(df: DataFrame, buckets: int | None) -> int:
+    """Cut points per group: explicit, else the shuffle partition count (a
+    cluster job sizes that to its data), clamped to [16, MAX_BUCKETS]."""
     if buckets:
         return max(1, int(buckets))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(16, min(4096, parts))
+    return max(16, min(MAX_BUCKETS, parts))
 
 
 def _join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
@@ -63,16 +72,29 @@ def cumulative_before(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         keys = ["_g"]
         groups_hint = 1
     nb = _bucket_count(df, buckets)
+    adaptive = not buckets
     v = F.col(order[0])
     probs = [i / nb for i in range(1, nb)]
     accuracy = max(10000, 8 * nb)
 
     if probs:
+        # the weight aggregates keep this branch's input identical to the main
+        # branch's, so an aggregated input's shuffle is reused, not recomputed
         cuts = df.groupBy(*keys).agg(
-            F.percentile_approx(v.cast("double"), probs, accuracy).alias("_cuts"))
-        cuts = cuts.select(*keys, F.array_distinct("_cuts").alias("_cuts"))
+            F.percentile_approx(v.cast("double"), probs, accuracy).alias("_cuts"),
+            F.count(F.lit(1)).alias("_rows"),
+            *[F.max(w).alias(f"_keep_{i}") for i, w in enumerate(weights)])
+        if adaptive:
+            # keep every step-th cut so that a bucket holds ~TARGET_BUCKET_ROWS rows
+            need = F.least(F.lit(nb), F.greatest(F.lit(1), F.ceil(F.col("_rows") / TARGET_BUCKET_ROWS)))
+            step = F.ceil(F.lit(nb) / need)
+            kept = F.filter("_cuts", lambda c, i: (i + 1) % step == 0)
+        else:
+            kept = F.col("_cuts")
+        cuts = cuts.select(*keys, F.array_distinct(kept).alias("_cuts"))
         n_groups = groups_hint
-        x = _join_small(df, cuts, keys, "inner", n_groups)
+        small = n_groups is not None and n_groups * nb * 8 <= BROADCAST_CUT_BYTES
+        x = _join_small(df, cuts, keys, "inner", n_groups if small else None)
         x = x.withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < v.cast("double"))))
         x = x.drop("_cuts")
     else:

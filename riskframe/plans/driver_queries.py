@@ -35,7 +35,7 @@ def snap(c, bits: int = 36, floor_exp: int = -40):
     the magnitude has no such ties.  ``+ 0.0`` folds -0.0 into 0.0."""
     q = F.greatest(F.pow(F.lit(2.0), F.floor(F.log2(F.abs(c))) - F.lit(bits)),
                    F.lit(2.0 ** floor_exp))
-    return F.when(c == 0, F.lit(0.0)).otherwise(F.round(c / q) * q) + F.lit(0.0)
+    return F.when(c == 0, F.lit(0.0)).otherwise(F.floor(c / q + F.lit(0.5)) * q) + F.lit(0.0)
 
 
 def round_doubles(df: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
@@ -107,7 +107,7 @@ def q_sentinel_flag(spark, sf):
 
 def q_engineer_features(spark, sf):
     a = applicants(spark, sf)
-    a, _, _ = clean.sentinel_flag(a, "DAYS_EMPLOYED")
+    a, _, _ = clean.sentinel_flag(a, "DAYS_EMPLOYED", count=False)
     out, created, _ = engineer_features(a)
     return round_doubles(out.select("SK_ID_CURR", *created))
 
@@ -383,7 +383,9 @@ def score_results(spark, sf) -> DataFrame:
     from riskframe.operators import report
     s = derived(spark, sf, LINEITEM_SCORES).withColumn(
         "row_id", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
-    split = sampling.stratified_split(s, "row_id", "y", 0.2, 5, 42)
+    # four metric pipelines read the split: write it once to the shared folder
+    from riskframe.session import write_checkpoint_table
+    split = write_checkpoint_table(sampling.stratified_split(s, "row_id", "y", 0.2, 5, 42), "split")
     from riskframe.operators.longform import to_long
     lf = to_long(split, SCORE_COLS, keep=["y", "is_test", "fold"], feature="model", value="score")
     test = lf.where(F.col("is_test") == 1).select("model", "score", "y")

@@ -28,7 +28,7 @@ LI = ["l_quantity", "l_price_m", "l_discount", "l_tax"]
 def _r(e: str, bits: int = 36, floor_exp: int = -40) -> str:
     # 36 significant bits, 2**-40 near zero, as the Spark side's snap(); + 0.0 folds -0.0
     q = f"greatest(pow(2.0, floor(log2(abs({e}))) - {bits}), pow(2.0, {floor_exp}))"
-    return f"(CASE WHEN ({e}) = 0 THEN 0.0 ELSE round(({e}) / {q}) * {q} END + 0.0)"
+    return f"(CASE WHEN ({e}) = 0 THEN 0.0 ELSE floor(({e}) / {q} + 0.5) * {q} END + 0.0)"
 
 
 def _clean_priority(col: str = "o_orderpriority") -> str:
