@@ -573,3 +573,58 @@ def q_prepare_log(spark, sf):
     o = table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey").drop("o_orderdate")
     _, log = prepare(c, {"ORD": o, "BUREAU": None}, TableSpec("C_CUSTKEY", "TARGET"))
     return log
+
+
+# ---- remaining inventory items ---------------------------------------------------------
+
+NON_FINITE_SQL_COLS = """
+    l_orderkey, l_linenumber,
+    CASE WHEN l_orderkey % 17 = 0 THEN CAST('Infinity' AS DOUBLE)
+         WHEN l_orderkey % 19 = 0 THEN CAST('-Infinity' AS DOUBLE)
+         WHEN l_orderkey % 23 = 0 THEN CAST('NaN' AS DOUBLE)
+         ELSE l_tax END AS l_tax_nf"""
+
+
+def q_non_finite_to_null(spark, sf):
+    """NaN and +-Inf become NULL at ingest."""
+    from riskframe.plans.inputs import _split_select
+    li = table(spark, sf, "lineitem").selectExpr(*_split_select(NON_FINITE_SQL_COLS))
+    return clean.non_finite_columns_to_null(li, ["l_tax_nf"])
+
+
+def q_fill_zero(spark, sf):
+    """Last-resort 0 for missing numeric values."""
+    li = derived(spark, sf, LINEITEM_MISSING).select("l_orderkey", "l_linenumber", "l_price_m")
+    return clean.fill_zero(li, ["l_price_m"])
+
+
+def q_distinct_ids(spark, sf):
+    """D3: a support table with nothing to aggregate rolls up to its distinct ids."""
+    o = table(spark, sf, "orders").select("o_custkey")
+    return rollup.rollup(o, "o_custkey", "ord", [], [])
+
+
+def q_sample_per_class(spark, sf):
+    """At most n rows per class in seeded hash order (the reference caps
+    each class at 15,000 rows for its plots; n = 200 here)."""
+    from riskframe.operators.ordered import row_positions
+    li = derived(spark, sf, LINEITEM_SCORES).withColumn(
+        "row_id", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    x = li.withColumn("_h", sampling.hash_key("row_id", 42))
+    pos = row_positions(x, ["y"], ["_h", "row_id"], groups_hint=2, name="_pos")
+    return pos.where(F.col("_pos") < 200).select("row_id", "y")
+
+
+def q_feature_metadata(spark, sf):
+    """Per feature -- selected, dropped by correlation, importance, variance."""
+    from riskframe.operators.report import feature_metadata
+    run = _model_run(spark, sf)
+    plan = run.plan
+    imp = run.importances.where(F.col("model") == "Random Forest") if run.importances is not None else None
+    all_feats = spark.createDataFrame([(f,) for f in sorted(set(plan.kept) | set(plan.dropped_corr))],
+                                      "feature string")
+    dropped = spark.createDataFrame([(f,) for f in plan.dropped_corr], "feature string")
+    kept = spark.createDataFrame([(f,) for f in plan.kept], "feature string")
+    var = spark.createDataFrame([(f, float(s) ** 2) for f, (m, s) in plan.scaler.moments.items()],
+                                "feature string, variance double")
+    return feature_metadata(all_feats, dropped, imp, var, kept)

@@ -602,3 +602,22 @@ UNION ALL SELECT 'numeric_imputed', 0.0
 UNION ALL SELECT 'categorical_imputed', CAST(ph AS DOUBLE) FROM m
 UNION ALL SELECT 'missing_after', 0.0
 UNION ALL SELECT 'numeric_columns_converted', 0.0"""
+
+from riskframe.plans.driver_queries import NON_FINITE_SQL_COLS  # noqa: E402
+
+SQL["non_finite_to_null"] = f"""
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN isinf(l_tax_nf) OR isnan(l_tax_nf) THEN NULL ELSE l_tax_nf END AS l_tax_nf
+FROM (SELECT {NON_FINITE_SQL_COLS} FROM lineitem)"""
+
+SQL["fill_zero"] = f"""
+SELECT l_orderkey, l_linenumber, coalesce(l_price_m, 0.0) AS l_price_m FROM ({sql_from(LINEITEM_MISSING)})"""
+
+SQL["distinct_ids"] = "SELECT DISTINCT o_custkey FROM orders WHERE o_custkey IS NOT NULL"
+
+SQL["sample_per_class"] = f"""
+WITH s AS (SELECT *, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_id
+           FROM ({sql_from(LINEITEM_SCORES)})),
+p AS (SELECT row_id, y, row_number() OVER (PARTITION BY y ORDER BY {_HASH.format(id="row_id")}, row_id) AS rn
+      FROM s)
+SELECT row_id, y FROM p WHERE rn <= 200"""

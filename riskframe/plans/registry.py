@@ -71,6 +71,11 @@ QUERIES = {
     "csv_roundtrip": dq.q_csv_roundtrip,
     "prepared_customers": dq.q_prepared_customers,
     "prepare_log": dq.q_prepare_log,
+    "non_finite_to_null": dq.q_non_finite_to_null,
+    "fill_zero": dq.q_fill_zero,
+    "distinct_ids": dq.q_distinct_ids,
+    "sample_per_class": dq.q_sample_per_class,
+    "feature_metadata": dq.q_feature_metadata,
 }
 
 

@@ -16,7 +16,7 @@ from riskframe.functions.names import standardize_columns
 
 def resolve_csv(spark: SparkSession, data_dir: str, name: str) -> str | None:
     """The direct path when it exists, else the lexicographically first file
-    named ``name`` anywhere below ``data_dir`` (the listing is a metadata call
+    or folder named ``name`` anywhere below ``data_dir`` (the listing is a metadata call
     through Hadoop's file system, so it works on object stores too)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -25,12 +25,13 @@ def resolve_csv(spark: SparkSession, data_dir: str, name: str) -> str | None:
     direct = jvm.org.apache.hadoop.fs.Path(base, name)
     if fs.exists(direct):
         return direct.toString()
-    found = []
-    it = fs.listFiles(base, True)
-    while it.hasNext():
-        p = it.next().getPath()
-        if p.getName() == name:
-            found.append(p.toString())
+    found, pending = [], [base]
+    while pending:                       # breadth-first walk over metadata only
+        for st in fs.listStatus(pending.pop()):
+            if st.getPath().getName() == name:
+                found.append(st.getPath().toString())   # a file, or a folder of part files
+            elif st.isDirectory():
+                pending.append(st.getPath())
     return sorted(found)[0] if found else None
 
 
