@@ -29,7 +29,7 @@ BROADCAST_GROUPS = 20000
 
 
 # Rows a (group, bucket) window may hold: one task sorts it.
-TARGET_BUCKET_ROWS = 2_000_000
+TARGET_BUCKET_ROWS = 50_000
 MAX_BUCKETS = 4096
 # Above this size (groups x cut points x 8 bytes) the cut table is not broadcast.
 BROADCAST_CUT_BYTES = 64 << 20
