@@ -78,12 +78,12 @@ def cumulative_before(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     accuracy = max(10000, 8 * nb)
 
     if probs:
-        # the weight aggregates keep this branch's input identical to the main
-        # branch's, so an aggregated input's shuffle is reused, not recomputed
+        # counting a weight column (never NULL) keeps this branch's input plan
+        # identical to the main branch's, so an aggregated input's shuffle is
+        # reused (ReusedExchange) instead of re-scanned
         cuts = df.groupBy(*keys).agg(
             F.percentile_approx(v.cast("double"), probs, accuracy).alias("_cuts"),
-            F.count(F.lit(1)).alias("_rows"),
-            *[F.max(w).alias(f"_keep_{i}") for i, w in enumerate(weights)])
+            F.count(F.col(weights[0])).alias("_rows"))
         if adaptive:
             # keep every step-th cut so that a bucket holds ~TARGET_BUCKET_ROWS rows
             need = F.least(F.lit(nb), F.greatest(F.lit(1), F.ceil(F.col("_rows") / TARGET_BUCKET_ROWS)))
