@@ -78,12 +78,12 @@ def cumulative_before(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     accuracy = max(10000, 8 * nb)
 
     if probs:
-        # counting a weight column (never NULL) keeps this branch's input plan
+        # counting over every weight column (never all NULL) keeps this branch's input plan
         # identical to the main branch's, so an aggregated input's shuffle is
         # reused (ReusedExchange) instead of re-scanned
         cuts = df.groupBy(*keys).agg(
             F.percentile_approx(v.cast("double"), probs, accuracy).alias("_cuts"),
-            F.count(F.col(weights[0])).alias("_rows"))
+            F.count(F.coalesce(*[F.col(w) for w in weights])).alias("_rows"))
         if adaptive:
             # keep every step-th cut so that a bucket holds ~TARGET_BUCKET_ROWS rows
             need = F.least(F.lit(nb), F.greatest(F.lit(1), F.ceil(F.col("_rows") / TARGET_BUCKET_ROWS)))
@@ -162,6 +162,15 @@ def exact_quantiles(long_df: DataFrame, keys: Sequence[str], value: str,
     keys = list(keys)
     vc = value_counts(long_df, keys, value).withColumn("d", F.lit(1).cast("long"))
     oc = cumulative_before(vc, keys, [value], ["n", "d"], buckets, groups_hint)
+    return quantiles_from_counts(oc, keys, value, probs, prefix, with_counts)
+
+
+def quantiles_from_counts(oc: DataFrame, keys: Sequence[str], value: str,
+                          probs: Sequence[float], prefix: str = "q",
+                          with_counts: bool = False) -> DataFrame:
+    """Pick interpolated quantiles from ordered value counts
+    ``(keys, value, n, n_before, n_total[, d_total])``."""
+    keys = list(keys)
     lo_hi = []
     conds = []
     for p in probs:
@@ -180,7 +189,9 @@ def exact_quantiles(long_df: DataFrame, keys: Sequence[str], value: str,
         tag = quantile_name(p, prefix)
         aggs += [F.max(F.when(inside_lo, F.col(value))).alias(f"{tag}__lo"),
                  F.max(F.when(inside_hi, F.col(value))).alias(f"{tag}__hi")]
-    aggs += [F.max("n_total").alias("_n"), F.max("d_total").alias("_d")]
+    aggs.append(F.max("n_total").alias("_n"))
+    if with_counts:
+        aggs.append(F.max("d_total").alias("_d"))
     g = picked.groupBy(*keys).agg(*aggs) if keys else picked.agg(*aggs)
     outs = []
     for p, _, _ in lo_hi:
@@ -208,3 +219,29 @@ def row_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     out = cumulative_before(x, keys, order, ["_one"], buckets, groups_hint)
     return (out.withColumnRenamed("_one_before", name)
             .withColumnRenamed("_one_total", f"{name}_total").drop("_one"))
+
+
+def moments_from_counts(counts: DataFrame, keys: Sequence[str], value: str,
+                        weights: dict[str, Column], groups_hint: int | None = None) -> DataFrame:
+    """Count, mean, sample variance, min and max per group and per weight from
+    distinct-value rows ``(keys, value, <weight columns>)`` -- no second scan of
+    the raw rows.  ``weights`` maps an output prefix to a per-value count
+    expression.  Variance is two-pass (centred on the group mean), so large
+    offsets keep their digits."""
+    keys = list(keys)
+    single = not keys
+    if single:   # one group: a constant key keeps both joins equi-joins
+        counts, keys, groups_hint = counts.withColumn("_g", F.lit(0)), ["_g"], 1
+    v = F.col(value).cast("double")
+    first = counts.groupBy(*keys).agg(*[
+        e for p, w in weights.items() for e in (
+            F.sum(w).alias(f"{p}_count"),
+            (F.sum(w * v) / F.sum(w)).alias(f"{p}_mean"),
+            F.min(F.when(w > 0, v)).alias(f"{p}_min"),
+            F.max(F.when(w > 0, v)).alias(f"{p}_max"))])
+    joined = _join_small(counts, first, keys, "inner", groups_hint)
+    second = joined.groupBy(*keys).agg(*[
+        (F.sum(w * (v - F.col(f"{p}_mean")) * (v - F.col(f"{p}_mean")))
+         / (F.sum(w) - 1)).alias(f"{p}_var") for p, w in weights.items()])
+    out = first.join(second, keys)
+    return out.drop("_g") if single else out

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.names import quote
 from riskframe.operators.longform import to_long
-from riskframe.operators.ordered import exact_quantiles
+from riskframe.operators.ordered import (
+    cumulative_before, exact_quantiles, moments_from_counts, quantiles_from_counts,
+)
+from riskframe.operators.ordered import value_counts as distinct_value_counts
 
 
 def missing_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -56,16 +59,19 @@ def describe_numeric(df: DataFrame, cols: Sequence[str],
     cols = list(cols)
     long = to_long(df, cols)
     rows = df.count()
-    mom = long.groupBy("feature").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
-    qs = exact_quantiles(long, ["feature"], "value", probs, groups_hint=len(cols))
+    vc = distinct_value_counts(long, ["feature"], "value")
+    oc = cumulative_before(vc, ["feature"], ["value"], ["n"], groups_hint=len(cols))
+    # moments from the same distinct-value counts as the quartiles: one scan
+    mom = moments_from_counts(vc, ["feature"], "value", {"v": F.col("n")},
+                              groups_hint=len(cols)).select(
+        "feature", F.col("v_count").alias("count"), F.col("v_mean").alias("mean"),
+        F.sqrt("v_var").alias("std"), F.col("v_min").alias("min"), F.col("v_max").alias("max"))
+    qs = quantiles_from_counts(oc, ["feature"], "value", probs)
     out = mom.join(F.broadcast(qs), "feature", "left")   # one row per column
     return out.select(
-        "feature", "count", "mean", "std", "min",
+        "feature", F.col("count").cast("long").alias("count"), "mean", "std", "min",
         *[c for c in qs.columns if c != "feature"], "max",
-        (F.lit(rows) - F.col("count")).alias("missing_count"),
+        (F.lit(rows) - F.col("count")).cast("long").alias("missing_count"),
         ((F.lit(rows) - F.col("count")) / F.lit(max(rows, 1))).alias("missing_rate"))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.distributions import chi2_p, normal_p
 from riskframe.functions.names import quote
 from riskframe.operators.longform import to_long
-from riskframe.operators.ordered import ordered_value_counts
+from riskframe.operators.ordered import cumulative_before, moments_from_counts, value_counts
 from riskframe.spec import MIN_ROWS_PER_CLASS, TEXT_FILL
 
 
@@ -31,19 +31,19 @@ def mann_whitney_stats(df: DataFrame, features: Sequence[str], target: str,
     long = to_long(df, features, keep=[target]).where(
         F.col("value").isNotNull() & F.col(quote(target)).isin(0, 1))
     y = F.col(quote(target))
-    oc = ordered_value_counts(long, ["feature"], "value",
-                              {"n": F.lit(1), "n0": (y == 0).cast("int")},
-                              groups_hint=len(features))
+    vc = value_counts(long, ["feature"], "value", {"n": F.lit(1), "n0": (y == 0).cast("int")})
+    oc = cumulative_before(vc, ["feature"], ["value"], ["n", "n0"], groups_hint=len(features))
     rank = F.col("n_before") + (F.col("n") + 1) / 2.0
     ranks = oc.groupBy("feature").agg(
         F.sum(F.col("n0") * rank).alias("_r0"),
         F.sum(F.col("n").cast("double") ** 3 - F.col("n")).alias("_ties"))
-    moments = long.groupBy("feature").agg(
-        F.count(F.when(y == 0, 1)).alias("n0"), F.count(F.when(y == 1, 1)).alias("n1"),
-        F.avg(F.when(y == 0, F.col("value"))).alias("group0_mean"),
-        F.avg(F.when(y == 1, F.col("value"))).alias("group1_mean"),
-        F.var_samp(F.when(y == 0, F.col("value"))).alias("_v0"),
-        F.var_samp(F.when(y == 1, F.col("value"))).alias("_v1"))
+    # class moments from the same per-value counts: no second pass over the rows
+    mom = moments_from_counts(vc, ["feature"], "value",
+                              {"c0": F.col("n0"), "c1": F.col("n") - F.col("n0")},
+                              groups_hint=len(features))
+    moments = mom.select("feature", F.col("c0_count").alias("n0"), F.col("c1_count").alias("n1"),
+                         F.col("c0_mean").alias("group0_mean"), F.col("c1_mean").alias("group1_mean"),
+                         F.col("c0_var").alias("_v0"), F.col("c1_var").alias("_v1"))
     g = moments.join(ranks, "feature").where(
         (F.col("n0") >= min_rows) & (F.col("n1") >= min_rows))
     n0, n1 = F.col("n0").cast("double"), F.col("n1").cast("double")
