@@ -38,9 +38,16 @@ def split_frame(df: DataFrame, spec: TableSpec, test_share: float = TEST_SHARE,
 def run_models(df: DataFrame, spec: TableSpec | None = None,
                models: Sequence[M.ModelSpec] | None = None,
                cv_models: Sequence[str] | None = None, folds: int = CV_FOLDS,
-               importance_model=None, top_k: int = 80) -> ModelRun:
+               importance_model=None, top_k: int = 80,
+               unsupervised: DataFrame | None = None) -> ModelRun:
+    """``unsupervised``: optional per-id projection features (PCA_1, PCA_2,
+    CLUSTER_ID, DIST_TO_CLUSTER_i) left-joined onto every row before the split
+    (C3); off by default, as the reference documents."""
     spec = spec or TableSpec()
     models = list(models or M.default_models())
+    if unsupervised is not None:
+        extra = [c for c in unsupervised.columns if c != spec.id_col and c not in df.columns]
+        df = df.join(unsupervised.select(spec.id_col, *extra), spec.id_col, "left")
     split = split_frame(df, spec, folds=folds)
     train = split.where(F.col("is_test") == 0)
     test = split.where(F.col("is_test") == 1)

@@ -61,3 +61,24 @@ def test_stream_scoring_applies_frozen_state(spark, tmp_path):
     q.stop()
     got = spark.sql("SELECT * FROM scored_test").count()
     assert got == 20
+
+
+def test_feature_plan_fit_on_train_applies_to_test(spark):
+    from riskframe.operators import sampling
+    from riskframe.plans.featurize import FeaturePlan
+    a = applicants(spark, SF)
+    split = sampling.stratified_split(a, "SK_ID_CURR", "TARGET")
+    train = split.where("is_test = 0").drop("is_test", "fold")
+    test = split.where("is_test = 1").drop("is_test", "fold")
+    plan = FeaturePlan.fit(train, importance_model=lambda df, feats: {f: float(i) for i, f in enumerate(feats)},
+                           top_k=5)
+    out = plan.transform(test)
+    assert out.columns[:2] == ["SK_ID_CURR", "TARGET"]
+    assert len(out.columns) == 2 + 5
+    assert out.count() == test.count()
+    assert plan.log["engineered_features"] == 22
+    # no kept pair is correlated at or above the threshold on the training rows
+    from riskframe.operators import corr
+    t = plan.transform(train)
+    pairs = corr.correlation_matrix(t, plan.kept).collect()
+    assert all(r.r is None or abs(r.r) < 0.95 for r in pairs)
