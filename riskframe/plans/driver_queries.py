@@ -141,7 +141,7 @@ def q_rollup_category_share(spark, sf):
 
 def q_rollup_join(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    o = table(spark, sf, "orders").where(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp"))
+    o = table(spark, sf, "orders").where(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
     r = rollup.rollup(o, "o_custkey", "ord", ["o_totalprice"], ["o_orderstatus"])
     r = r.withColumnRenamed("o_custkey", "c_custkey")
     return round_doubles(rollup.join_rollups(c, [r], "c_custkey"), skip=("c_acctbal",))
@@ -454,7 +454,7 @@ _PROJECTIONS: dict = {}
 
 def _projection(spark, sf):
     from riskframe.plans.explore import fit_projection
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _PROJECTIONS:
         e, names = _embedding_columns(spark, sf)
         _PROJECTIONS[key] = (fit_projection(e, names, "vec_id"), e)
@@ -505,7 +505,7 @@ QUERY_BOOST_ITER = 30
 def _model_run(spark, sf):
     from riskframe.operators.model import default_models
     from riskframe.plans.modeling import run_models
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _RUNS:
         _RUNS[key] = run_models(applicants(spark, sf), TableSpec(),
                                 default_models(boost_iter=QUERY_BOOST_ITER),
