@@ -167,3 +167,24 @@ def test_published_selection_arithmetic(spark):
     # a model without CV uses its test AUC in the CV slot
     s2 = {r.model: r.weighted_score for r in selection_scores(results_long(test, None)).collect()}
     assert s2["Random Forest"] == pytest.approx(0.8 * 0.7575 + 0.2 * 0.2441)
+
+
+def test_hot_value_and_hot_group_stay_exact(spark):
+    """A third of all rows share one value, and one group holds most rows:
+    ranks and quantiles stay exact and no bucket layout changes the result."""
+    rng = random.Random(11)
+    vals = [7.0] * 1000 + [float(rng.randint(0, 5000)) for _ in range(2000)]
+    rows = [("hot", v) for v in vals] + [("cold", float(i)) for i in range(30)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.1, 0.5, 0.9]
+    expect = np.quantile(np.array(vals), probs)
+    for b in (None, 3, 50):
+        q = {r.g: r for r in exact_quantiles(df, ["g"], "v", probs, buckets=b).collect()}
+        for p, e in zip(probs, expect):
+            name = "q" + f"{p:.6f}".rstrip("0").rstrip(".").replace(".", "_")
+            assert q["hot"][name] == pytest.approx(e)
+        ranks = {r.v: r.avg_rank for r in average_ranks(df.where("g = 'hot'"), [], "v", buckets=b).collect()}
+        below = sum(1 for x in vals if x < 7.0)
+        ties = sum(1 for x in vals if x == 7.0)
+        assert ties >= 1000
+        assert ranks[7.0] == below + (ties + 1) / 2.0
