@@ -1,7 +1,8 @@
 """Main-text extraction by a tree-structured graphical model (operator 3).
 
 Every block element of a page is a binary variable (content or not).  Node
-potentials come from tag role, class and id words, text length and link share;
+potentials come from tag role, class and id words, the zone around, text length
+and link share;
 parent-child potentials from how labels pass from parent to child.  Both are
 counted, with add-one smoothing, on the labelled pages below.  Sum-product
 messages go up from the leaves and down from the root, which is exact on a
@@ -168,11 +169,26 @@ class _Tree(HTMLParser):
             self.runs.append((node, [data]))
 
 
-def _features(t: _Tree, i: int) -> tuple[str, ...]:
-    hint = HINT.search(t.attrs[i]) if t.attrs[i] else None
+@lru_cache(maxsize=4096)
+def _hint(attrs: str) -> str:
+    found = HINT.search(attrs) if attrs else None
+    return found.lastgroup if found else "none"
+
+
+def _zones(t: _Tree) -> list[str]:
+    """For every node, the kind of the nearest element around it (or itself) that sets a zone apart."""
+    zones = ["none"]
+    for i in range(1, len(t.tag)):
+        role, hint = ROLE.get(t.tag[i], "box"), _hint(t.attrs[i])
+        own = role if role in ("nav", "head", "foot", "side", "form") else hint if hint not in ("none", "content") else ""
+        zones.append(own or zones[t.parent[i]])
+    return zones
+
+
+def _features(t: _Tree, i: int, zone: str) -> tuple[str, ...]:
     share = t.linked[i] / t.chars[i] if t.chars[i] else -1.0
     size = t.chars[i]
-    return ("role=" + ROLE.get(t.tag[i], "box"), "hint=" + (hint.lastgroup if hint else "none"),
+    return ("role=" + ROLE.get(t.tag[i], "box"), "hint=" + _hint(t.attrs[i]), "zone=" + zone,
             "links=" + ("none" if share < 0 else "low" if share < 0.4 else "high"),
             "size=" + ("0" if not size else "short" if size < 60 else "long"))
 
@@ -183,11 +199,12 @@ def model() -> tuple[dict, list[list[float]], float]:
     seen, total, link, values = Counter(), Counter(), Counter(), {}
     for html in LABELLED:
         t = _Tree(html)
+        zones = _zones(t)
         for i in range(1, len(t.tag)):
             y, up = t.gold[i], t.parent[i]
             total[y] += 1
             link[t.gold[up], y] += 1
-            for f in _features(t, i):
+            for f in _features(t, i, zones[i]):
                 seen[f, y] += 1
                 values.setdefault(f.split("=")[0], set()).add(f)
     node = {f: [math.log((seen[f, y] + 1) / (total[y] + len(fs) + 1)) for y in (False, True)]
@@ -200,6 +217,12 @@ def model() -> tuple[dict, list[list[float]], float]:
     return node, pair, prior
 
 
+@lru_cache(maxsize=4096)
+def _potential(features: tuple[str, ...]) -> tuple[float, float]:
+    node, _, prior = model()
+    return tuple(p + sum(node.get(f, (0.0, 0.0))[y] for f in features) for y, p in enumerate(prior))
+
+
 def _sum(a: float, b: float) -> float:
     m = max(a, b)
     return m + math.log(math.exp(a - m) + math.exp(b - m))
@@ -207,10 +230,9 @@ def _sum(a: float, b: float) -> float:
 
 def marginals(t: _Tree) -> list[float]:
     """Content marginal of every node: messages up (children have larger numbers), then down."""
-    node, pair, prior = model()
-    n = len(t.tag)
-    own = [[0.0, -30.0]] + [[p + sum(node.get(f, (0.0, 0.0))[y] for f in fs) for y, p in enumerate(prior)]
-                            for fs in (_features(t, i) for i in range(1, n))]
+    pair = model()[1]
+    n, zones = len(t.tag), _zones(t)
+    own = [[0.0, -30.0]] + [list(_potential(_features(t, i, zones[i]))) for i in range(1, n)]
     up = [[0.0, 0.0] for _ in range(n)]
     for i in range(n - 1, 0, -1):
         for a in (0, 1):
