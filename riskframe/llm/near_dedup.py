@@ -189,13 +189,14 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
             .filter(F.col("left") >= F.ceil(F.col("n") * percent / 100))
             .filter("lo < hi").select("value", "id", "component", "n", "left"))
     rare = write_checkpoint_table(rare, "prefixes")
-    other = rare.select("value", F.col("component").alias("other")).distinct()
-    cross = (rare.join(other, "value").filter("other < component")
-             .withColumnsRenamed({"id": "a", "n": "n_a", "left": "left_a"})
+    # At a pair's first common value, what is left on either side bounds the overlap; per component, by its best member.
+    bound = lambda left_b, n_b: (100 + percent) * F.least("left_a", left_b) >= percent * (F.col("n_a") + F.col(n_b))
+    other = rare.groupBy("value", F.col("component").alias("other")).agg(F.max("left").alias("left_c"), F.min("n").alias("n_c"))
+    cross = (rare.withColumnsRenamed({"id": "a", "n": "n_a", "left": "left_a"})
+             .join(other, "value").filter("other < component").filter(bound("left_c", "n_c"))
              .join(rare.select("value", F.col("component").alias("other"), F.col("id").alias("b"),
                                F.col("n").alias("n_b"), F.col("left").alias("left_b")), ["value", "other"])
-             # At a pair's first common value, what is left on either side bounds the overlap.
-             .filter((100 + percent) * F.least("left_a", "left_b") >= percent * (F.col("n_a") + F.col("n_b")))
+             .filter(bound("left_b", "n_b"))
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     rest = verify(cross)
     final = components(star.union(rest))
