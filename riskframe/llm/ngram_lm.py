@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.words import from_planes, mix, slices, to_planes, word_hashes
+from riskframe.llm.words import by_part, edges, from_planes, mix, slices, to_planes, word_hashes
 from riskframe.session import ensure_checkpoint_dir, write_checkpoint_table
 
 #: Hashes of the two marks; any fixed values that are not hashes of short words do.
@@ -76,15 +76,10 @@ def _part_of(h: np.ndarray, parts: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def _edges(key: np.ndarray) -> list[tuple[int, int]]:
-    edge = np.r_[np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), len(key)].tolist() if len(key) else [0]
-    return list(zip(edge[:-1], edge[1:]))
-
-
 def _deal_pairs(v, w, parts: int) -> pa.RecordBatch:
     h, v, w, c = _merge(v, w, np.ones(len(v), np.int64))
     rows = []
-    for s, e in _edges(part := _part_of(h, parts)):
+    for s, e in edges(part := _part_of(h, parts)):
         order = np.argsort(v[s:e], kind="stable") + s
         heads = np.flatnonzero(np.r_[True, v[order][1:] != v[order][:-1]])
         rows.append((int(part[s]), v[order][heads].tobytes(), to_planes(np.diff(heads, append=e - s), "<u4"),
@@ -107,20 +102,6 @@ def _count(batches, parts: int):
         yield _deal_pairs(*map(np.concatenate, zip(*held)), parts)
 
 
-def _by_part(batches, settle):
-    """Rows arrive sorted by part; hand each part's rows to ``settle`` together."""
-    held, now = [], None
-    for b in batches:
-        for s, e in _edges(part := b.column("part").to_numpy()):
-            if held and part[s] != now:
-                yield settle(int(now), [r for x in held for r in x.to_pylist()])
-                held = []
-            held.append(b.slice(s, e - s))
-            now = part[s]
-    if held:
-        yield settle(int(now), [r for x in held for r in x.to_pylist()])
-
-
 def _store(folder: str, name: str, array: np.ndarray) -> None:
     """Write once under a private name, then rename: a retried or doubled task leaves a whole file."""
     path = f"{folder}/{name}.{uuid.uuid4().hex}"
@@ -143,7 +124,7 @@ def _pair_shard(part: int, rows: list[dict], folder: str, parts: int) -> pa.Reco
             "n3": np.bincount(av, c >= 3, n), "a": np.bincount(aw, minlength=n)}
     dest = _part_of(words, parts)
     out = [(int(dest[s]), words[s:e].tobytes(), *(to_planes(sums[k][s:e].astype(np.int64), "<u4") for k in STATS))
-           for s, e in _edges(dest)]
+           for s, e in edges(dest)]
     low = [int((c == k).sum()) for k in (1, 2, 3, 4)]
     out = [r + ((low if i == 0 else [0] * 4),) for i, r in enumerate(out)]
     cols = list(zip(*out))
@@ -186,7 +167,7 @@ class _Shards:
     def find(self, keys: np.ndarray, width: int | None) -> np.ndarray:
         """Values of sorted distinct ``keys``; 0 where absent."""
         out = np.zeros(len(keys) if width is None else (len(keys), width), np.int64)
-        for s, e in _edges(part := _part_of(keys, self.parts)):
+        for s, e in edges(part := _part_of(keys, self.parts)):
             name = f"{self.folder}/{self.kind}-h-{part[s]}.npy"
             if not os.path.exists(name):
                 continue
@@ -260,12 +241,12 @@ def score_texts(docs: DataFrame, held_out=None) -> DataFrame:
     stats = ", ".join(f"{k} binary" for k in STATS)
     sums = write_checkpoint_table(
         dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(
-            partial(_by_part, settle=partial(_pair_shard, folder=folder, parts=parts)),
+            partial(by_part, settle=partial(_pair_shard, folder=folder, parts=parts)),
             f"part int, word binary, {stats}, low array<long>"), "word-sums")
     low = sums.agg(*(F.sum(F.col("low")[k]).alias(f"n{k + 1}") for k in range(4))).first()
     facts = write_checkpoint_table(
         sums.drop("low").repartition(parts, "part").sortWithinPartitions("part").mapInArrow(
-            partial(_by_part, settle=partial(_word_shard, folder=folder)),
+            partial(by_part, settle=partial(_word_shard, folder=folder)),
             "tokens long, vocab long, types long, a1 long, a2 long, a3 long, a4 long"), "word-facts")
     got = facts.agg(*(F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in facts.columns)).first()
     kept = [got["a1"], got["a2"], got["a3"], got["a4"]]

@@ -6,8 +6,8 @@ parts by further hash bits, each map block sending one packed row per part
 window that occurs again inside a block is settled there and sends its place
 only, so a window that a third of all rows hold costs one hash per block.
 In a part, all occurrences but the smallest (doc_id, start) are repeats.
-Their starts go back to the document, where overlapping windows merge into
-maximal removal intervals.
+Their starts go back, packed per group of documents, to one row per document,
+where overlapping windows merge into maximal removal intervals.
 
 The part count follows the corpus size, so a part holds about two million
 windows at any size; part and hash bits together tell windows apart (a false
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.words import (from_planes, gram_hashes, mix, slices, text_bytes, to_planes, window_starts,
+from riskframe.llm.words import (by_part, edges, from_planes, gram_hashes, mix, slices, text_bytes, to_planes, window_starts,
                                  word_hashes, word_spans)
 from riskframe.session import write_checkpoint_table
 
@@ -99,47 +99,43 @@ def _windows(batches, window: int, parts: int):
         yield _deal(*map(np.concatenate, zip(*held)), parts)
 
 
-def _by_part(batches):
-    """Parts arrive one after another, sorted; each is settled on its own."""
-    held, now = [], None
-    for b in batches:
-        part = b.column("part").to_numpy()
-        edge = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
-        for s, e in zip(edge, edge[1:]):
-            if e > s:
-                if held and part[s] != now:
-                    yield _repeats(held)
-                    held = []
-                held.append(b.slice(s, e - s))
-                now = part[s]
-    if held:
-        yield _repeats(held)
-
-
-def _repeats(batches) -> pa.RecordBatch:
-    """One part: every place whose window also starts earlier, packed per document."""
+def _repeats(_, rows: list[dict], parts: int) -> pa.RecordBatch:
+    """One part: every place whose window also starts earlier, packed for each group of documents."""
     hashes, docs, poss, rest_doc, rest_pos = [], [], [], [], []
-    for b in batches:
-        for r in b.to_pylist():
-            doc, pos = _unpack_places(r["first_docs"], r["first_runs"], r["first_gaps"])
-            wide = np.zeros((len(doc), 8), np.uint8)
-            wide[:, :7] = np.frombuffer(r["hashes"], np.uint8).reshape(-1, 7)
-            hashes.append(wide.view(np.uint64).ravel())
-            docs.append(doc)
-            poss.append(pos)
-            doc, pos = _unpack_places(r["again_docs"], r["again_runs"], r["again_gaps"])
-            rest_doc.append(doc)
-            rest_pos.append(pos)
+    for r in rows:
+        doc, pos = _unpack_places(r["first_docs"], r["first_runs"], r["first_gaps"])
+        wide = np.zeros((len(doc), 8), np.uint8)
+        wide[:, :7] = np.frombuffer(r["hashes"], np.uint8).reshape(-1, 7)
+        hashes.append(wide.view(np.uint64).ravel())
+        docs.append(doc)
+        poss.append(pos)
+        doc, pos = _unpack_places(r["again_docs"], r["again_runs"], r["again_gaps"])
+        rest_doc.append(doc)
+        rest_pos.append(pos)
     h, doc, pos = map(np.concatenate, (hashes, docs, poss))
     order, again = _first_places(h, doc, pos)
     take = order[again]
     doc, pos = np.concatenate([doc[take], *rest_doc]), np.concatenate([pos[take], *rest_pos])
+    group = (mix(doc.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((pos, doc, group))
+    doc, pos, group = doc[order], pos[order], group[order]
+    cuts = edges(group)
+    packed = [_pack_places(doc[s:e], pos[s:e]) for s, e in cuts]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([int(group[s]) for s, _ in cuts], pa.int32())] +
+        [pa.array([x[i] for x in packed], pa.binary()) for i in range(3)], names=["part", "docs", "runs", "gaps"])
+
+
+def _documents(_, rows: list[dict]) -> pa.RecordBatch:
+    """One group of documents: the repeated starts of each, as gaps."""
+    doc, pos = map(np.concatenate, zip(*(_unpack_places(r["docs"], r["runs"], r["gaps"]) for r in rows)))
     order = np.lexsort((pos, doc))
     doc, pos = doc[order], pos[order]
-    edge = np.r_[np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]), len(doc)] if len(doc) else np.zeros(1, int)
-    gap = [to_planes(np.diff(pos[s:e], prepend=0), "<u4") for s, e in zip(edge[:-1].tolist(), edge[1:].tolist())]
-    return pa.RecordBatch.from_arrays([pa.array(doc[edge[:-1]], pa.int64()), pa.array(gap, pa.binary())],
-                                      names=["doc_id", "starts"])
+    cuts = edges(doc)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([int(doc[s]) for s, _ in cuts], pa.int64()),
+         pa.array([to_planes(np.diff(pos[s:e], prepend=0), "<u4") for s, e in cuts], pa.binary())],
+        names=["doc_id", "starts"])
 
 
 def _remove(batches, window: int):
@@ -148,14 +144,14 @@ def _remove(batches, window: int):
         start, end, rows = word_spans(data, offs)
         raw = data.tobytes()
         starts, out = b.column("starts").to_pylist(), []
-        for i, blobs in enumerate(starts):
+        for i, blob in enumerate(starts):
             s, n = int(rows[i]), int(rows[i + 1] - rows[i])
             gone = np.zeros(n + 1, np.int64)
-            for blob in blobs or ():
-                at = np.cumsum(from_planes(blob, "<u4").astype(np.int64))
+            if blob:
+                at = np.unique(np.cumsum(from_planes(blob, "<u4").astype(np.int64)))
                 at = at[at + window <= n]
-                np.add.at(gone, at, 1)
-                np.add.at(gone, at + window, -1)
+                gone[at] += 1
+                gone[at + window] -= 1
             covered = np.cumsum(gone)[:n] > 0
             step = np.diff(np.r_[False, covered, False].astype(np.int8))
             spans = list(zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist()))
@@ -187,8 +183,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     dealt = base.filter("doc_id is not null").mapInArrow(
         partial(_windows, window=window, parts=parts), f"part int, {blobs}")
     found = dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(
-        _by_part, "doc_id long, starts binary")
-    starts = write_checkpoint_table(found, "repeats").groupBy("doc_id").agg(F.collect_list("starts").alias("starts"))
+        partial(by_part, settle=partial(_repeats, parts=parts)), "part int, docs binary, runs binary, gaps binary")
+    starts = found.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(
+        partial(by_part, settle=_documents), "doc_id long, starts binary")
+    starts = write_checkpoint_table(starts, "repeats")
     return base.join(starts, "doc_id", "left").select("doc_id", "text", "starts").mapInArrow(
         partial(_remove, window=window),
         "doc_id long, n_words long, n_removed long, kept_sha256 string, "

@@ -123,3 +123,26 @@ def to_planes(values: np.ndarray, dtype: str) -> bytes:
 def from_planes(blob: bytes, dtype: str) -> np.ndarray:
     width = np.dtype(dtype).itemsize
     return np.frombuffer(blob, np.uint8).reshape(width, -1).T.copy().view(dtype).ravel()
+
+
+def edges(key: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end of each run of equal values."""
+    if not len(key):
+        return []
+    at = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+    return list(zip(at, at[1:]))
+
+
+def by_part(batches, settle):
+    """Packed rows arrive sorted by ``part``; hand all rows of a part to ``settle`` together."""
+    held, now = [], None
+    for b in batches:
+        part = b.column("part").to_numpy()
+        for s, e in edges(part):
+            if held and part[s] != now:
+                yield settle(int(now), [r for x in held for r in x.to_pylist()])
+                held = []
+            held.append(b.slice(s, e - s))
+            now = part[s]
+    if held:
+        yield settle(int(now), [r for x in held for r in x.to_pylist()])
