@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.functions.names import quote
+from riskframe.functions.names import quote, unique_names
 from riskframe.operators.longform import string_columns, to_long
 from riskframe.operators.ordered import exact_quantiles, quantile_name
 from riskframe.spec import CLIP_QUANTILES, LABEL_ENCODE_MAX_LEVELS, ONE_HOT_MAX_LEVELS, TEXT_FILL
@@ -80,7 +80,9 @@ class CategoryEncoder:
                     tail.append((v == lvl).cast("tinyint").alias(f"{c}_{lvl}"))
             else:
                 out.append(F.col(quote(c)))
-        return df.select(*out, *tail)
+        found = df.select(*out, *tail)
+        # Levels that differ in case only would give columns that Spark cannot tell apart.
+        return found.toDF(*unique_names(found.columns))
 
     def to_json(self) -> str:
         return json.dumps({"label": self.label, "one_hot": self.one_hot,

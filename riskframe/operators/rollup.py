@@ -25,15 +25,26 @@ _STATS = {
 }
 
 
+#: More levels than this over all columns would not fit one output row per id: an error, never a cut.
+MAX_LEVELS = 20_000
+
+
 def discover_levels(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
-    """Distinct non-missing levels of each text column in one job (sorted)."""
+    """Distinct non-missing levels of each text column in one job (sorted).
+
+    Raises when there are more than ``MAX_LEVELS``, as with an id-like column;
+    name the columns to roll up instead.
+    """
     cols = list(cols)
     if not cols:
         return {}
     pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(quote(c)).cast("string").alias("l"))
                       for c in cols])
     rows = (df.select(F.inline(pairs)).where(F.col("l").isNotNull())
-            .distinct().collect())
+            .distinct().limit(MAX_LEVELS + 1).collect())
+    if len(rows) > MAX_LEVELS:
+        most = max(cols, key=lambda c: sum(r["c"] == c for r in rows))
+        raise ValueError(f"over {MAX_LEVELS} levels in {cols}; column {most!r} has the most of those seen")
     out: dict[str, list[str]] = {c: [] for c in cols}
     for r in rows:
         out[r["c"]].append(r["l"])
@@ -45,13 +56,15 @@ def rollup_columns(id_col: str, prefix: str, numeric: Sequence[str],
                    missing_level: str = MISSING_LEVEL) -> list[Column]:
     """Aggregate expressions named ``PREFIX_COL_STAT`` / ``PREFIX_COL_LEVEL`` (upper
     case).  Levels that collide after upper-casing share one column whose
-    value is the sum of their shares."""
-    aggs: list[Column] = []
+    value is the sum of their shares; of equal names from different columns
+    the first is kept."""
+    aggs: dict[str, Column] = {}
     for c in numeric:
         if c == id_col:
             continue
         for stat, fn in _STATS.items():
-            aggs.append(fn(F.col(quote(c)).cast("double")).alias(f"{prefix}_{c}_{stat}".upper()))
+            name = f"{prefix}_{c}_{stat}".upper()
+            aggs.setdefault(name, fn(F.col(quote(c)).cast("double")).alias(name))
     for c, lvls in levels.items():
         groups: dict[str, list[str]] = {}
         for lvl in lvls:
@@ -61,10 +74,10 @@ def rollup_columns(id_col: str, prefix: str, numeric: Sequence[str],
             hit = F.col(quote(c)).isin(members)
             if name == miss:
                 hit = hit | F.col(quote(c)).isNull()
-            aggs.append(F.avg(F.when(hit, 1.0).otherwise(0.0)).alias(name))
+            aggs.setdefault(name, F.avg(F.when(hit, 1.0).otherwise(0.0)).alias(name))
         if miss not in groups:
-            aggs.append(F.avg(F.when(F.col(quote(c)).isNull(), 1.0).otherwise(0.0)).alias(miss))
-    return aggs
+            aggs.setdefault(miss, F.avg(F.when(F.col(quote(c)).isNull(), 1.0).otherwise(0.0)).alias(miss))
+    return list(aggs.values())
 
 
 def rollup(df: DataFrame, id_col: str, prefix: str,
@@ -76,7 +89,7 @@ def rollup(df: DataFrame, id_col: str, prefix: str,
     a missing id are dropped (pandas group-by semantics).  With nothing to
     aggregate the result is the distinct ids (D3)."""
     if id_col not in df.columns:
-        raise ValueError(f"{id_col} not in {prefix} table")
+        raise ValueError(f"roll-up {prefix!r} needs the id column {id_col!r}")
     numeric = [c for c in (numeric_columns(df) if numeric is None else numeric) if c != id_col]
     categorical = [c for c in (string_columns(df) if categorical is None else categorical)
                    if c != id_col]

@@ -38,9 +38,12 @@ def stratified_split(df: DataFrame, id_col: str, target: str, test_share: float
     Inside each class the first floor(share * n_class + 0.5) rows in hash
     order are the test rows, so class proportions are exact; training rows are
     dealt round-robin into folds, so fold sizes differ by at most one per class.
+    A NULL target belongs to no class: it raises when the rows are computed.
     """
-    x = df.withColumn("_h", hash_key(id_col, seed))
-    pos = row_positions(x, [target], ["_h", id_col], groups_hint=None, name="_pos")
+    kind = df.schema[target].dataType
+    known = F.coalesce(F.col(quote(target)), F.raise_error(F.lit(f"NULL in target {target}")).cast(kind))
+    x = df.withColumn("_h", hash_key(id_col, seed)).withColumn(target, known)
+    pos = row_positions(x, [target], ["_h", id_col], groups_hint=2, name="_pos")
     n_test = F.floor(F.col("_pos_total") * F.lit(float(test_share)) + F.lit(0.5))
     is_test = (F.col("_pos") < n_test)
     return pos.select(

@@ -41,7 +41,7 @@ class FeaturePlan:
     def _base(self, df: DataFrame) -> DataFrame:
         if "DAYS_EMPLOYED" in df.columns:
             df, _, _ = clean.sentinel_flag(df, "DAYS_EMPLOYED", DAYS_EMPLOYED_SENTINEL,
-                                           median=self.sentinel_median)
+                                           median=self.sentinel_median, count=False)
         df, _, _ = engineer_features(df, medians=self.feature_fills or None)
         return df
 

@@ -34,20 +34,22 @@ def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # missing log -> empty table with the schema (A4)
-        return spark.createDataFrame([], LOG_SCHEMA)
+    """The run log; a path that does not exist is an empty table (A4), other errors are raised."""
+    return spark.read.parquet(path) if _exists(spark, path) else spark.createDataFrame([], LOG_SCHEMA)
 
 
 def read_results_json(spark: SparkSession, path: str) -> DataFrame:
     """Nested results JSON ``{"test_results": {model: {metric: v}}, "cv_results": ...}``
     -> (model, stage, metric, value).  A missing file gives an empty table (A4)."""
-    try:
-        raw = spark.read.option("multiLine", True).json(path)
-    except Exception:
+    if not _exists(spark, path):
         return spark.createDataFrame([], RESULTS_SCHEMA)
+    raw = spark.read.option("multiLine", True).json(path)
     out = None
     for section, stage in (("test_results", "test"), ("cv_results", "cv")):
         if section not in raw.columns:

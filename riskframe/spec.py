@@ -13,7 +13,6 @@ PLACEHOLDER_TOKENS = ("", "NA", "N/A", "None", "null")
 NUMERIC_SHARE = 0.90                  # text column becomes numeric at >= 90% parseable
 TEXT_FILL = "UNKNOWN"                 # fill for missing text after cleaning
 MISSING_LEVEL = "NAN"                 # name of the missing level in category shares
-ROLLUP_STATS = ("mean", "max", "min", "std")
 DAYS_EMPLOYED_SENTINEL = 365243
 DAYS_PER_YEAR = 365.25
 CLIP_QUANTILES = (0.01, 0.99)
@@ -26,9 +25,6 @@ SEED = 42
 TEST_SHARE = 0.2
 CV_FOLDS = 5
 MIN_ROWS_PER_CLASS = 20               # rank test is skipped below this
-HIST_BINS_EDA = 40
-HIST_BINS_FEATURES = 50
-HIST_ROWS_PER_CLASS = 15000
 SELECTION_WEIGHTS = {"test_auc": 0.6, "cv_auc": 0.2, "test_pr_auc": 0.2}
 SCREEN_RECALL = 0.65
 SCREEN_PRECISION = 0.17
@@ -36,7 +32,6 @@ BOOSTING_POSITIVE_WEIGHT = 11.0
 KMEANS_K = 3
 KMEANS_K_RANGE = (2, 8)
 KMEANS_RESTARTS = 10
-SILHOUETTE_ROWS = 5000
 # -------------------------------------------------------------------------------
 
 

@@ -188,3 +188,49 @@ def test_hot_value_and_hot_group_stay_exact(spark):
         ties = sum(1 for x in vals if x == 7.0)
         assert ties >= 1000
         assert ranks[7.0] == below + (ties + 1) / 2.0
+
+
+def test_null_target_is_an_error_not_a_lost_row(spark):
+    from riskframe.operators.sampling import stratified_split
+    df = spark.createDataFrame([(i, None if i % 10 == 0 else i % 2) for i in range(40)], "id long, y int")
+    with pytest.raises(Exception, match="NULL in target y"):
+        stratified_split(df, "id", "y").collect()
+    assert stratified_split(df.where("y is not null"), "id", "y").count() == 36
+
+
+def test_one_hot_levels_that_differ_in_case(spark):
+    from riskframe.operators.encode import CategoryEncoder
+    df = spark.createDataFrame([(x,) for x in ["A", "B", "b", "C"]], "k string")
+    rows = CategoryEncoder.fit(df).transform(df)
+    assert len({c.upper() for c in rows.columns}) == len(rows.columns) == 3
+    assert sorted(map(tuple, rows.collect())) == [(0, 0, 0), (0, 0, 1), (0, 1, 0), (1, 0, 0)]
+
+
+def test_rollup_names_that_meet_keep_the_first(spark):
+    from riskframe.operators.rollup import rollup
+    df = spark.createDataFrame([(1, "B_C", "C"), (1, "x", "C")], "id long, A string, A_B string")
+    row = rollup(df, "id", "P").first().asDict()
+    assert row["P_A_B_C"] == 0.5
+
+
+def test_too_many_levels_raise(spark, monkeypatch):
+    from riskframe.operators import rollup
+    monkeypatch.setattr(rollup, "MAX_LEVELS", 5)
+    df = spark.range(20).selectExpr("id", "cast(id as string) AS k")
+    with pytest.raises(ValueError, match="'k'"):
+        rollup.rollup(df, "id", "P")
+
+
+def test_missing_log_is_empty_but_a_broken_one_raises(spark, tmp_path):
+    from riskframe.sources.results import read_log
+    assert read_log(spark, str(tmp_path / "none")).count() == 0
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        read_log(spark, str(tmp_path / "bad")).count()
+
+
+def test_chi_square_tail_with_many_degrees_of_freedom():
+    from riskframe.functions.distributions import _gamma_q
+    # At its mean the tail tends to one half from below as the degrees of freedom grow.
+    assert abs(_gamma_q(5e8, 5e8) - 0.5) < 1e-4
