@@ -72,8 +72,7 @@ QUERIES = {f.__name__: f for f in (
     op7_decontamination, op8_lm_score, op9_minhash_dedup, op10_quality_classifier)}
 
 #: Words are runs of characters other than space and tab..carriage return.
-_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '')"
-_FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 #: DuckDB SQL of the queries that SQL can express whole.
 ORACLE = {
