@@ -152,7 +152,9 @@ def clean_table(df: DataFrame, name: str, spec: TableSpec | None = None,
     missing per column, parseable share per text column); one exact-median
     pass.  Everything else is a static projection.
 
-    The id and target are numeric but never imputed.  Missing text becomes
+    The id and target are numeric but never imputed; dates, booleans and other
+    types have no fill value and pass through.  ``missing_after`` counts every
+    cell that is still missing, those included.  Missing text becomes
     ``text_fill`` (documented behaviour; pass ``"nan"`` to get the literal
     string the reference's published columns carry).
     """
@@ -190,8 +192,10 @@ def clean_table(df: DataFrame, name: str, spec: TableSpec | None = None,
     # after typing, a converted column is missing where it was missing or unparseable
     num_missing = {c: (rows - int(second[f"p{idx[c]}"]) if c in conv else missing[c]) for c in nums}
     num_fills = sum(n for c, n in num_missing.items() if imputer.medians.get(c) is not None)
-    left_over = sum(n for c, n in num_missing.items() if imputer.medians.get(c) is None)
     still_text = [c for c in texts if c not in conv]
+    unfilled = {c: missing[c] for c in dedup.columns if c not in num_missing and c not in still_text}
+    unfilled |= {c: rows - int(second[f"p{idx[c]}"]) for c in keep if c in conv}
+    unfilled |= {c: n for c, n in num_missing.items() if imputer.medians.get(c) is None}
     out = impute_constant(imputer.transform(typed), still_text, text_fill)
     log = {
         "table": name,
@@ -203,7 +207,7 @@ def clean_table(df: DataFrame, name: str, spec: TableSpec | None = None,
         "missing_before": raw_missing,
         "numeric_imputed": num_fills,
         "categorical_imputed": sum(missing[c] for c in still_text),
-        "missing_after": left_over,
+        "missing_after": sum(unfilled.values()),
         "numeric_columns_converted": converted,
     }
     return out, log

@@ -103,8 +103,10 @@ def class_histogram(df: DataFrame, feature: str, target: str, bins: int = 40,
     """Density histogram of a clipped feature per class.
 
     Bounds are the exact 1%/99% quantiles over all rows; each class's bins span
-    its own clipped min..max, like a per-class histogram; density =
-    count / (class rows * bin width).  Uses every row (no sampling).
+    its own clipped min..max, like a per-class histogram, and empty bins are rows
+    with count 0 (a class of one value has a single bin); density =
+    count / (class rows * bin width).  Uses every row (no sampling).  The
+    target has two classes at most, others raise.
     """
     x = F.col(quote(feature)).cast("double")
     base = df.select(x.alias("x"), F.col(quote(target)).alias("target")).where(
@@ -115,12 +117,19 @@ def class_histogram(df: DataFrame, feature: str, target: str, bins: int = 40,
     clipped = base.select("target", F.least(F.greatest("x", F.lit(lo)), F.lit(hi)).alias("x"))
     rng = clipped.groupBy("target").agg(F.min("x").alias("lo"), F.max("x").alias("hi"),
                                         F.count(F.lit(1)).alias("n_class"))
+    classes = rng.limit(3).collect()
+    if len(classes) > 2:
+        raise ValueError(f"{target!r} has more than two classes")
+    rng = df.sparkSession.createDataFrame(classes, rng.schema)
     w = (F.col("hi") - F.col("lo")) / F.lit(bins)
     b = F.when(w > 0, F.least(F.floor((F.col("x") - F.col("lo")) / w), F.lit(bins - 1))) \
         .otherwise(F.lit(0)).cast("int")
-    hist = (clipped.join(F.broadcast(rng), "target")     # one row per class
-            .select("target", b.alias("bin"), "lo", "hi", "n_class")
-            .groupBy("target", "bin", "lo", "hi", "n_class").agg(F.count(F.lit(1)).alias("count")))
+    counts = (clipped.join(F.broadcast(rng), "target")     # two rows at most
+              .select("target", b.alias("bin"))
+              .groupBy("target", "bin").agg(F.count(F.lit(1)).alias("count")))
+    every = F.when(F.col("hi") > F.col("lo"), F.sequence(F.lit(0), F.lit(bins - 1))).otherwise(F.array(F.lit(0)))
+    hist = (rng.withColumn("bin", F.explode(every)).join(counts, ["target", "bin"], "left")
+            .withColumn("count", F.coalesce("count", F.lit(0))))
     width = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / F.lit(bins)) \
         .otherwise(F.lit(1.0))
     return hist.select(

@@ -44,10 +44,15 @@ def round_doubles(df: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
                        else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
+def _stamp(name: str):
+    """A timestamp as text, so that both engines' rows compare alike."""
+    return F.date_format(name, "yyyy-MM-dd HH:mm:ss")
+
+
 # ---- 2.B cleaning -------------------------------------------------------------
 
 def q_standardize_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return standardize_columns(table(spark, sf, "orders").drop("o_orderdate"))
+    return standardize_columns(table(spark, sf, "orders").withColumn("o_orderdate", _stamp("o_orderdate")))
 
 
 def q_clean_placeholders(spark, sf):
@@ -68,15 +73,16 @@ def q_clean_coerce_numeric(spark, sf):
 
 def q_impute_median(spark, sf):
     li = derived(spark, sf, LINEITEM_MISSING).select("l_orderkey", "l_linenumber", "l_price_m")
-    out, _, _ = clean.impute_median(li, ["l_price_m"])
-    return round_doubles(out)
+    out, _, _ = clean.impute_median(li.withColumn("filled", F.col("l_price_m").isNull()), ["l_price_m"])
+    price = F.when(F.col("filled"), snap(F.col("l_price_m"))).otherwise(F.col("l_price_m"))
+    return out.withColumn("l_price_m", price).drop("filled")
 
 
 def q_dedupe_rows(spark, sf):
-    li = table(spark, sf, "lineitem").drop("l_shipdate")
+    li = table(spark, sf, "lineitem")
     doubled = li.unionByName(li.where(F.col("l_orderkey") % 10 == 0))
     out, _ = clean.drop_exact_duplicates(doubled)
-    return out
+    return out.withColumn("l_shipdate", _stamp("l_shipdate"))
 
 
 def q_missing_profile(spark, sf):
@@ -141,8 +147,8 @@ def q_rollup_category_share(spark, sf):
 
 def q_rollup_join(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    o = table(spark, sf, "orders").where(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
-    r = rollup.rollup(o, "o_custkey", "ord", ["o_totalprice"], ["o_orderstatus"])
+    c = c.unionByName(c.withColumn("c_custkey", -F.col("c_custkey")))   # ids without orders
+    r = rollup.rollup(table(spark, sf, "orders"), "o_custkey", "ord", ["o_totalprice"], ["o_orderstatus"])
     r = r.withColumnRenamed("o_custkey", "c_custkey")
     return round_doubles(rollup.join_rollups(c, [r], "c_custkey"), skip=("c_acctbal",))
 
@@ -153,11 +159,13 @@ def merged_customers(spark, sf) -> DataFrame:
     o = table(spark, sf, "orders")
     ro = rollup.rollup(o, "o_custkey", "ord", ["o_totalprice"], ["o_orderstatus", "o_orderpriority"],
                        ).withColumnRenamed("o_custkey", "c_custkey")
-    li = table(spark, sf, "lineitem").join(o.select("o_orderkey", "o_custkey"),
-                                           F.col("l_orderkey") == F.col("o_orderkey"))
+    flags = ["l_returnflag", "l_linestatus"]
+    li = table(spark, sf, "lineitem")
+    levels = rollup.discover_levels(li, flags)   # before the join, which then runs once
+    li = li.join(o.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     rl = rollup.rollup(li, "o_custkey", "li",
                        ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
-                       ["l_returnflag", "l_linestatus"]).withColumnRenamed("o_custkey", "c_custkey")
+                       flags, levels).withColumnRenamed("o_custkey", "c_custkey")
     return rollup.join_rollups(c, [ro, rl], "c_custkey")
 
 
@@ -316,11 +324,11 @@ def _scores(spark, sf):
 
 
 def q_roc_points(spark, sf):
-    return round_doubles(curves.roc_points(_scores(spark, sf), groups_hint=3))
+    return round_doubles(curves.roc_points(_scores(spark, sf), groups_hint=3), skip=("threshold",))
 
 
 def q_pr_points(spark, sf):
-    return round_doubles(curves.pr_points(_scores(spark, sf), groups_hint=3))
+    return round_doubles(curves.pr_points(_scores(spark, sf), groups_hint=3), skip=("threshold",))
 
 
 def q_ranking_metrics(spark, sf):
@@ -449,16 +457,10 @@ def _embedding_columns(spark, sf) -> tuple[DataFrame, list[str]]:
                                          for i, n in enumerate(names)]), names
 
 
-_PROJECTIONS: dict = {}
-
-
 def _projection(spark, sf):
     from riskframe.plans.explore import fit_projection
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _PROJECTIONS:
-        e, names = _embedding_columns(spark, sf)
-        _PROJECTIONS[key] = (fit_projection(e, names, "vec_id"), e)
-    return _PROJECTIONS[key]
+    e, names = _embedding_columns(spark, sf)
+    return fit_projection(e, names, "vec_id"), e
 
 
 def q_pca_project(spark, sf):
@@ -495,22 +497,22 @@ def q_kmeans_k_selection(spark, sf):
                                  "k int, inertia double, silhouette_score double")
 
 
-_RUNS: dict = {}
 # The registered model queries keep the reference's model settings except the
-# boosted model's iteration count (300 in the library default), trimmed so the
-# check finishes in about a minute on one machine; CV runs for the linear model.
+# boosted model's iteration count (300 in the library default; see README).
 QUERY_BOOST_ITER = 30
 
 
-def _model_run(spark, sf):
+def _model_run(spark, sf, cv_models=None):
     from riskframe.operators.model import default_models
     from riskframe.plans.modeling import run_models
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _RUNS:
-        _RUNS[key] = run_models(applicants(spark, sf), TableSpec(),
-                                default_models(boost_iter=QUERY_BOOST_ITER),
-                                cv_models=["Logistic Regression"])
-    return _RUNS[key]
+    return run_models(applicants(spark, sf), TableSpec(), default_models(boost_iter=QUERY_BOOST_ITER), cv_models)
+
+
+def _feature_plan(spark, sf, by_importance=False):
+    from riskframe.operators.model import tree_importance
+    from riskframe.plans.modeling import fit_features
+    rank = (lambda df, feats: tree_importance(df, feats, "TARGET")) if by_importance else None
+    return fit_features(applicants(spark, sf), importance_model=rank)
 
 
 def q_model_results(spark, sf):
@@ -522,18 +524,25 @@ def q_model_comparison(spark, sf):
 
 
 def q_top_importances(spark, sf):
+    """Importances of the models fitted on the training rows; no fold is fitted but the linear model's."""
     from riskframe.operators.report import top_importances
-    return top_importances(_model_run(spark, sf).importances, 30)
+    return top_importances(_model_run(spark, sf, ["Logistic Regression"]).importances, 30)
 
 
 def q_selected_features(spark, sf):
-    plan = _model_run(spark, sf).plan
+    plan, _ = _feature_plan(spark, sf, by_importance=True)
     rows = [(f, i) for i, f in enumerate(plan.kept)]
     return spark.createDataFrame(rows, "feature string, position int")
 
 
 def q_feature_log(spark, sf):
-    return _model_run(spark, sf).plan.log_frame(spark)
+    return _feature_plan(spark, sf)[0].log_frame(spark)
+
+
+def q_pipeline_snapshot(spark, sf):
+    """The feature counts of the run log."""
+    from riskframe.operators.report import pipeline_snapshot
+    return pipeline_snapshot(_feature_plan(spark, sf)[0].log_frame(spark))
 
 
 # ---- 2.A sources and the preparation stage ---------------------------------------------
@@ -560,8 +569,8 @@ def q_prepared_customers(spark, sf):
     roll orders and lineitem up per customer, left-join both to the customers."""
     from riskframe.plans.prepare import prepare
     c = derived(spark, sf, CUSTOMER_MAIN)
-    o = table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey").drop("o_orderdate")
-    li = (table(spark, sf, "lineitem").drop("l_shipdate")
+    o = table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    li = (table(spark, sf, "lineitem")
           .join(o.select(F.col("o_orderkey").alias("l_orderkey"), "c_custkey"), "l_orderkey"))
     merged, _ = prepare(c, {"ORD": o, "LI": li}, TableSpec("C_CUSTKEY", "TARGET"))
     return merged
@@ -570,7 +579,7 @@ def q_prepared_customers(spark, sf):
 def q_prepare_log(spark, sf):
     from riskframe.plans.prepare import prepare
     c = derived(spark, sf, CUSTOMER_MAIN)
-    o = table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey").drop("o_orderdate")
+    o = table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey")
     _, log = prepare(c, {"ORD": o, "BUREAU": None}, TableSpec("C_CUSTKEY", "TARGET"))
     return log
 
@@ -618,13 +627,11 @@ def q_sample_per_class(spark, sf):
 def q_feature_metadata(spark, sf):
     """Per feature -- selected, dropped by correlation, importance, variance."""
     from riskframe.operators.report import feature_metadata
-    run = _model_run(spark, sf)
-    plan = run.plan
-    imp = run.importances.where(F.col("model") == "Random Forest") if run.importances is not None else None
+    plan, _ = _feature_plan(spark, sf, by_importance=True)
+    imp = spark.createDataFrame(list(plan.importance.items()), "feature string, importance double")
     all_feats = spark.createDataFrame([(f,) for f in sorted(set(plan.kept) | set(plan.dropped_corr))],
                                       "feature string")
     dropped = spark.createDataFrame([(f,) for f in plan.dropped_corr], "feature string")
     kept = spark.createDataFrame([(f,) for f in plan.kept], "feature string")
-    var = spark.createDataFrame([(f, float(s) ** 2) for f, (m, s) in plan.scaler.moments.items()],
-                                "feature string, variance double")
+    var = spark.createDataFrame(list(plan.variance.items()), "feature string, variance double")
     return feature_metadata(all_feats, dropped, imp, var, kept)

@@ -2,10 +2,10 @@
 descriptive statistics, rank tests, association tests, histograms, and the
 PCA + k-means projection.
 
-The projection is fitted on an exact, reproducible sample (20,000 rows by
-default) and then applied to ALL rows with the frozen medians, clip bounds,
-scaler moments, loadings and centres -- scoring everything is a cheap
-projection in Spark, where the reference kept sample rows only.
+The projection is fitted on all rows (or on an exact, reproducible sample of
+``sample_size`` rows where the caller asks for one) and then applied to all
+rows with the frozen medians, clip bounds, scaler moments, loadings and
+centres.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from riskframe.operators import clean, cluster, corr, encode, profile, sampling, stattests
 from riskframe.operators.longform import numeric_columns
 from riskframe.session import write_checkpoint_table
-from riskframe.spec import KMEANS_K, KMEANS_RESTARTS, SAMPLE_ROWS, SEED, TableSpec
+from riskframe.spec import KMEANS_K, KMEANS_RESTARTS, SEED, TableSpec
 
 
 @dataclass
@@ -55,13 +55,15 @@ class Projection:
 
 
 def fit_projection(df: DataFrame, features: Sequence[str], id_col: str,
-                   sample_size: int = SAMPLE_ROWS, k: int = KMEANS_K,
+                   sample_size: int | None = None, k: int = KMEANS_K,
                    restarts: int = KMEANS_RESTARTS, seed: int = SEED) -> Projection:
-    """Sample -> non-finite to median then 0 -> clip to the sample's 1%/99%
+    """All rows (or a sample) -> non-finite to median then 0 -> clip to their 1%/99%
     (every column) -> drop constant columns -> scale (ddof 0) -> PCA(2) and
     k-means (best of ``restarts``)."""
-    sample = write_checkpoint_table(
-        sampling.sample_n(df.select(id_col, *features), sample_size, id_col, seed), "sample")
+    rows = df.select(id_col, *features)
+    if sample_size is not None:
+        rows = sampling.sample_n(rows, sample_size, id_col, seed)
+    sample = write_checkpoint_table(rows, "fit_rows")
     medians = clean.column_medians(sample, list(features))
     filled = sample.select(id_col, *[F.coalesce(F.col(f"`{c}`").cast("double"),
                                                 F.lit(float(medians[c] if medians[c] is not None else 0.0)))

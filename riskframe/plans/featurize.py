@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators import clean, corr, encode
+from riskframe.operators import clean, corr, encode, profile
 from riskframe.operators.features import engineer_features
 from riskframe.operators.longform import numeric_columns
 from riskframe.session import write_checkpoint_table
@@ -36,6 +36,7 @@ class FeaturePlan:
     dropped_corr: list[str] = field(default_factory=list)
     kept: list[str] = field(default_factory=list)
     importance: dict[str, float] = field(default_factory=dict)
+    variance: dict[str, float] = field(default_factory=dict)
     log: dict = field(default_factory=dict)
 
     def _base(self, df: DataFrame) -> DataFrame:
@@ -81,6 +82,7 @@ class FeaturePlan:
         if materialize:
             df = write_checkpoint_table(df, "scaled")
         feats = numeric_columns(df, keep)
+        plan.variance = {r["feature"]: r["variance"] for r in profile.feature_variance(df, feats).collect()}
         pairs = corr.correlation_matrix(df, feats)
         plan.dropped_corr = [r["feature"] for r in corr.correlation_prune(pairs, corr_threshold).collect()]
         kept = [f for f in feats if f not in set(plan.dropped_corr)]

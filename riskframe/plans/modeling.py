@@ -35,6 +35,16 @@ def split_frame(df: DataFrame, spec: TableSpec, test_share: float = TEST_SHARE,
         sampling.stratified_split(df, spec.id_col, spec.target_col, test_share, folds, seed), "split")
 
 
+def fit_features(df: DataFrame, spec: TableSpec | None = None, folds: int = CV_FOLDS, top_k: int = 80,
+                 importance_model=None) -> tuple[FeaturePlan, DataFrame]:
+    """(feature plan fitted on the training rows, the split table)."""
+    spec = spec or TableSpec()
+    split = split_frame(df, spec, folds=folds)
+    train = split.where(F.col("is_test") == 0)
+    plan = FeaturePlan.fit(train.drop("is_test", "fold"), spec, top_k=top_k, importance_model=importance_model)
+    return plan, split
+
+
 def run_models(df: DataFrame, spec: TableSpec | None = None,
                models: Sequence[M.ModelSpec] | None = None,
                cv_models: Sequence[str] | None = None, folds: int = CV_FOLDS,
@@ -48,11 +58,9 @@ def run_models(df: DataFrame, spec: TableSpec | None = None,
     if unsupervised is not None:
         extra = [c for c in unsupervised.columns if c != spec.id_col and c not in df.columns]
         df = df.join(unsupervised.select(spec.id_col, *extra), spec.id_col, "left")
-    split = split_frame(df, spec, folds=folds)
+    plan, split = fit_features(df, spec, folds, top_k, importance_model)
     train = split.where(F.col("is_test") == 0)
     test = split.where(F.col("is_test") == 1)
-    plan = FeaturePlan.fit(train.drop("is_test", "fold"), spec, top_k=top_k,
-                           importance_model=importance_model)
     tr = write_checkpoint_table(plan.transform(train).join(
         train.select(spec.id_col, "fold"), spec.id_col), "train_features")
     te = write_checkpoint_table(plan.transform(test), "test_features")

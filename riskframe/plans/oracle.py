@@ -58,7 +58,8 @@ SQL: dict[str, str] = {}
 
 SQL["standardize_columns"] = """
 SELECT o_orderkey AS O_ORDERKEY, o_custkey AS O_CUSTKEY, o_orderstatus AS O_ORDERSTATUS,
-       o_totalprice AS O_TOTALPRICE, o_orderpriority AS O_ORDERPRIORITY FROM orders"""
+       o_totalprice AS O_TOTALPRICE, o_orderpriority AS O_ORDERPRIORITY,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS O_ORDERDATE FROM orders"""
 
 SQL["clean_placeholders"] = f"""
 SELECT o_orderkey, {_clean_priority()} AS o_orderpriority FROM ({sql_from(ORDERS_PLACEHOLDERS)})"""
@@ -74,15 +75,11 @@ FROM ({sql_from(LINEITEM_TEXT_NUMBERS)})"""
 SQL["impute_median"] = f"""
 WITH t AS ({sql_from(LINEITEM_MISSING)})
 SELECT l_orderkey, l_linenumber,
-       {_r("coalesce(l_price_m, (SELECT median(l_price_m) FROM t))")} AS l_price_m FROM t"""
+       coalesce(l_price_m, {_r("(SELECT median(l_price_m) FROM t)")}) AS l_price_m FROM t"""
 
 SQL["dedupe_rows"] = """
-SELECT DISTINCT * FROM (
-  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
-         l_tax, l_returnflag, l_linestatus FROM lineitem
-  UNION ALL
-  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
-         l_tax, l_returnflag, l_linestatus FROM lineitem WHERE l_orderkey % 10 = 0)"""
+SELECT DISTINCT * REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate) FROM (
+  SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 10 = 0)"""
 
 
 def _missing_rows(src: str, cols: list[str]) -> str:
@@ -190,9 +187,11 @@ WHERE o_custkey IS NOT NULL GROUP BY o_custkey"""
 
 SQL["rollup_join"] = f"""
 WITH r AS (SELECT o_custkey, {", ".join(_stats("o_totalprice", "ord") + _shares("o_orderstatus", ORDER_STATUS, "ord"))}
-           FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01' GROUP BY o_custkey)
+           FROM orders GROUP BY o_custkey),
+c AS (SELECT c_custkey, c_nationkey, c_acctbal FROM customer
+      UNION ALL SELECT -c_custkey, c_nationkey, c_acctbal FROM customer)
 SELECT c.c_custkey, c.c_nationkey, c.c_acctbal, r.* EXCLUDE (o_custkey)
-FROM customer c LEFT JOIN r ON c.c_custkey = r.o_custkey"""
+FROM c LEFT JOIN r ON c.c_custkey = r.o_custkey"""
 
 _LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -291,7 +290,10 @@ b AS (SELECT c.target, CAST(CASE WHEN (hi - lo) / 40 > 0
                                 THEN least(floor((x - lo) / ((hi - lo) / 40)), 39) ELSE 0 END AS INT) AS bin,
              lo, hi, n_class
       FROM c JOIN rng ON c.target = rng.target),
-h AS (SELECT target, bin, lo, hi, n_class, count(*) AS count FROM b GROUP BY ALL),
+k AS (SELECT target, bin, count(*) AS count FROM b GROUP BY ALL),
+every AS (SELECT target, lo, hi, n_class, CAST(unnest(generate_series(0, CASE WHEN hi > lo THEN 39 ELSE 0 END)) AS INT) AS bin
+          FROM rng),
+h AS (SELECT every.*, coalesce(count, 0) AS count FROM every LEFT JOIN k USING (target, bin)),
 w AS (SELECT *, CASE WHEN hi > lo THEN (hi - lo) / 40 ELSE 1.0 END AS width FROM h)
 SELECT target, bin, {_r("lo + bin * width")} AS bin_start, {_r("lo + (bin + 1) * width")} AS bin_end,
        count, {_r("count / (n_class * width)")} AS density FROM w"""
@@ -410,12 +412,12 @@ t AS (SELECT *, sum(n1) OVER w AS tp, sum(n0) OVER w AS fp,
 
 SQL["roc_points"] = f"""
 WITH {_SCORES_LONG}
-SELECT model, {_r("score")} AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+SELECT model, score AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
        {_r("tp / P")} AS tpr, {_r("fp / N")} AS fpr FROM t"""
 
 SQL["pr_points"] = f"""
 WITH {_SCORES_LONG}
-SELECT model, {_r("score")} AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+SELECT model, score AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
        {_r("tp / (tp + fp)")} AS precision, {_r("tp / P")} AS recall FROM t"""
 
 SQL["ranking_metrics"] = f"""

@@ -68,6 +68,7 @@ QUERIES = {
     "top_importances": dq.q_top_importances,
     "selected_features": dq.q_selected_features,
     "feature_log": dq.q_feature_log,
+    "pipeline_snapshot": dq.q_pipeline_snapshot,
     "csv_roundtrip": dq.q_csv_roundtrip,
     "prepared_customers": dq.q_prepared_customers,
     "prepare_log": dq.q_prepare_log,

@@ -11,7 +11,9 @@ from riskframe.functions.distributions import chi2_sf, normal_two_sided_p
 from riskframe.operators import clean, corr, curves, encode, rollup, stattests
 from riskframe.operators.features import engineer_features
 from riskframe.operators.ordered import average_ranks, exact_quantiles
+from riskframe.operators.profile import class_histogram
 from riskframe.operators.report import comparison_table, results_long, selection_scores
+from riskframe.plans.explore import fit_projection
 
 
 def test_average_ranks_ties_and_negative_zero(spark):
@@ -234,3 +236,30 @@ def test_chi_square_tail_with_many_degrees_of_freedom():
     from riskframe.functions.distributions import _gamma_q
     # At its mean the tail tends to one half from below as the degrees of freedom grow.
     assert abs(_gamma_q(5e8, 5e8) - 0.5) < 1e-4
+
+
+def test_class_histogram_keeps_empty_bins(spark):
+    df = spark.createDataFrame([(float(v), y) for y in (0, 1) for v in (0, 0, 10, 10)], "x double, y int")
+    rows = class_histogram(df, "x", "y", bins=10).collect()
+    assert len(rows) == 20 and sum(r["count"] for r in rows) == 8
+    assert {r.bin for r in rows if r["count"]} == {0, 9}
+    one = class_histogram(df.where("x = 0"), "x", "y", bins=10).collect()
+    assert [(r.bin, r["count"]) for r in one] == [(0, 2), (0, 2)]
+    with pytest.raises(ValueError, match="two classes"):
+        class_histogram(df.withColumn("y", F.monotonically_increasing_id()), "x", "y")
+
+
+def test_clean_table_counts_what_it_cannot_fill(spark):
+    df = spark.sql("SELECT id AS sk_id_curr, CAST(id AS DOUBLE) AS a, IF(id < 5, NULL, timestamp'2020-01-01') AS t, "
+                   "IF(id < 2, NULL, true) AS b, IF(id < 3, NULL, 'x') AS s FROM range(10)")
+    out, log = clean.clean_table(df, "t")
+    assert log["missing_after"] == 7 and log["categorical_imputed"] == 3
+    assert out.where("T IS NULL").count() == 5 and out.where("S IS NULL").count() == 0
+
+
+def test_projection_fits_all_rows_unless_a_sample_is_asked_for(spark):
+    df = spark.range(300).select("id", F.sin("id").alias("a"), F.cos("id").alias("b"), (F.col("id") % 7).cast("double").alias("c"))
+    whole = fit_projection(df, ["a", "b", "c"], "id", restarts=1)
+    part = fit_projection(df, ["a", "b", "c"], "id", sample_size=50, restarts=1)
+    assert whole.scaler.moments["c"] != part.scaler.moments["c"]
+    assert whole.scaler.moments["c"][0] == pytest.approx(sum(i % 7 for i in range(300)) / 300)
