@@ -119,7 +119,9 @@ def fit_rules(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAI
     chosen = write_checkpoint_table(chosen.distinct(), "train-ids")
     # At most max_train_rows ids and labels: small enough to meet the texts without shuffling them.
     train = with_stats(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")).drop("text")
-    return fit(write_checkpoint_table(train.select(*STATS, "label"), "train"))
+    # Subsampling depends on partitions and row order, so one sorted file of these few rows gives every run the same rules.
+    train = train.select(*STATS, "label").repartition(1).sortWithinPartitions(*STATS, "label")
+    return fit(write_checkpoint_table(train, "train"))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
