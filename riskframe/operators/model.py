@@ -10,7 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, RandomForestClassifier,
 )
@@ -21,8 +24,13 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.names import quote
 from riskframe.operators import curves
+from riskframe.operators.clean import MedianImputer
+from riskframe.session import write_checkpoint_table
 from riskframe.spec import BOOSTING_POSITIVE_WEIGHT, SEED
 
+#: The fold number of the held-out split.
+HELD_OUT = -1
+
 
 def class_weight_table(df: DataFrame, target: str) -> DataFrame:
     """Balanced weights n / (2 * n_class) per class (K1): (target, n, weight)."""
@@ -85,44 +93,66 @@ def assemble(df: DataFrame, features: Sequence[str], target: str, keep: Sequence
                                   F.col(quote(target)).cast("double").alias("label")))
 
 
-def fit_score(spec: ModelSpec, train: DataFrame, test: DataFrame, features: Sequence[str],
-              target: str, id_col: str):
-    """Fit on ``train``; return (model, scored test rows (id, y, score)).
-    Remaining missing feature values get the training medians first (B20)."""
-    from riskframe.operators.clean import MedianImputer
+def prepare_split(train: DataFrame, test: DataFrame, features: Sequence[str],
+                  target: str, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides as (id, features, label) tables, written once so that every
+    model of a split shares them.  Remaining missing feature values get the
+    training medians first (B20)."""
     imputer = MedianImputer.fit(train, list(features))
     imputer.medians = {k: (v if v is not None else 0.0) for k, v in imputer.medians.items()}
-    train, test = imputer.transform(train), imputer.transform(test)
-    tr = with_weights(assemble(train, features, target, [id_col]), "label", spec.weight_scheme)
-    n = tr.count()
-    model = spec.build(n).fit(tr)
-    te = assemble(test, features, target, [id_col])
-    scored = model.transform(te).select(
-        id_col, F.col("label").cast("int").alias("y"),
+    return tuple(
+        write_checkpoint_table(assemble(imputer.transform(side), features, target, [id_col])
+                               .select(quote(id_col), "features", "label"), name)
+        for side, name in ((train, "fit_rows"), (test, "score_rows")))
+
+
+def fit_score(spec: ModelSpec, train: DataFrame, test: DataFrame, id_col: str):
+    """Fit on a prepared ``train``; return (model, scored test rows (id, y, score))."""
+    model = spec.build(train.count()).fit(with_weights(train, "label", spec.weight_scheme))
+    scored = model.transform(test).select(
+        quote(id_col), F.col("label").cast("int").alias("y"),
         vector_to_array("probability")[1].alias("score"))
     return model, scored
 
 
-def evaluate(scored: DataFrame, name: str) -> DataFrame:
-    """(model, roc_auc, average_precision, precision, recall, f1) for one scored frame."""
-    long = scored.select(F.lit(name).alias("model"), "score", "y")
-    rk = curves.ranking_metrics(long, groups_hint=1)
+def fit_splits(specs: Sequence[ModelSpec], splits: Sequence[tuple[int, DataFrame, DataFrame]], features: Sequence[str],
+               target: str, id_col: str, cv_models: Sequence[str] | None = None,
+               parallelism: int = 4) -> tuple[dict, DataFrame]:
+    """Fit every model on every (fold, train, test) split.
+
+    ``HELD_OUT`` marks the held-out split, whose models are returned by name;
+    the folds are fitted for ``cv_models`` only (all by default).  All scored
+    rows (model, fold, id, y, score) are written to one table.  Up to
+    ``parallelism`` fits run side by side, as in MLlib's CrossValidator.
+    """
+    def wanted(fold):
+        return [m for m in specs if fold == HELD_OUT or cv_models is None or m.name in cv_models]
+
+    def prepare(split):
+        fold, train, test = split
+        return fold, *prepare_split(train, test, features, target, id_col)
+
+    def fit(task):
+        spec, fold, train, test = task
+        model, scored = fit_score(spec, train, test, id_col)
+        return spec.name, fold, model, scored.select(F.lit(spec.name).alias("model"), F.lit(fold).alias("fold"), "*")
+
+    spark = splits[0][1].sparkSession
+    with ThreadPool(max(1, parallelism)) as pool:
+        ready = pool.map(inheritable_thread_target(spark)(prepare), [s for s in splits if wanted(s[0])])
+        done = pool.map(inheritable_thread_target(spark)(fit),
+                        [(m, *split) for split in ready for m in wanted(split[0])], chunksize=1)
+    scored = write_checkpoint_table(reduce(DataFrame.unionByName, (d[3] for d in done)), "scores")
+    return {name: model for name, fold, model, _ in done if fold == HELD_OUT}, scored
+
+
+def evaluate(scored: DataFrame, groups: int) -> DataFrame:
+    """(model, fold, roc_auc, average_precision, precision, recall, f1) for every
+    model and fold of the scored rows; ``groups`` bounds their number."""
+    long = scored.select(F.struct("model", "fold").alias("model"), "score", "y")
+    rk = curves.ranking_metrics(long, groups_hint=groups)
     cm = curves.confusion_metrics(long, 0.5)
-    return rk.join(cm, "model").select("model", "roc_auc", "average_precision",
-                                       "precision", "recall", "f1")
-
-
-def cross_validate(spec: ModelSpec, train: DataFrame, features: Sequence[str], target: str,
-                   id_col: str, folds: int) -> DataFrame:
-    """Per-fold AUC and F1 on the training rows' ``fold`` column; one fit per
-    fold gives both metrics.  Returns (model, fold, roc_auc, f1)."""
-    out = None
-    for k in range(folds):
-        _, scored = fit_score(spec, train.where(F.col("fold") != k), train.where(F.col("fold") == k),
-                              features, target, id_col)
-        m = evaluate(scored, spec.name).select("model", F.lit(k).alias("fold"), "roc_auc", "f1")
-        out = m if out is None else out.unionByName(m)
-    return out
+    return rk.join(cm, "model").select("model.*", "roc_auc", "average_precision", "precision", "recall", "f1")
 
 
 def feature_importance(model, features: Sequence[str], name: str, spark) -> DataFrame:

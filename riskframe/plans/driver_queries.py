@@ -524,9 +524,9 @@ def q_model_comparison(spark, sf):
 
 
 def q_top_importances(spark, sf):
-    """Importances of the models fitted on the training rows; no fold is fitted but the linear model's."""
+    """Importances of the models fitted on the training rows; no fold is fitted."""
     from riskframe.operators.report import top_importances
-    return top_importances(_model_run(spark, sf, ["Logistic Regression"]).importances, 30)
+    return top_importances(_model_run(spark, sf, []).importances, 30)
 
 
 def q_selected_features(spark, sf):

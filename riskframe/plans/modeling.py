@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,17 +66,14 @@ def run_models(df: DataFrame, spec: TableSpec | None = None,
         train.select(spec.id_col, "fold"), spec.id_col), "train_features")
     te = write_checkpoint_table(plan.transform(test), "test_features")
     feats = plan.kept
-    test_rows, fold_rows, imps, fitted = None, None, None, {}
-    for ms in models:
-        model, scored = M.fit_score(ms, tr, te, feats, spec.target_col, spec.id_col)
-        fitted[ms.name] = model
-        ev = M.evaluate(scored, ms.name)
-        test_rows = ev if test_rows is None else test_rows.unionByName(ev)
-        if hasattr(model, "featureImportances"):
-            imp = M.feature_importance(model, feats, ms.name, df.sparkSession)
-            imps = imp if imps is None else imps.unionByName(imp)
-        if cv_models is None or ms.name in cv_models:
-            cv = M.cross_validate(ms, tr, feats, spec.target_col, spec.id_col, folds)
-            fold_rows = cv if fold_rows is None else fold_rows.unionByName(cv)
-    results = report.results_long(test_rows, fold_rows)
+    splits = [(M.HELD_OUT, tr, te)] + [
+        (k, tr.where(F.col("fold") != k), tr.where(F.col("fold") == k)) for k in range(folds)]
+    fitted, scored = M.fit_splits(models, splits, feats, spec.target_col, spec.id_col, cv_models)
+    metrics = write_checkpoint_table(M.evaluate(scored, len(models) * (folds + 1)), "metrics")
+    imps = [M.feature_importance(m, feats, name, df.sparkSession)
+            for name, m in fitted.items() if hasattr(m, "featureImportances")]
+    imps = reduce(DataFrame.unionByName, imps) if imps else None
+    held_out = F.col("fold") == M.HELD_OUT
+    crossed = cv_models is None or len(cv_models) > 0
+    results = report.results_long(metrics.where(held_out), metrics.where(~held_out) if crossed else None)
     return ModelRun(plan, results, report.comparison_table(results), imps, fitted)
