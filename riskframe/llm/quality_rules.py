@@ -26,9 +26,9 @@ SYMBOLS = "#*$%&|<>"
 REPEAT_WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = 8, 20, 30
 #: Share of a group that a concentration step keeps, steps, and the least rows of a group of its own.
 KEEP, STEPS, MIN_GROUP = 0.75, 4, 50
-#: Chi-square with four degrees of freedom: median, and the rejection point (p = 3e-13).
-#: Short clean texts scatter more than a normal law allows, so the point is a far one.
-CHI2_MEDIAN, CHI2_CUT = 3.3567, 65.0
+#: Chi-square with four degrees of freedom: median, and the rejection point (p = 5e-7), chosen by both error rates
+#: on labelled rows (README): short clean texts scatter more than a normal law allows, junk starts at about 35.
+CHI2_MEDIAN, CHI2_CUT = 3.3567, 35.0
 #: Transformed statistics and the spread below which a difference means nothing (sampling noise of short texts).
 STATS = {"s_word": 0.08, "s_symbol": 0.10, "s_upper": 0.10, "s_repeat": 0.15}
 _BINS_PER_UNIT = 64
@@ -143,13 +143,38 @@ def mcd_distances(rows: DataFrame, keys: list[str]) -> DataFrame:
     return far.join(half, keys).withColumn("d2", F.col("d2") / scale).drop("half")
 
 
+def _with_groups(passed: DataFrame) -> DataFrame:
+    """A row per document and group whose estimate needs it; ``_judged`` marks the group that judges the document.
+
+    That is its language and source where they have ``MIN_GROUP`` rows, else all rows of its language where
+    those are as many, else all rows.
+    """
+    sizes = passed.groupBy("lang", "source").agg(F.count("*").alias("_rows"))
+    langs = sizes.groupBy("lang").agg(F.sum("_rows").alias("_of_lang"), F.min("_rows").alias("_least"))
+    all_of = langs.agg((F.min("_of_lang") < MIN_GROUP).alias("_any"))
+    sizes = sizes.join(langs, "lang").crossJoin(F.broadcast(all_of))
+    own, lang = F.col("_rows") >= MIN_GROUP, F.col("_of_lang") >= MIN_GROUP
+    level = F.when(own, 0).when(lang, 1).otherwise(2)
+    group = lambda n, *key: F.struct(F.lit(n).alias("g_level"), *(
+        x.alias(y) for x, y in zip(key, ("g_lang", "g_source"))), (level == n).alias("_judged"))
+    none = F.lit("")
+    groups = F.filter(F.array(
+        F.when(own, group(0, F.col("lang"), F.col("source"))),
+        F.when(lang & (F.col("_least") < MIN_GROUP), group(1, F.col("lang"), none)),
+        F.when(F.col("_any"), group(2, none, none))), lambda g: g.isNotNull())
+    sizes = sizes.select("lang", "source", groups.alias("_groups"))
+    return (passed.join(sizes, ["lang", "source"]).withColumn("_group", F.explode("_groups"))
+            .select(*passed.columns, "_group.*"))
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance.
 
     Reads doc_id, text, lang and source only, so other columns may have any
     name.  NULL texts have no words and fail; NULL languages or sources form
-    groups of their own; sources with fewer than ``MIN_GROUP`` rows are judged
-    by all such rows together.  Repeated rows give equal rows; an empty table
+    groups of their own; documents of a source with fewer than ``MIN_GROUP`` rows
+    in their language are judged by the estimate of their language, or of all
+    rows where the language has fewer too.  Repeated rows give equal rows; an empty table
     an empty result.
     """
     base = docs.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("lang"),
@@ -161,13 +186,8 @@ def judge(docs: DataFrame) -> DataFrame:
              .withColumn("s_symbol", _share("n_symbols", "word_chars"))
              .withColumn("s_upper", _share("n_upper", "word_chars"))
              .withColumn("s_repeat", _share("n_repeat_words", "n_words")))
-    passed = stats.filter(~F.col("base_failed"))
-    sizes = passed.groupBy("lang", "source").agg(F.count("*").alias("_rows"))
-    grouped = passed.join(sizes, ["lang", "source"])
-    own = F.col("_rows") >= MIN_GROUP
-    grouped = (grouped.withColumn("g_lang", F.when(own, F.col("lang")).otherwise(F.lit("*")))
-               .withColumn("g_source", F.when(own, F.col("source")).otherwise(F.lit("*"))).drop("_rows"))
-    judged = mcd_distances(write_checkpoint_table(grouped, "judged"), ["g_lang", "g_source"])
+    judged = mcd_distances(write_checkpoint_table(_with_groups(stats.filter(~F.col("base_failed"))), "judged"),
+                           ["g_level", "g_lang", "g_source"]).filter("_judged")
     out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     return (judged.select(*out, (F.col("d2") <= CHI2_CUT).alias("kept"), F.col("d2").alias("distance"))
             .unionByName(stats.filter("base_failed").select(

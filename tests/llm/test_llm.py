@@ -4,6 +4,7 @@ very long texts, ties, repeated rows, empty tables, extra columns with clashing
 import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -87,6 +88,32 @@ def test_quality_rules(docs, sample):
     assert quality_rules.judge(docs.limit(0)).count() == 0
 
 
+def test_quality_rules_error_rates(spark):
+    corpus, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    got = quality_rules.judge(corpus).filter("not base_failed").select("doc_id", "kept").distinct()
+    rows = got.join(labels.select("doc_id", "quality").distinct(), "doc_id").collect()
+    junk, good = ([r.kept for r in rows if r.quality == q] for q in (0, 1))
+    assert len(junk) >= 20 and sum(not k for k in junk) >= 0.95 * len(junk)
+    assert sum(good) >= 0.98 * len(good)
+
+
+def test_quality_rules_small_sources(spark):
+    """A small source is judged by its own language, a language with few rows by all rows."""
+    def text(i, loud):
+        r = random.Random(i)
+        words = ("".join(r.choices("abcdefgh", k=r.randint(2, 8))) for _ in range(60))
+        return " ".join(w.upper() if loud else w for w in words)
+    rows = [("aa", "big", text(i, False)) for i in range(120)] + [("bb", "big", text(i, True)) for i in range(60)]
+    rows += [("aa", f"s{i % 3}", text(i, False)) for i in range(45)] + [("bb", "s", text(i, True)) for i in range(10)]
+    rows += [("bb", "s", text(0, False)), ("cc", "s", text(1, False)), ("cc", "s", "|#$%& " * 3 + text(1, True))]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, source string, text string")
+    kept = {r.doc_id: r.kept for r in quality_rules.judge(frame).collect()}
+    assert len(kept) == len(rows)
+    small = [kept[i] for i, r in enumerate(rows) if r[:2] == ("bb", "s")]
+    assert small == [True] * 10 + [False]
+    assert [kept[i] for i, r in enumerate(rows) if r[0] == "cc"] == [True, False]
+
+
 def test_substring_dedup(docs, sample):
     for frame in (docs.select("doc_id", "text"), sample.select("doc_id", "text"), docs.limit(0)):
         rows = frame.collect()
