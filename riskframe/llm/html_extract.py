@@ -32,6 +32,8 @@ ROLES = {
 }
 ROLE = {tag: role for role, tags in ROLES.items() for tag in tags.split()}
 DROPPED = frozenset("head script style noscript template svg iframe object canvas audio video math title".split())
+#: Start tags that may stand in a head; any other one ends it (its end tag may be left out).
+IN_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A start tag closes an open element of these when it meets one before any element of the second set.
 CLOSES = {**{t: ("p", "") for t in ROLE}, "li": ("p li", "ul ol menu"), "dt": ("p dt dd", "dl"), "dd": ("p dt dd", "dl"),
@@ -88,15 +90,19 @@ class _Tree(HTMLParser):
         self.parent, self.tag, self.attrs, self.chars, self.linked, self.gold = [-1], ["html"], [""], [0], [0], [False]
         self.runs: list[tuple[int, list[str]]] = []
         self.stack: list[tuple[str, int]] = [("html", 0)]
-        self.dropped, self.links = "", 0
+        self.links, self.html = 0, html
+        #: Open elements from the outermost dropped one inwards; none outside of dropped elements.
+        self.dropped: list[str] = []
+        self.last_end: dict[str, tuple[int, int]] = {}
         self.feed(html)
         self.close()
 
     def handle_starttag(self, tag, attrs):
-        if self.dropped:
-            return
-        if tag in DROPPED:
-            self.dropped = tag
+        if self.dropped and self._ends_dropped(tag):
+            self.dropped = []
+        if self.dropped or tag in DROPPED:
+            if tag not in VOID:
+                self.dropped.append(tag)
             return
         if tag in VOID:
             if tag in ("br", "hr"):
@@ -118,6 +124,26 @@ class _Tree(HTMLParser):
             self.stack.append((tag, self.stack[-1][1]))
             self.links += tag == "a"
 
+    def _unclosed(self, tag: str) -> bool:
+        """No end tag of ``tag`` follows the current place."""
+        if tag not in self.last_end:
+            at = max((m.start() for m in re.finditer(rf"</{tag}(?![\w-])", self.html, re.I)), default=-1)
+            self.last_end[tag] = (self.html.count("\n", 0, at) + 1, at - self.html.rfind("\n", 0, at) - 1) if at >= 0 else (0, 0)
+        return self.getpos() > self.last_end[tag]
+
+    def _ends_dropped(self, tag: str) -> bool:
+        """Whether a start tag ends the dropped element: a head at the first body-level tag, and one without
+        an end tag at the next block, where no enclosing block is left that could end it."""
+        top, inner = self.dropped[0], self.dropped[-1]
+        if top == "head":
+            return tag == "body" or (tag not in IN_HEAD and (inner == "head" or (tag in ROLE and self._unclosed(inner))))
+        return tag in ROLE and all(x not in ROLE or x == "html" for x, _ in self.stack) and self._unclosed(top)
+
+    def set_cdata_mode(self, elem, **kw):
+        """Raw text runs to the end tag; an iframe or title that lacks one is read like any other element."""
+        if elem not in ("iframe", "title") or not self._unclosed(elem):
+            super().set_cdata_mode(elem, **kw)
+
     def _close(self, ends, stops):
         """Pop to the outermost element of ``ends`` above any element of ``stops`` or any other block."""
         cut = None
@@ -135,14 +161,18 @@ class _Tree(HTMLParser):
         del self.stack[cut:]
 
     def handle_endtag(self, tag):
-        if self.dropped:
-            if tag == self.dropped or (tag == "head"):
-                self.dropped = ""
+        if tag in self.dropped:
+            while self.dropped.pop() != tag:
+                pass
             return
-        if tag in ("html", "body"):
+        if tag in ("html", "body", "head"):
+            self.dropped = []
             return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i][0] == tag:
+                if self.dropped and tag not in ROLE:
+                    return
+                self.dropped = []
                 return self._pop(i)
             if self.stack[i][0] in ROLE and tag not in ROLE:
                 return
@@ -154,6 +184,8 @@ class _Tree(HTMLParser):
                 self.handle_endtag(tag)
 
     def handle_data(self, data):
+        if self.dropped == ["head"] and data.strip():
+            self.dropped = []
         if not self.dropped:
             self._text(data)
 

@@ -257,6 +257,19 @@ def test_html(spark):
     assert html_extract.extract(frame.limit(0)).count() == 0
 
 
+def test_html_unclosed_dropped_elements():
+    story = "<article><h1>Title</h1><p>Some words that make a paragraph of a story.</p></article>"
+    want = "Title\nSome words that make a paragraph of a story."
+    for html in (f"<head><title>T</title><body>{story}", f"<html><head><meta charset=x><title>T</title>{story}",
+                 f"<head><title>T<body>{story}", f"<head><noscript><link></head><body>{story}",
+                 f"<body><div><noscript><img src=x>Turn on scripts</div>{story}", f"<body><noscript><img src=x>{story}",
+                 f"<body><object><object></object>not this</object>{story}",
+                 *(f"<body><div><{tag}>not this</div>{story}" for tag in ("iframe", "svg", "object", "canvas")),
+                 *(f"<body><{tag}>not this{story}" for tag in ("iframe", "svg", "object", "canvas"))):
+        assert html_extract.main_text(html)[0] == want, html
+    assert html_extract.main_text("<head><style>p{}</style><script>var a='<body><p>x</p>'</script></head>")[0] == ""
+
+
 def test_html_sum_product_is_exact():
     """Marginals equal those from summing over all labellings."""
     t = html_extract._Tree("<div class=content><h1>Ab</h1><div><p>Some words</p><a>x</a></div></div><nav><p>Menu</p></nav>")
