@@ -8,7 +8,7 @@ look-behinds only spare the engine from retrying inside a run of characters
 (a run that fails at its start fails at each later start too), which keeps
 very long runs linear and free of recursion.
 
-Added kinds: ``iban`` (ISO 7064 mod-97), ``ssn`` and ``secret`` (hexadecimal
+Added kinds: ``iban`` (length by country code, ISO 7064 mod-97), ``ssn`` and ``secret`` (hexadecimal
 keys), the last two only where a context word confirms them.
 """
 
@@ -24,12 +24,24 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+#: Length of an IBAN by country code.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN = "|".join(rf"(?:{'|'.join(codes.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, codes in IBAN_LENGTHS.items())
 ADDED = {
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    # Only the country code is consumed, so every start is tested and no failed one hides the next.
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?=({_IBAN})(?![A-Za-z0-9]))[A-Z]{{2}}",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "secret": r"(?<![0-9A-Za-z])[0-9a-f]{32,64}(?![0-9A-Za-z])",
 }
 KINDS = {**BASE, **ADDED}
+#: Kinds whose text is a group of the pattern, with the number of characters that the pattern consumes.
+AHEAD = {"iban": 2}
 #: A character without which a kind cannot occur.
 HINT = {"email": "@", "phone": "+", "ip": "."}
 #: Prior score of a confirmed match, and the words nearby that raise it.
@@ -78,8 +90,10 @@ def _spans(kind: str, rank: int, matches: str, gaps: str) -> Column:
     n = F.size(matches)
     pieces = F.arrays_zip(F.col(matches).alias("m"), F.slice(gaps, F.lit(1), n).alias("before"),
                           F.slice(gaps, F.lit(2), n).alias("after"))
-    near = lambda p: F.lower(F.concat_ws(" ", F.right(p["before"], F.lit(CONTEXT_CHARS)),
-                                         F.left(p["after"], F.lit(CONTEXT_CHARS))))
+    taken = lambda p: F.lit(AHEAD[kind]) if kind in AHEAD else F.length(p["m"])
+    after = lambda p: (F.substring(p["after"], F.length(p["m"]) - taken(p) + 1, F.lit(CONTEXT_CHARS)) if kind in AHEAD
+                       else F.left(p["after"], F.lit(CONTEXT_CHARS)))
+    near = lambda p: F.lower(F.concat_ws(" ", F.right(p["before"], F.lit(CONTEXT_CHARS)), after(p)))
     def step(acc, p):
         start = acc["at"] + F.length(p["before"])
         end = start + F.length(p["m"])
@@ -87,7 +101,7 @@ def _spans(kind: str, rank: int, matches: str, gaps: str) -> Column:
         ok = _confirmed(kind, p["m"]) & (F.lit(kind in BASE) | (score >= THRESHOLD))
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"),
                         score.alias("score"))
-        return F.struct(end.alias("at"), F.when(ok, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+        return F.struct((start + taken(p)).alias("at"), F.when(ok, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
     start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
     return F.when(n > 0, F.aggregate(pieces, start, step, lambda a: a["out"])).otherwise(F.array().cast(_SPAN))
 
@@ -98,7 +112,8 @@ def with_spans(docs: DataFrame, text: str = "text", out: str = "pii_spans") -> D
     found = docs
     for kind, pattern in KINDS.items():
         has = F.contains(body, F.lit(HINT[kind])) if kind in HINT else F.lit(True)
-        found = found.withColumn(f"_pii_m_{kind}", F.when(has, F.regexp_extract_all(body, F.lit(pattern), F.lit(0))))
+        found = found.withColumn(f"_pii_m_{kind}", F.when(has, F.regexp_extract_all(
+            body, F.lit(pattern), F.lit(int(kind in AHEAD)))))
     for kind, pattern in KINDS.items():
         m = f"_pii_m_{kind}"
         found = found.withColumn(f"_pii_g_{kind}", F.when(F.size(m) > 0, F.split(body, pattern, -1)))

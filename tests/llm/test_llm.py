@@ -69,6 +69,16 @@ def test_pii(spark, docs, sample):
     assert [r.text for r in pii.redact(docs.filter("doc_id in (4, 5)")).collect()] == [None, ""]
 
 
+def test_iban_with_words_around(spark):
+    texts = ["IBAN GB82 WEST 1234 5698 7654 32 BIC ABCDGB2L", "DE89 3704 0044 0532 0130 00 EUR 500",
+             "PO12 ORDER 1234 DE89 3704 0044 0532 0130 00 GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 3 BIC", "NO9386011117947"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.spans for r in pii.find_pii(frame).orderBy("doc_id").collect()] == [
+        "iban:5:32", "iban:0:27", "iban:16:43,iban:44:66", "", "iban:0:15"]
+    assert [r.text for r in pii.redact(frame).orderBy("doc_id").collect()] == [
+        "IBAN <IBAN> BIC ABCDGB2L", "<IBAN> EUR 500", "PO12 ORDER 1234 <IBAN> <IBAN>", texts[3], "<IBAN>"]
+
+
 def test_quality_rules(docs, sample):
     frame = docs.select("doc_id", "text", "lang", "source").union(sample.select("doc_id", "text", "lang", "source"))
     def brute(t):
