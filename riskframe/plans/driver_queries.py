@@ -497,15 +497,10 @@ def q_kmeans_k_selection(spark, sf):
                                  "k int, inertia double, silhouette_score double")
 
 
-# The registered model queries keep the reference's model settings except the
-# boosted model's iteration count (300 in the library default; see README).
-QUERY_BOOST_ITER = 30
-
-
 def _model_run(spark, sf, cv_models=None):
     from riskframe.operators.model import default_models
     from riskframe.plans.modeling import run_models
-    return run_models(applicants(spark, sf), TableSpec(), default_models(boost_iter=QUERY_BOOST_ITER), cv_models)
+    return run_models(applicants(spark, sf), TableSpec(), default_models(), cv_models)
 
 
 def _feature_plan(spark, sf, by_importance=False):

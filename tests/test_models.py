@@ -52,3 +52,14 @@ def test_grouped_metrics_equal_one_group_at_a_time(rows):
         assert r["roc_auc"] == pytest.approx(rank["roc_auc"])
         assert r["average_precision"] == pytest.approx(rank["average_precision"])
         assert (r["precision"], r["recall"], r["f1"]) == (conf["precision"], conf["recall"], conf["f1"])
+
+
+def test_registered_queries_fit_the_reference_settings(spark, monkeypatch):
+    """The boosted model of the registered queries has the reference's 300 rounds."""
+    from riskframe.plans import driver_queries, modeling
+    seen = []
+    monkeypatch.setattr(driver_queries, "applicants", lambda spark, sf: None)
+    monkeypatch.setattr(modeling, "run_models", lambda df, spec, models, cv_models=None: seen.extend(models))
+    driver_queries._model_run(None, "")
+    boosted = [m.build(100) for m in seen if m.name == "Boosted Trees"]
+    assert [m.getMaxIter() for m in boosted] == [300]
