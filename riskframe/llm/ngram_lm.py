@@ -1,24 +1,28 @@
 """Interpolated modified Kneser-Ney language model (operator 8).
 
 Tokens are the words of a text (A-Z folded) and one end mark.  Counting runs
-in Spark: blocks of text send their distinct word pairs with counts, dealt by
-pair hash, so the commonest word's pairs spread over all parts; each part
-merges them, stores a shard of sorted pair hashes and counts, and sends
-per-word sums (count, followers by multiplicity, distinct predecessors) that
-are merged by word into a second set of shards.  Shards are plain ``.npy``
-arrays in the shared folder; scoring workers memory-map them and look up each
-block's distinct pairs in hash order, so a lookup walks a shard forwards and
-no process ever loads the model.  Only the counts of counts, a handful of
-numbers, reach the driver.
-
-``p(w|v) = max(c(vw) - D(c), 0) / c(v) + gamma(v) p1(w)`` with modified
-discounts D1, D2, D3+ and ``p1`` the same form over distinct predecessors,
-interpolated with the uniform distribution over the vocabulary and one unknown
-word.  The shared folder must be one that every worker can open as a path.
+in Spark, one exchange for each order from the highest down: blocks of text
+send their distinct n-grams with counts, dealt by n-gram hash, so the commonest
+context's n-grams spread over all parts; each part merges them, stores a shard
+of sorted hashes and counts, and sends sums for the n-grams one word shorter
+(as suffix: count and distinct predecessors; as context: followers' total and
+number by multiplicity), which the next exchange deals by their hash, down to
+the words.  Shards are plain ``.npy`` arrays in the shared folder; scoring
+workers memory-map them and look up each block's distinct n-grams in hash
+order, so a lookup walks a shard forwards and no process ever loads the model.
+Only the counts of counts, a handful of numbers, reach the driver.
+
+``p(w|h) = max(c(hw) - D(c), 0) / c(h) + gamma(h) p(w|h')`` with modified
+discounts D1, D2, D3+ of each order; ``c`` is the count at the highest order
+and in n-grams that start with the begin mark (nothing can precede them), else
+the number of distinct predecessors.  Words are interpolated with the uniform
+distribution over the vocabulary and one unknown word.  The shared folder must
+be one that every worker can open as a path.
 """
 
 from __future__ import annotations
 
+import math
 import os
 import uuid
 from functools import partial
@@ -37,16 +41,22 @@ BEGIN, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 BLOCK_BYTES = 8 << 20
 CHARS_PER_PART = 12_000_000
 _PAIR = np.uint64(0xD1342543DE82EF95)
-#: Columns of a word shard: count, followers seen once, twice, more often, distinct predecessors.
-STATS = ("c", "n1", "n2", "n3", "a")
+#: Sums of an n-gram: count, distinct predecessors, and as a context followers' total, followers of 1, 2, more.
+STATS = ("c", "a", "t", "n1", "n2", "n3")
+_WIDE = ("c", "t")
+_SCHEMA = "part int, words binary, at array<binary>, " + ", ".join(f"{k} binary" for k in STATS) + ", facts array<long>"
 
 
-def _pair_hash(v: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return mix(v * _PAIR + w)
+def _gram_hash(grams: np.ndarray) -> np.ndarray:
+    """Hash of each row's words; a single word is its own hash."""
+    h = grams[:, 0]
+    for j in range(1, grams.shape[1]):
+        h = mix(h * _PAIR + grams[:, j])
+    return h
 
 
-def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(previous token, token, row of each): every row ends with END and starts after BEGIN."""
+def _tokens(column: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(n-gram that ends at each token, place of the token in its row, row): rows end with END and start after BEGINs."""
     words, rows = word_hashes(column, lower=True)
     n = len(column)
     size = np.diff(rows) + 1
@@ -56,19 +66,22 @@ def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inner = np.ones(len(token), bool)
     inner[ends] = False
     token[inner] = words
-    before = np.empty_like(token)
-    before[1:] = token[:-1]
-    before[ends - size + 1] = BEGIN
-    return before, token, np.repeat(np.arange(n), size)
-
-
-def _merge(v, w, c):
-    """Sum the counts of equal pairs; sorted by pair hash."""
-    h = _pair_hash(v, w)
+    place = np.arange(len(token)) - np.repeat(ends - size + 1, size)
+    grams = np.full((len(token), order), BEGIN, np.uint64)
+    grams[:, -1] = token
+    for back in range(1, order):
+        has = np.flatnonzero(place >= back)
+        grams[has, order - 1 - back] = token[has - back]
+    return grams, place, np.repeat(np.arange(n), size)
+
+
+def _merge(grams: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Add up the sums of equal n-grams; sorted by hash."""
+    h = _gram_hash(grams)
     order = np.argsort(h, kind="stable")
     h = h[order]
     head = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-    return h[head], v[order[head]], w[order[head]], np.add.reduceat(c[order], head)
+    return h[head], grams[order[head]], np.add.reduceat(sums[order], head, axis=0)
 
 
 def _part_of(h: np.ndarray, parts: int) -> np.ndarray:
@@ -76,30 +89,48 @@ def _part_of(h: np.ndarray, parts: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def _deal_pairs(v, w, parts: int) -> pa.RecordBatch:
-    h, v, w, c = _merge(v, w, np.ones(len(v), np.int64))
+def _deal(grams: np.ndarray, sums: np.ndarray, parts: int, facts: list[int]) -> pa.RecordBatch:
+    """Packed rows, one for each part: its words once, n-grams as places among them, sums as byte planes."""
+    h, grams, sums = _merge(grams, sums)
     rows = []
     for s, e in edges(part := _part_of(h, parts)):
-        order = np.argsort(v[s:e], kind="stable") + s
-        heads = np.flatnonzero(np.r_[True, v[order][1:] != v[order][:-1]])
-        rows.append((int(part[s]), v[order][heads].tobytes(), to_planes(np.diff(heads, append=e - s), "<u4"),
-                     w[order].tobytes(), to_planes(c[order], "<u4")))
+        words, at = np.unique(grams[s:e].ravel(), return_inverse=True)
+        at = at.reshape(e - s, -1)
+        order = np.lexsort(at.T[::-1])
+        at = at[order]
+        at[:, 0] = np.diff(at[:, 0], prepend=0)
+        rows.append((int(part[s]), words.tobytes(), [to_planes(x, "<u4") for x in at.T],
+                     *(to_planes(sums[s:e, i][order], "<u8" if k in _WIDE else "<u4") for i, k in enumerate(STATS)),
+                     facts if not rows else [0] * len(facts)))
     cols = list(zip(*rows))
-    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32())] + [pa.array(x, pa.binary()) for x in cols[1:]],
-                                      names=["part", "v", "runs", "w", "c"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.list_(pa.binary())),
+         *(pa.array(x, pa.binary()) for x in cols[3:-1]), pa.array(cols[-1], pa.list_(pa.int64()))],
+        names=["part", "words", "at", *STATS, "facts"])
+
+
+def _undeal(r: dict) -> tuple[np.ndarray, np.ndarray]:
+    words, at = np.frombuffer(r["words"], np.uint64), [from_planes(x, "<u4").astype(np.int64) for x in r["at"]]
+    at[0] = np.cumsum(at[0])
+    return (np.stack([words[x] for x in at], axis=1),
+            np.stack([from_planes(r[k], "<u8" if k in _WIDE else "<u4").astype(np.int64) for k in STATS], axis=1))
 
 
-def _count(batches, parts: int):
+def _count(batches, parts: int, order: int):
+    def deal(held):
+        grams = np.concatenate(held)
+        sums = np.zeros((len(grams), len(STATS)), np.int64)
+        sums[:, 0] = 1
+        return _deal(grams, sums, parts, [0] * (4 * order + 3))
     held, size = [], 0
     for b in slices(batches, "text"):
-        before, token, _ = _tokens(b.column("text"))
-        held.append((before, token))
+        held.append(_tokens(b.column("text"), order)[0])
         size += b.column("text").nbytes
         if size >= BLOCK_BYTES:
-            yield _deal_pairs(*map(np.concatenate, zip(*held)), parts)
+            yield deal(held)
             held, size = [], 0
     if held:
-        yield _deal_pairs(*map(np.concatenate, zip(*held)), parts)
+        yield deal(held)
 
 
 def _store(folder: str, name: str, array: np.ndarray) -> None:
@@ -110,41 +141,30 @@ def _store(folder: str, name: str, array: np.ndarray) -> None:
     os.replace(path, f"{folder}/{name}.npy")
 
 
-def _pair_shard(part: int, rows: list[dict], folder: str, parts: int) -> pa.RecordBatch:
-    """Merge a part's pairs into a shard; return per-word sums dealt by word, and counts of counts."""
-    v = np.concatenate([np.repeat(np.frombuffer(r["v"], np.uint64), from_planes(r["runs"], "<u4")) for r in rows])
-    w = np.concatenate([np.frombuffer(r["w"], np.uint64) for r in rows])
-    c = np.concatenate([from_planes(r["c"], "<u4").astype(np.int64) for r in rows])
-    h, v, w, c = _merge(v, w, c)
-    _store(folder, f"pair-h-{part}", h)
-    _store(folder, f"pair-c-{part}", c.astype(np.uint32))
-    words, at = np.unique(np.concatenate([v, w]), return_inverse=True)
-    n, av, aw = len(words), at[:len(v)], at[len(v):]
-    sums = {"c": np.bincount(aw, c, n), "n1": np.bincount(av, c == 1, n), "n2": np.bincount(av, c == 2, n),
-            "n3": np.bincount(av, c >= 3, n), "a": np.bincount(aw, minlength=n)}
-    dest = _part_of(words, parts)
-    out = [(int(dest[s]), words[s:e].tobytes(), *(to_planes(sums[k][s:e].astype(np.int64), "<u4") for k in STATS))
-           for s, e in edges(dest)]
-    low = [int((c == k).sum()) for k in (1, 2, 3, 4)]
-    out = [r + ((low if i == 0 else [0] * 4),) for i, r in enumerate(out)]
-    cols = list(zip(*out))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(cols[0], pa.int32())] + [pa.array(x, pa.binary()) for x in cols[1:7]] + [pa.array(cols[7], pa.list_(pa.int64()))],
-        names=["part", "word", *STATS, "low"])
-
-
-def _word_shard(part: int, rows: list[dict], folder: str) -> pa.RecordBatch:
-    word = np.concatenate([np.frombuffer(r["word"], np.uint64) for r in rows])
-    words, at = np.unique(word, return_inverse=True)
-    table = np.stack([np.bincount(at, np.concatenate([from_planes(r[k], "<u4") for r in rows]), len(words))
-                      for k in STATS], axis=1).astype(np.int64)
-    _store(folder, f"word-h-{part}", words)
-    _store(folder, f"word-s-{part}", table)
-    a, seen = table[:, 4], table[:, 0] > 0
-    return pa.RecordBatch.from_arrays(
-        [pa.array([x], pa.int64()) for x in (int(table[:, 0].sum()), int(seen.sum()), int(a.sum()),
-                                             *(int((a == k).sum()) for k in (1, 2, 3, 4)))],
-        names=["tokens", "vocab", "types", "a1", "a2", "a3", "a4"])
+def _shard(part: int, rows: list[dict], folder: str, parts: int, k: int, order: int) -> pa.RecordBatch:
+    """Merge a part's k-grams into a shard; return the sums of their suffixes and contexts, dealt by hash.
+
+    ``facts`` adds up along the way: four counts of counts of each order, then tokens, vocabulary and the
+    number of distinct predecessors of all words.
+    """
+    facts = np.sum([r["facts"] for r in rows], axis=0)
+    h, grams, sums = _merge(*map(np.concatenate, zip(*map(_undeal, rows))))
+    begun = (grams[:, 0] == BEGIN) & (k > 1)
+    # Padded with more than one BEGIN: an n-gram of a lower order on its way down.
+    whole = ~(begun & (grams[:, min(1, k - 1)] == BEGIN))
+    c, seen = sums[:, 0], sums[:, 0] > 0
+    count = c if k == order else np.where(begun, c, sums[:, 1])
+    table = np.column_stack([count, sums[:, 2:], c][:1 if k == order else 2 if k > 1 else 3])[whole]
+    _store(folder, f"{k}-h-{part}", h[whole])
+    _store(folder, f"{k}-s-{part}", table.astype(np.min_scalar_type(int(table.max(initial=0)))))
+    facts[4 * k - 4:4 * k] += [int((count[whole & seen] == i).sum()) for i in (1, 2, 3, 4)]
+    if k == 1:
+        facts[-3:] += [int(c.sum()), int(seen.sum()), int(count.sum())]
+        return pa.RecordBatch.from_arrays([pa.array([facts.tolist()], pa.list_(pa.int64()))], names=["facts"])
+    zero = np.zeros_like(c)
+    after = np.stack([c, whole.astype(np.int64), zero, zero, zero, zero], axis=1)
+    before = np.stack([zero, zero, count, count == 1, count == 2, count >= 3], axis=1)[whole]
+    return _deal(np.concatenate([grams[:, 1:], grams[whole, :-1]]), np.concatenate([after, before]), parts, facts.tolist())
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -158,54 +178,51 @@ def _discount(c: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
     return np.where(c >= 3, d[2], np.where(c == 2, d[1], np.where(c == 1, d[0], 0.0)))
 
 
-class _Shards:
-    """Memory-mapped sorted hash arrays; a missing shard is an empty one."""
-
-    def __init__(self, folder: str, kind: str, value: str, parts: int):
-        self.folder, self.kind, self.value, self.parts = folder, kind, value, parts
-
-    def find(self, keys: np.ndarray, width: int | None) -> np.ndarray:
-        """Values of sorted distinct ``keys``; 0 where absent."""
-        out = np.zeros(len(keys) if width is None else (len(keys), width), np.int64)
-        for s, e in edges(part := _part_of(keys, self.parts)):
-            name = f"{self.folder}/{self.kind}-h-{part[s]}.npy"
-            if not os.path.exists(name):
-                continue
-            have = np.load(name, mmap_mode="r")
-            at = np.minimum(np.searchsorted(have, keys[s:e]), len(have) - 1)
-            hit = have[at] == keys[s:e]
-            out[s:e][hit] = np.load(f"{self.folder}/{self.kind}-{self.value}-{part[s]}.npy", mmap_mode="r")[at[hit]]
-        return out
-
-
-def _score(batches, folder: str, parts: int, totals: dict):
-    pairs, words = _Shards(folder, "pair", "c", parts), _Shards(folder, "word", "s", parts)
-    d2, d1 = totals["d2"], totals["d1"]
-    types, vocab, total = max(totals["types"], 1), totals["vocab"], totals["tokens"]
-    used = totals["a"]
-    rest = (d1[0] * used[0] + d1[1] * used[1] + d1[2] * used[2]) / types if totals["types"] else 1.0
+def _find(folder: str, k: int, parts: int, keys: np.ndarray, width: int) -> np.ndarray:
+    """Sums of sorted distinct k-gram hashes from memory-mapped shards; 0 where absent (a missing shard is an empty one)."""
+    out = np.zeros((len(keys), width), np.int64)
+    for s, e in edges(part := _part_of(keys, parts)):
+        name = f"{folder}/{k}-h-{part[s]}.npy"
+        if not os.path.exists(name):
+            continue
+        have = np.load(name, mmap_mode="r")
+        if not len(have):
+            continue
+        at = np.minimum(np.searchsorted(have, keys[s:e]), len(have) - 1)
+        hit = have[at] == keys[s:e]
+        out[s:e][hit] = np.load(f"{folder}/{k}-s-{part[s]}.npy", mmap_mode="r")[at[hit]]
+    return out
+
+
+def _score(batches, folder: str, parts: int, order: int, totals: dict):
+    types, vocab, total = totals["types"], totals["vocab"], totals["tokens"]
+    d = totals["d"]
+    rest = sum(map(math.prod, zip(d[0], totals["a"]))) / types if types else 1.0
     for b in slices(batches, "text"):
-        before, token, row = _tokens(b.column("text"))
-        key, at = np.unique(np.concatenate([before, token]), return_inverse=True)
-        stat = words.find(key, len(STATS))
-        v, w = at[:len(token)], at[len(token):]
-        h, pair_at = np.unique(_pair_hash(before, token), return_inverse=True)
-        c = pairs.find(h, None)[pair_at]
-        a = stat[:, 4]
-        p1 = np.maximum(a - _discount(a, d1), 0) / types + rest / (vocab + 1)
-        # Every word of a training text is followed by a token; BEGIN once per text.
-        follows = np.where(key == BEGIN, totals["texts"], stat[:, 0])
-        follows = np.where(key == END, 0, follows)
-        held = stat[:, 1] * d2[0] + stat[:, 2] * d2[1] + stat[:, 3] * d2[2]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gamma = np.where(follows > 0, held / follows, 1.0)
-            direct = np.where(follows[v] > 0, np.maximum(c - _discount(c, d2), 0) / follows[v], 0.0)
-        p = direct + gamma[v] * p1[w]
-        base = np.log10((stat[w, 0] + 0.5) / (total + 0.5 * (vocab + 1)))
-        n = len(b)
+        grams, place, row = _tokens(b.column("text"), order)
+        n, size = len(b), len(grams)
+        context = None
+        for k in range(1, order + 1):
+            mine = _gram_hash(grams[:, order - k:])
+            asked = [mine] if k == order else [mine, _gram_hash(grams[:, order - 1 - k:order - 1])]
+            key, at = np.unique(np.concatenate(asked), return_inverse=True)
+            found = _find(folder, k, parts, key, 1 if k == order else 5 if k > 1 else 6)
+            c = found[at[:size], 0]
+            if k == 1:
+                raw = found[at[:size], 5]
+                p = np.maximum(c - _discount(c, d[0]), 0) / max(types, 1) + rest / (vocab + 1)
+            else:
+                follows = context[:, 0]
+                # Near the start of a text the n-gram is shorter than k: the lower order stands.
+                use = (follows > 0) & (place + 2 >= k)
+                follows = np.maximum(follows, 1)
+                p = np.where(use, np.maximum(c - _discount(c, d[k - 1]), 0) / follows
+                             + (context[:, 1:4] @ np.array(d[k - 1])) / follows * p, p)
+            context = found[at[size:], 1:5]
+        base = np.log10((raw + 0.5) / (total + 0.5 * (vocab + 1)))
         yield pa.RecordBatch.from_arrays(
             [b.column("doc_id"), b.column("held_out"), pa.array(np.bincount(row, minlength=n)),
-             pa.array(np.bincount(row, stat[w, 0] > 0, n).astype(np.int64)), pa.array(np.full(n, total, np.int64)),
+             pa.array(np.bincount(row, raw > 0, n).astype(np.int64)), pa.array(np.full(n, total, np.int64)),
              pa.array(np.bincount(row, base, n)), pa.array(np.bincount(row, np.log10(p), n))],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
@@ -219,41 +236,34 @@ def _model_folder(spark) -> str:
     return folder
 
 
-def score_texts(docs: DataFrame, held_out=None) -> DataFrame:
+def score_texts(docs: DataFrame, held_out=None, order: int = 2) -> DataFrame:
     """Train on rows where ``held_out`` is false, score all: doc_id, held_out, n_tokens, n_known,
-    train_tokens, base_score, score (log10).
+    train_tokens, base_score, score (log10) of a model of n-grams up to ``order`` words (2 at least).
 
     ``held_out`` is a boolean column expression (default: crc32 of the id's
     text modulo 5 is 1; a NULL id counts as training).  NULL texts are empty:
     one end mark.  Only ``doc_id`` and ``text`` are read.  An empty table gives
     an empty result; without training rows all tokens are unknown.
     """
+    if order < 2:
+        raise ValueError(f"order must be 2 or more, not {order}")
     spark = docs.sparkSession
     if held_out is None:
         held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
     base = docs.select("doc_id", "text", held_out.alias("held_out")).withColumn("doc_id", F.col("doc_id").cast("long"))
-    size = base.agg(F.sum(F.length("text")).alias("chars"),
-                    F.sum(F.when(~F.col("held_out"), 1).otherwise(0)).alias("texts")).first()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(size["chars"] or 0) // CHARS_PER_PART))
+    chars = base.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars * order // (2 * CHARS_PER_PART)))
     folder = _model_folder(spark)
-    dealt = base.filter(~F.col("held_out")).select("text").mapInArrow(
-        partial(_count, parts=parts), "part int, v binary, runs binary, w binary, c binary")
-    stats = ", ".join(f"{k} binary" for k in STATS)
-    sums = write_checkpoint_table(
-        dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(
-            partial(by_part, settle=partial(_pair_shard, folder=folder, parts=parts)),
-            f"part int, word binary, {stats}, low array<long>"), "word-sums")
-    low = sums.agg(*(F.sum(F.col("low")[k]).alias(f"n{k + 1}") for k in range(4))).first()
-    facts = write_checkpoint_table(
-        sums.drop("low").repartition(parts, "part").sortWithinPartitions("part").mapInArrow(
-            partial(by_part, settle=partial(_word_shard, folder=folder)),
-            "tokens long, vocab long, types long, a1 long, a2 long, a3 long, a4 long"), "word-facts")
-    got = facts.agg(*(F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in facts.columns)).first()
-    kept = [got["a1"], got["a2"], got["a3"], got["a4"]]
-    words_above_two = got["vocab"] - got["a1"] - got["a2"]
-    totals = {"tokens": got["tokens"], "vocab": got["vocab"], "types": got["types"], "texts": size["texts"] or 0,
-              "a": (got["a1"], got["a2"], words_above_two), "d1": discounts(*kept),
-              "d2": discounts(*(low[k] or 0 for k in ("n1", "n2", "n3", "n4")))}
-    return base.mapInArrow(partial(_score, folder=folder, parts=parts, totals=totals),
+    sums = base.filter(~F.col("held_out")).select("text").mapInArrow(partial(_count, parts=parts, order=order), _SCHEMA)
+    for k in range(order, 0, -1):
+        sums = sums.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(
+            partial(by_part, settle=partial(_shard, folder=folder, parts=parts, k=k, order=order)),
+            _SCHEMA if k > 1 else "facts array<long>")
+    facts = write_checkpoint_table(sums, "word-facts")
+    got = facts.agg(*(F.coalesce(F.sum(F.col("facts")[i]), F.lit(0)) for i in range(4 * order + 3))).first()
+    tokens, vocab, types = got[-3:]
+    totals = {"tokens": tokens, "vocab": vocab, "types": types, "a": (got[0], got[1], vocab - got[0] - got[1]),
+              "d": [discounts(*got[4 * k:4 * k + 4]) for k in range(order)]}
+    return base.mapInArrow(partial(_score, folder=folder, parts=parts, order=order, totals=totals),
                            "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                            "base_score double, score double")

@@ -53,7 +53,7 @@ def op7_decontamination(spark, sf_dir):
 
 def op8_lm_score(spark, sf_dir):
     """Language-model score of every document, trained on four fifths of them."""
-    return ngram_lm.score_texts(_table(spark, sf_dir, "documents"))
+    return ngram_lm.score_texts(_table(spark, sf_dir, "documents"), order=3)
 
 
 def op9_minhash_dedup(spark, sf_dir):

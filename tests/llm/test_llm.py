@@ -207,6 +207,39 @@ def test_language_model(docs):
     assert ngram_lm.score_texts(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("order", [3, 4])
+def test_language_model_of_higher_order(docs, order):
+    rows = docs.select("doc_id", "text").collect()
+    texts = [(r.doc_id, [0, *words((r.text or "").translate(LOW)), None]) for r in rows]
+    train = [t for d, t in texts if d is None or zlib.crc32(str(d).encode()) % 5 != 1]
+    raw = [Counter(tuple(t[i:i + k]) for t in train for i in range(len(t) - k + 1)) for k in range(1, order + 1)]
+    counts = raw[-1:]
+    for k in range(order - 1, 0, -1):
+        before = Counter(g[1:] for g in raw[k])
+        counts.insert(0, Counter({g: c if g[0] == 0 else before[g] for g, c in raw[k - 1].items() if k > 1 or g != (0,)}))
+    cuts = [ngram_lm.discounts(*(Counter(x.values())[i] for i in (1, 2, 3, 4))) for x in counts]
+    cut = lambda c, d: d[min(c, 3) - 1] if c else 0.0
+    follow = [defaultdict(list) for _ in counts]
+    for x, f in zip(counts, follow):
+        for g, c in x.items():
+            f[g[:-1]].append(c)
+    vocab = len(counts[0])
+    def p(h, w):
+        k = len(h)
+        low = p(h[1:], w) if k else 1 / (vocab + 1)
+        after = follow[k][h]
+        if not after:
+            return low
+        c = counts[k][(*h, w)]
+        return (max(c - cut(c, cuts[k]), 0) + sum(cut(x, cuts[k]) for x in after) * low) / sum(after)
+    for h in ((0,), (0, "w0"), ("w1", "w2"), ("the", "the"), ("v3",)):
+        assert sum(p(h, w) for w in [*(g[0] for g in counts[0]), "unknown"]) == pytest.approx(1)
+    got = {r.doc_id: r.score for r in ngram_lm.score_texts(docs, order=order).collect()}
+    for d, t in texts:
+        assert got[d] == pytest.approx(sum(math.log10(p(tuple(t[max(0, i - order + 1):i]), t[i])) for i in range(1, len(t))))
+    assert ngram_lm.score_texts(docs.limit(0), order=order).count() == 0
+
+
 def test_decontaminate(spark, docs):
     item = " ".join(f"q{i}" for i in range(30))
     tests = spark.createDataFrame([(1, item), (2, "alpha beta gamma delta epsilon zeta eta"), (3, None), (4, "too short"), (None, item)],
