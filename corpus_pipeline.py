@@ -16,17 +16,24 @@ from riskframe.session import ensure_checkpoint_dir, write_checkpoint_table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents that the quality classifier accepts; rows with a NULL id are judged by their own text."""
+    """Keep documents that the quality classifier accepts; rows with a NULL id are judged by their own text.
+
+    Without labels to learn from, all documents stay.
+    """
     stats = quality_classifier.with_stats(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text"))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     rules = quality_classifier.fit_rules(docs, labels)
+    if rules.bias == 0 and not rules.rules:
+        return docs
     return stats.filter(rules.score() >= quality_classifier.ACCEPT).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each near-duplicate component (and rows without an id)."""
+    """Keep the smallest id of each near-duplicate component and all rows without an id."""
     found = near_dedup.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(docs.columns)
+    kept = docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    known = kept.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
+    return known.unionByName(kept.filter("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +56,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality_classifier", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
           ("personal_data", personal_data), ("packing", packed)]
 
-#: The stages are not expressible in SQL; tests hold them against brute force.
+#: The stages are not expressible in SQL; tests/llm/test_pipeline.py tests the first two on a small table.
 ORACLE_SQL = None
 
 
