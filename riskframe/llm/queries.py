@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm import (decontaminate, html_extract, near_dedup, ngram_lm, packing, pii, quality_classifier,
-                           quality_rules, substring_dedup, url_filter)
+                           quality_rules, resampling, substring_dedup, url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,9 +67,16 @@ def op10_quality_classifier(spark, sf_dir):
         "doc_id", "held_out", "score", F.col("predicted").cast("int").alias("predicted"))
 
 
+def op13_importance_resampling(spark, sf_dir):
+    """Importance weight, score and draw of every document, towards the benchmark's word runs."""
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_packing, op3_html_extract, op4_url_filter, op5_quality_rules, op6_substring_dedup,
-    op7_decontamination, op8_lm_score, op9_minhash_dedup, op10_quality_classifier)}
+    op7_decontamination, op8_lm_score, op9_minhash_dedup, op10_quality_classifier,
+    op13_importance_resampling)}
 
 #: Words are runs of characters other than space and tab..carriage return.
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -88,4 +95,23 @@ kept AS (SELECT w.doc_id, string_agg(w.w, ' ' ORDER BY w.i) AS txt FROM w ANTI J
 SELECT t.doc_id, CAST(len(t.ws) AS BIGINT) AS n_words, CAST(coalesce(len(gs), 0) AS BIGINT) AS n_removed,
        sha256(coalesce(txt, '')) AS kept_sha256
 FROM t LEFT JOIN lists USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op13_importance_resampling": r"""
+WITH low AS (SELECT 'd' AS side, doc_id AS id, row_number() OVER () AS rn, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+             UNION ALL
+             SELECT 'b', item_id, row_number() OVER (), translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+split AS (SELECT side, id, rn, list_filter(string_split_regex(text, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS ws FROM low),
+runs AS (SELECT side, rn, unnest(list_concat(ws, list_transform(generate_series(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1]))) AS f FROM split),
+crc_table AS (SELECT list(c ORDER BY n) AS tab FROM (SELECT n, list_reduce(list_concat([n], generate_series(1, 8)), lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS c FROM (SELECT unnest(generate_series(0, 255)) AS n))),
+coded AS (SELECT f, list_reduce(list_concat([4294967295], list_transform(generate_series(1, octet_length(encode(f))), lambda i: 16 * (strpos('0123456789ABCDEF', substr(hex(encode(f)), 2 * i - 1, 1)) - 1) + strpos('0123456789ABCDEF', substr(hex(encode(f)), 2 * i, 1)) - 1)),
+                 lambda a, b: xor(a // 256, tab[xor(a % 256, b) + 1])) AS raw FROM (SELECT DISTINCT f FROM runs), crc_table),
+bucketed AS (SELECT side, rn, xor(raw, 4294967295) % 10000 AS bucket FROM runs JOIN coded USING (f)),
+counts AS (SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t FROM bucketed GROUP BY bucket),
+gains AS (SELECT bucket, CAST(floor(1000 * ln((CAST(t AS DOUBLE) + 1) * (CAST(sum(s) OVER () AS DOUBLE) + 10000) / ((CAST(s AS DOUBLE) + 1) * (CAST(sum(t) OVER () AS DOUBLE) + 10000)))) AS BIGINT) AS gain FROM counts),
+per_doc AS (SELECT rn, count(*) AS n, sum(gain) AS total FROM bucketed JOIN gains USING (bucket) WHERE side = 'd' GROUP BY rn),
+weighed AS (SELECT id AS doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_features, coalesce(CAST(total - ((total % n) + n) % n AS BIGINT) // n, 0) AS weight,
+                   sha256('7:' || coalesce(CAST(id AS VARCHAR), '')) AS digest FROM split LEFT JOIN per_doc USING (rn) WHERE side = 'd'),
+scored AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((CAST(CAST('0x' || substr(digest, 1, 8) AS BIGINT) AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS score FROM weighed),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_words >= 20) AS able FROM scored)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+       CAST(CASE WHEN n_words >= 20 AND place <= 25 * able // 100 THEN place END AS BIGINT) AS rank FROM ranked""",
 }
