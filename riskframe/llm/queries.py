@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import (decontaminate, html_extract, near_dedup, ngram_lm, packing, pii, quality_classifier,
+from riskframe.llm import (decontaminate, hard_negatives, html_extract, near_dedup, ngram_lm, packing, pii, quality_classifier,
                            quality_rules, resampling, substring_dedup, url_filter)
 
 
@@ -67,6 +67,11 @@ def op10_quality_classifier(spark, sf_dir):
         "doc_id", "held_out", "score", F.col("predicted").cast("int").alias("predicted"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    """Hard negatives of every anchor and positive."""
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_importance_resampling(spark, sf_dir):
     """Importance weight, score and draw of every document, towards the benchmark's word runs."""
     return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).select(
@@ -76,7 +81,7 @@ def op13_importance_resampling(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_packing, op3_html_extract, op4_url_filter, op5_quality_rules, op6_substring_dedup,
     op7_decontamination, op8_lm_score, op9_minhash_dedup, op10_quality_classifier,
-    op13_importance_resampling)}
+    op11_hard_negatives, op13_importance_resampling)}
 
 #: Words are runs of characters other than space and tab..carriage return.
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -114,4 +119,19 @@ scored AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((CAST(CAST('0x' || subst
 ranked AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_words >= 20) AS able FROM scored)
 SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
        CAST(CASE WHEN n_words >= 20 AND place <= 25 * able // 100 THEN place END AS BIGINT) AS rank FROM ranked""",
+    "op11_hard_negatives": """
+WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, a.q AS aq, c.vec_id AS id, a.label = c.label AS same,
+                  CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(c.q AS DOUBLE[])) AS BIGINT) AS score
+           FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+pos AS (SELECT anchor_id, aq, id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, aq ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.aq, p.positive_id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+       n.id AS negative_id, p.positive_score, n.score AS negative_score
+FROM pos p JOIN scored n ON n.anchor_id = p.anchor_id AND n.aq = p.aq AND NOT n.same
+  AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score
+QUALIFY rank <= 5""",
 }
