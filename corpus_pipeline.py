@@ -25,7 +25,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rules = quality_classifier.fit_rules(docs, labels)
     if rules.bias == 0 and not rules.rules:
         return docs
-    return stats.filter(rules.score() >= quality_classifier.ACCEPT).select("row.*")
+    # Filters don't move below observed metrics, so each statistic is computed once and not once for every rule term.
+    scored = stats.select("row", rules.score().alias("score")).observe("quality_scored", F.count(F.lit(1)).alias("rows"))
+    return scored.filter(F.col("score") >= quality_classifier.ACCEPT).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
