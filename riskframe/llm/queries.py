@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm import (decontaminate, hard_negatives, html_extract, near_dedup, ngram_lm, packing, pii, quality_classifier,
-                           quality_rules, resampling, substring_dedup, url_filter)
+                           quality_rules, resampling, signature_join, substring_dedup, url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +72,11 @@ def op11_hard_negatives(spark, sf_dir):
     return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_jaccard_join(spark, sf_dir):
+    """Component of every document under four-word Jaccard links."""
+    return signature_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op13_importance_resampling(spark, sf_dir):
     """Importance weight, score and draw of every document, towards the benchmark's word runs."""
     return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).select(
@@ -81,7 +86,7 @@ def op13_importance_resampling(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_packing, op3_html_extract, op4_url_filter, op5_quality_rules, op6_substring_dedup,
     op7_decontamination, op8_lm_score, op9_minhash_dedup, op10_quality_classifier,
-    op11_hard_negatives, op13_importance_resampling)}
+    op11_hard_negatives, op12_jaccard_join, op13_importance_resampling)}
 
 #: Words are runs of characters other than space and tab..carriage return.
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -134,4 +139,15 @@ SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor
 FROM pos p JOIN scored n ON n.anchor_id = p.anchor_id AND n.aq = p.aq AND NOT n.same
   AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score
 QUALIFY rank <= 5""",
+    "op12_jaccard_join": r"""
+WITH RECURSIVE t AS (SELECT row_number() OVER () AS rn, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents),
+s AS (SELECT rn, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+      ELSE list_distinct(list_transform(generate_series(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS fs FROM t),
+e AS (SELECT rn, doc_id, len(fs) AS n, unnest(fs) AS f FROM s),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.f = b.f AND a.rn <> b.rn
+          GROUP BY a.rn, b.rn, a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (SELECT DISTINCT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT s.doc_id, CAST(len(fs) AS BIGINT) AS n_shingles, c.component_id
+FROM s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = s.doc_id""",
 }

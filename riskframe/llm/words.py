@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -107,7 +108,7 @@ def slices(batches, column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatc
     """Cut Arrow batches so that ``column`` holds about ``limit`` bytes in each (one row at least)."""
     for batch in batches:
         text = batch.column(batch.schema.get_field_index(column))
-        size = np.zeros(len(batch), np.int64) if not len(batch) else np.diff(text_bytes(text)[1])
+        size = pc.binary_length(text).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         which = np.cumsum(size) // limit
         edge = [0, *(np.flatnonzero(np.diff(which)) + 1).tolist(), len(batch)]
         for a, b in zip(edge, edge[1:]):
