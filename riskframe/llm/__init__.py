@@ -1,4 +1,4 @@
-"""Training-data operators: ten distributed text operators and their queries.
+"""Training-data operators: thirteen distributed operators and their queries.
 
 Nothing else in the library imports this subpackage.
 """
