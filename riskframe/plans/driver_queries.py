@@ -506,7 +506,7 @@ def _model_run(spark, sf, cv_models=None):
 def _feature_plan(spark, sf, by_importance=False):
     from riskframe.operators.model import tree_importance
     from riskframe.plans.modeling import fit_features
-    rank = (lambda df, feats: tree_importance(df, feats, "TARGET")) if by_importance else None
+    rank = (lambda df, feats: tree_importance(df, feats, "TARGET", id_col="SK_ID_CURR")) if by_importance else None
     return fit_features(applicants(spark, sf), importance_model=rank)
 
 
@@ -518,6 +518,13 @@ def q_model_comparison(spark, sf):
     return _model_run(spark, sf).comparison
 
 
+def q_second_booster(spark, sf):
+    """K5: results of the boosted model with 63 leaves, all folds and the held-out split."""
+    from riskframe.operators.model import second_booster_spec
+    from riskframe.plans.modeling import run_models
+    return run_models(applicants(spark, sf), TableSpec(), [second_booster_spec()]).results
+
+
 def q_top_importances(spark, sf):
     """Importances of the models fitted on the training rows; no fold is fitted."""
     from riskframe.operators.report import top_importances

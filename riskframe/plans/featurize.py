@@ -96,13 +96,14 @@ class FeaturePlan:
         plan.log["final_feature_count"] = len(kept)
         return plan
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+        """Kept features with id and target; ``carry``: further columns to pass through."""
         df = self._base(df)
         df = self.encoder.transform(df)
         df = self.clipper.transform(df)
         df = self.scaler.transform(df)
         keep = [c for c in self.spec.passthrough if c in df.columns]
-        return df.select(*keep, *self.kept)
+        return df.select(*keep, *carry, *self.kept)
 
     def log_frame(self, spark, stage: str = "features") -> DataFrame:
         rows = [(stage, k, float(v)) for k, v in self.log.items()]

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import model as M
 from riskframe.operators import report, sampling
+from riskframe.operators.blocks import row_blocks
+from riskframe.operators.clean import MedianImputer
 from riskframe.plans.featurize import FeaturePlan
 from riskframe.session import write_checkpoint_table
 from riskframe.spec import CV_FOLDS, SEED, TEST_SHARE, TableSpec
@@ -60,18 +62,28 @@ def run_models(df: DataFrame, spec: TableSpec | None = None,
         extra = [c for c in unsupervised.columns if c != spec.id_col and c not in df.columns]
         df = df.join(unsupervised.select(spec.id_col, *extra), spec.id_col, "left")
     plan, split = fit_features(df, spec, folds, top_k, importance_model)
-    train = split.where(F.col("is_test") == 0)
-    test = split.where(F.col("is_test") == 1)
-    tr = write_checkpoint_table(plan.transform(train).join(
-        train.select(spec.id_col, "fold"), spec.id_col), "train_features")
-    te = write_checkpoint_table(plan.transform(test), "test_features")
     feats = plan.kept
-    splits = [(M.HELD_OUT, tr, te)] + [
-        (k, tr.where(F.col("fold") != k), tr.where(F.col("fold") == k)) for k in range(folds)]
-    fitted, scored = M.fit_splits(models, splits, feats, spec.target_col, spec.id_col, cv_models)
+    fold = F.coalesce("fold", F.lit(M.HELD_OUT)).alias("fold")
+    rows = write_checkpoint_table(plan.transform(split, carry=("fold",)).withColumn("fold", fold), "features")
+    fused = [m for m in models if hasattr(m.build(1), "fit_all")]
+    parts = []
+    if fused:
+        # Any value still missing gets the training rows' median.
+        imputer = MedianImputer.fit(rows.where(F.col("fold") != M.HELD_OUT), feats)
+        imputer.medians = {k: (v if v is not None else 0.0) for k, v in imputer.medians.items()}
+        table = row_blocks(imputer.transform(rows), feats, spec.target_col, spec.id_col, "fold", [M.HELD_OUT, *range(folds)])
+        parts.append(M.fit_folds(fused, table, cv_models))
+    if len(fused) < len(models):
+        tr, te = rows.where(F.col("fold") != M.HELD_OUT), rows.where(F.col("fold") == M.HELD_OUT)
+        splits = [(M.HELD_OUT, tr, te)] + [
+            (k, tr.where(F.col("fold") != k), tr.where(F.col("fold") == k)) for k in range(folds)]
+        found, scored = M.fit_splits([m for m in models if m not in fused], splits, feats, spec.target_col, spec.id_col, cv_models)
+        parts.append((found, scored.withColumnRenamed(spec.id_col, "id")))
+    fitted = {name: m for found, _ in parts for name, m in found.items()}
+    scored = reduce(DataFrame.unionByName, (s for _, s in parts))
     metrics = write_checkpoint_table(M.evaluate(scored, len(models) * (folds + 1)), "metrics")
     imps = [M.feature_importance(m, feats, name, df.sparkSession)
-            for name, m in fitted.items() if hasattr(m, "featureImportances")]
+            for name, m in fitted.items() if hasattr(m, "importances") or hasattr(m, "featureImportances")]
     imps = reduce(DataFrame.unionByName, imps) if imps else None
     held_out = F.col("fold") == M.HELD_OUT
     crossed = cv_models is None or len(cv_models) > 0

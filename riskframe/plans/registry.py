@@ -65,6 +65,7 @@ QUERIES = {
     "kmeans_k_selection": dq.q_kmeans_k_selection,
     "model_results": dq.q_model_results,
     "model_comparison": dq.q_model_comparison,
+    "second_booster": dq.q_second_booster,
     "top_importances": dq.q_top_importances,
     "selected_features": dq.q_selected_features,
     "feature_log": dq.q_feature_log,
