@@ -4,7 +4,8 @@ A document's set holds its distinct shingles (A-Z folded); equal sets form one
 node, so copies never meet each other.
 
 1. One scan gives each set its size, a 128-bit sum, its k smallest hashes (the
-   tokens) and a bitmap with one bit for each token.
+   tokens), a bitmap with one bit for each token, and the bits of its ``FINE``
+   smallest hashes in a wider bitmap.
 2. Two sets at the threshold share ``need`` tokens, so they share one among
    each one's first ``length - need + 1`` in order of rising frequency.  Each
    such token gathers its members, dealt into blocks of about ``BLOCK``.
@@ -14,12 +15,12 @@ node, so copies never meet each other.
    share more tokens than the common bits plus the smaller of the two excesses,
    and no set outside the size range can match, so a pair of nodes is dropped
    as soon as that is less than the threshold asks for.
-4. First round: every block against itself.  Each member proposes its smallest
-   partner, and exact Jaccard on full sets confirms or rejects it.
+4. First round: every block against itself.  Each member proposes its likeliest
+   partner of smaller id, and exact Jaccard on full sets confirms or rejects it.
 5. Second round: tokens with further pairs (several blocks, or more partners
    than proposed) and several components so far.  Every pair of their blocks
-   is walked, nodes inside one component are dropped, and each remaining pair
-   is confirmed exactly.  No token, member or pair is capped.
+   is walked on the wider bitmaps, nodes inside one component are dropped, and
+   each remaining pair is confirmed exactly.  No token, member or pair is capped.
 6. Components of all confirmed links, named by the smallest document id.
 
 ``need`` is the binomial 1e-9 tail of the k smallest hashes of a union, so a
@@ -44,8 +45,10 @@ from riskframe.session import write_checkpoint_table
 WIDTH, PERCENT = 4, 85
 #: Tokens of a set, bits of a bitmap, members of a block and children of a tree node.
 TOKENS, BITS, BLOCK, FAN = 64, 1024, 256, 4
-#: Pairs of tree nodes that are compared at once.
-_AT_ONCE = 1 << 16
+#: Tokens and bits of the second round; sets of up to ``FINE`` shingles are held whole.
+FINE, FINE_BITS = 512, 8192
+#: 64-bit words of bitmaps that are compared at once.
+_AT_ONCE = 1 << 20
 _SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -74,13 +77,16 @@ def shingle_sets(column: pa.Array, width: int) -> list[np.ndarray]:
 
 def _bitmaps(tokens: list[np.ndarray], bits: int) -> np.ndarray:
     """One bit per token, as rows of bytes."""
-    flags = np.zeros((len(tokens), bits), np.uint8)
-    row = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
-    flags[row, (np.concatenate(tokens) if tokens else np.empty(0, np.int64)) & (bits - 1)] = 1
-    return np.packbits(flags, axis=1)
+    out = []
+    for s in range(0, len(tokens), 1024):  # unpacked, a bitmap takes a byte a bit
+        part = tokens[s:s + 1024]
+        flags = np.zeros((len(part), bits), np.uint8)
+        flags[np.repeat(np.arange(len(part)), [len(t) for t in part]), np.concatenate(part) & (bits - 1)] = 1
+        out.append(np.packbits(flags, axis=1))
+    return np.concatenate(out) if out else np.empty((0, bits // 8), np.uint8)
 
 
-def _binary(rows: np.ndarray) -> pa.Array:
+def _binary(rows) -> pa.Array:
     return pa.array([r.tobytes() for r in rows], pa.binary())
 
 
@@ -93,8 +99,8 @@ def _scan(batches, width: int, k: int, bits: int):
         yield pa.RecordBatch.from_arrays(
             [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sums[:, 0]), pa.array(sums[:, 1]),
              pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, kept)]), pa.int32()), pa.array(np.concatenate(kept))),
-             _binary(_bitmaps(kept, bits))],
-            names=["doc_id", "n", "f1", "f2", "tokens", "bitmap"])
+             _binary(_bitmaps(kept, bits)), _binary((s[:FINE] & (FINE_BITS - 1)).astype(np.uint16) for s in sets)],
+            names=["doc_id", "n", "f1", "f2", "tokens", "bitmap", "fine"])
 
 
 def _identify(batches, width: int):
@@ -154,7 +160,8 @@ class Forest:
 
 
 def walk(left: Forest, right: Forest, percent: int, k: int, need: int, mirrored: bool = False):
-    """Leaf pairs (indices into both forests) of equal-numbered blocks that may link and lie in different components.
+    """Leaf pairs (indices into both forests, and the most tokens they can share) of equal-numbered blocks
+    that may link and lie in different components.
 
     ``mirrored``: both are the same forest, and each pair is wanted once.
     """
@@ -162,7 +169,8 @@ def walk(left: Forest, right: Forest, percent: int, k: int, need: int, mirrored:
     left.raise_to(depth)
     right.raise_to(depth)
     roots = np.arange(len(left.levels[-1]["low"]))
-    todo = [(depth - 1, roots[s:s + _AT_ONCE], roots[s:s + _AT_ONCE]) for s in range(0, len(roots), _AT_ONCE)]
+    once = max(1, _AT_ONCE // left.levels[0]["bits"].shape[1])
+    todo = [(depth - 1, roots[s:s + once], roots[s:s + once]) for s in range(0, len(roots), once)]
     while todo:
         level, i, j = todo.pop()
         a, b = left.levels[level], right.levels[level]
@@ -176,10 +184,10 @@ def walk(left: Forest, right: Forest, percent: int, k: int, need: int, mirrored:
         whole = -(-percent * (low_a + low_b)[able] // (100 + percent))
         asked = np.where(high <= k, whole, np.minimum(need, whole))
         most = np.bitwise_count(a["bits"][i] & b["bits"][j]).sum(1, dtype=np.int64) + np.minimum(a["excess"][i], b["excess"][j])
-        i, j = i[most >= asked], j[most >= asked]
+        i, j, most = i[most >= asked], j[most >= asked], most[most >= asked]
         if level == 0:
             if len(i):
-                yield i, j
+                yield i, j, most
             continue
         ca, cb = left.child[level], right.child[level]
         na, nb = ca[i + 1] - ca[i], cb[j + 1] - cb[j]
@@ -187,15 +195,17 @@ def walk(left: Forest, right: Forest, percent: int, k: int, need: int, mirrored:
         at = np.repeat(np.arange(len(i)), pairs)
         inner = np.arange(len(at)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
         x, y = ca[i][at] + inner // nb[at], cb[j][at] + inner % nb[at]
-        todo += [(level - 1, x[s:s + _AT_ONCE], y[s:s + _AT_ONCE]) for s in range(0, len(x), _AT_ONCE)]
+        todo += [(level - 1, x[s:s + once], y[s:s + once]) for s in range(0, len(x), once)]
 
 
 def _members(column: pa.Array, k: int) -> Forest:
     sizes = np.diff(column.offsets.to_numpy())
     flat = column.flatten()
-    bitmap = flat.field("bitmap")
-    data = np.frombuffer(b"".join(bitmap.to_pylist()), np.uint8).reshape(len(flat), -1)
     number = lambda c: flat.field(c).to_numpy(zero_copy_only=False)
+    if flat.type.get_field_index("fine") >= 0:
+        data = _bitmaps([np.frombuffer(v, np.uint16).astype(np.int64) for v in flat.field("fine").to_pylist()], FINE_BITS)
+    else:
+        data = np.frombuffer(b"".join(flat.field("bitmap").to_pylist()), np.uint8).reshape(len(flat), -1)
     return Forest(sizes, number("node"), number("n"), number("component"), data, k)
 
 
@@ -208,29 +218,35 @@ def _cut(batches, column: str, limit: int = 1 << 15):
 
 
 def _first_round(batches, percent: int, k: int, need: int):
-    """Each member's smallest partner (a < b), and the tokens whose blocks have more pairs than that."""
+    """Each member's likeliest partner of smaller id (a < b), and the tokens whose blocks have more pairs than that."""
     for b in _cut(batches, "members"):
         forest = _members(b.column("members"), k)
+        node, tokens = forest.node, np.minimum(forest.levels[0]["low"], k)
         block = np.repeat(np.arange(len(b)), np.diff(b.column("members").offsets.to_numpy()))
-        partner = np.full(len(block), np.iinfo(np.int64).max)
+        by_id = np.argsort(node, kind="stable")
+        rank = np.empty(len(node), np.int64)
+        rank[by_id] = np.arange(len(node))
+        best = np.full(len(node), -1)
         pairs = np.zeros(len(b), np.int64)
-        for i, j in walk(forest, forest, percent, k, need, mirrored=True):
-            x, y = forest.node[i], forest.node[j]
-            np.minimum.at(partner, np.where(x < y, j, i), np.minimum(x, y))
+        for i, j, most in walk(forest, forest, percent, k, need, mirrored=True):
+            share = 1000 * most // (tokens[i] + tokens[j] - most)
+            later, earlier = np.where(rank[i] < rank[j], j, i), np.minimum(rank[i], rank[j])
+            np.maximum.at(best, later, share * len(node) + len(node) - 1 - earlier)  # equal shares: the smaller id
             np.add.at(pairs, block[i], 1)
-        found = np.flatnonzero(partner < np.iinfo(np.int64).max)
+        found = np.flatnonzero(best >= 0)
+        partner = node[by_id[len(node) - 1 - best[found] % len(node)]]
         more = np.flatnonzero(pairs > np.bincount(block[found], minlength=len(b)))
         none = pa.nulls(len(more), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.concat_arrays([pa.array(partner[found]), none]), pa.concat_arrays([pa.array(forest.node[found]), none]),
+            [pa.concat_arrays([pa.array(partner), none]), pa.concat_arrays([pa.array(node[found]), none]),
              pa.concat_arrays([pa.nulls(len(found), pa.int64()), b.column("value").take(pa.array(more))])], names=["a", "b", "value"])
 
 
 def _second_round(batches, percent: int, k: int, need: int):
     """All pairs (a < b) of different components in two blocks."""
-    for b in _cut(_cut(batches, "members"), "others"):
+    for b in _cut(_cut(batches, "members", 1 << 13), "others", 1 << 13):
         left, right = _members(b.column("members"), k), _members(b.column("others"), k)
-        for i, j in walk(left, right, percent, k, need):
+        for i, j, _ in walk(left, right, percent, k, need):
             x, y = left.node[i], right.node[j]
             pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1)[x != y], axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
@@ -261,14 +277,15 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     """
     need = shared_tokens(k, percent)
     tree = {"percent": percent, "k": k, "need": need}
+    fine = {"percent": percent, "k": FINE, "need": shared_tokens(FINE, percent)}
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scan = write_checkpoint_table(base.mapInArrow(
-        partial(_scan, width=width, k=k, bits=BITS), "doc_id long, n long, f1 long, f2 long, tokens array<long>, bitmap binary"), "signatures")
+        partial(_scan, width=width, k=k, bits=BITS), "doc_id long, n long, f1 long, f2 long, tokens array<long>, bitmap binary, fine binary"), "signatures")
     nodes = write_checkpoint_table(_nodes(scan), "nodes")
     key = ["n", "f1", "f2"]
     sets = write_checkpoint_table(
         scan.join(nodes.withColumnRenamed("rep", "doc_id"), [*key, "doc_id"]).dropDuplicates(["node"])
-            .select("node", "n", "tokens", "bitmap"), "sets")
+            .select("node", "n", "tokens", "bitmap", "fine"), "sets")
 
     # The rarest tokens of each set, among those that several sets hold.
     entries = sets.select(F.explode("tokens").alias("value"), "node")
@@ -294,15 +311,16 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     # Second round: open tokens whose members lie in several components.
     opened = first.filter("a is null").select("value").union(members.filter("blocks > 1").select("value")).distinct()
     open_members = write_checkpoint_table(
-        members.join(opened, "value", "left_semi").join(so_far, "node", "left")
+        members.drop("bitmap").join(opened, "value", "left_semi").join(so_far, "node", "left")
                .withColumn("component", F.coalesce("component", "node")), "open-members")
     mixed = open_members.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
     mixed_blocks = write_checkpoint_table(
-        open_members.join(mixed.select("value"), "value", "left_semi").groupBy("value", "block", "blocks").agg(
-            F.collect_list(F.struct("node", "n", "component", "bitmap")).alias("members")), "mixed-blocks")
+        open_members.join(mixed.select("value"), "value", "left_semi").join(sets.select("node", "fine"), "node")
+                    .groupBy("value", "block", "blocks").agg(
+                        F.collect_list(F.struct("node", "n", "component", "fine")).alias("members")), "mixed-blocks")
     walked = (mixed_blocks.withColumn("other", F.explode(F.expr("sequence(block, blocks - 1)")))
               .join(mixed_blocks.select("value", F.col("block").alias("other"), F.col("members").alias("others")), ["value", "other"])
-              .select("members", "others").mapInArrow(partial(_second_round, **tree), "a long, b long"))
+              .select("members", "others").mapInArrow(partial(_second_round, **fine), "a long, b long"))
     rest = write_checkpoint_table(walked.distinct().join(proposed, ["a", "b"], "left_anti"), "second-round")
     more = _verified(rest, base, nodes, width, percent)
 

@@ -151,7 +151,7 @@ def test_walk_loses_no_pair():
         sets += [np.unique(np.where(rng.random(len(base)) < 0.04, rng.integers(0, 1 << 40, len(base)), base)) for _ in range(9)]
     sizes = np.array([100, 1, len(sets) - 101])
     forest = S.Forest(sizes, np.arange(len(sets)), np.array([len(s) for s in sets]), np.arange(len(sets)), S._bitmaps(sets, S.BITS), S.TOKENS)
-    found = {(min(x, y), max(x, y)) for i, j in S.walk(forest, forest, S.PERCENT, S.TOKENS, need, mirrored=True)
+    found = {(min(x, y), max(x, y)) for i, j, _ in S.walk(forest, forest, S.PERCENT, S.TOKENS, need, mirrored=True)
              for x, y in zip(forest.node[i].tolist(), forest.node[j].tolist())}
     block = np.repeat(np.arange(3), sizes)
     pairs = [(i, j) for j in range(len(sets)) for i in range(j) if block[i] == block[j]]
