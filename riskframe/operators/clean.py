@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.names import quote, standardize_columns
 from riskframe.functions.numeric import non_finite_to_null, numeric_like, text_to_double
-from riskframe.operators.longform import numeric_columns, string_columns, to_long
-from riskframe.operators.ordered import exact_quantiles
+from riskframe.operators.longform import numeric_columns, string_columns
+from riskframe.operators.quantiles import column_stats
 from riskframe.spec import (
     DAYS_EMPLOYED_SENTINEL, NUMERIC_SHARE, PLACEHOLDER_TOKENS, TEXT_FILL, TableSpec,
 )
@@ -78,14 +78,8 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, i
 
 
 def column_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
-    """Exact medians (mean of the middle two) of many columns in one distributed pass."""
-    cols = list(cols)
-    if not cols:
-        return {}
-    q = exact_quantiles(to_long(df, cols), ["feature"], "value", [0.5],
-                        groups_hint=len(cols))
-    found = {r["feature"]: r["q0_5"] for r in q.collect()}
-    return {c: found.get(c) for c in cols}
+    """Exact medians (mean of the middle two) of many columns, by bracket selection."""
+    return {c: s.quantiles[0] for c, s in column_stats(df, cols, [0.5]).items()}
 
 
 @dataclass

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.names import quote, unique_names
 from riskframe.operators.longform import string_columns, to_long
-from riskframe.operators.ordered import exact_quantiles, quantile_name
+from riskframe.operators.quantiles import column_stats
 from riskframe.spec import CLIP_QUANTILES, LABEL_ENCODE_MAX_LEVELS, ONE_HOT_MAX_LEVELS, TEXT_FILL
 
 
@@ -104,17 +104,12 @@ class Winsorizer:
         cols = list(cols)
         if not cols:
             return cls()
-        q = exact_quantiles(to_long(df, cols), ["feature"], "value", list(probs),
-                            groups_hint=len(cols), with_counts=True)
-        lo_n, hi_n = quantile_name(probs[0]), quantile_name(probs[1])
         bounds = {}
-        for r in q.collect():
-            lo, hi = r[lo_n], r[hi_n]
-            if lo is None or hi is None:
+        for c, found in column_stats(df, cols, probs).items():
+            lo, hi = found.quantiles
+            if lo is None or (skip_binary and not (found.more_than_two and lo < hi)):
                 continue
-            if skip_binary and (r["n_distinct"] <= 2 or not lo < hi):
-                continue
-            bounds[r["feature"]] = (float(lo), float(hi))
+            bounds[c] = (float(lo), float(hi))
         return cls(bounds)
 
     def transform(self, df: DataFrame) -> DataFrame:

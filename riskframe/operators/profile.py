@@ -5,15 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.names import quote
 from riskframe.operators.longform import to_long
-from riskframe.operators.ordered import (
-    cumulative_before, exact_quantiles, moments_from_counts, quantiles_from_counts,
-)
-from riskframe.operators.ordered import value_counts as distinct_value_counts
+from riskframe.operators.ordered import quantile_name
+from riskframe.operators.quantiles import column_stats
 
 
 def missing_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -54,25 +52,20 @@ def class_balance(df: DataFrame, target: str) -> DataFrame:
 def describe_numeric(df: DataFrame, cols: Sequence[str],
                      probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """count, mean, std (ddof=1), min, exact quartiles, max, missing count and
-    rate per column, in long form (D9).  Moments are one ``groupBy(feature)``;
-    quartiles come from the exact distributed order statistics."""
-    cols = list(cols)
-    long = to_long(df, cols)
-    rows = df.count()
-    vc = distinct_value_counts(long, ["feature"], "value")
-    oc = cumulative_before(vc, ["feature"], ["value"], ["n"], groups_hint=len(cols))
-    # moments from the same distinct-value counts as the quartiles: one scan
-    mom = moments_from_counts(vc, ["feature"], "value", {"v": F.col("n")},
-                              groups_hint=len(cols)).select(
-        "feature", F.col("v_count").alias("count"), F.col("v_mean").alias("mean"),
-        F.sqrt("v_var").alias("std"), F.col("v_min").alias("min"), F.col("v_max").alias("max"))
-    qs = quantiles_from_counts(oc, ["feature"], "value", probs)
-    out = mom.join(F.broadcast(qs), "feature", "left")   # one row per column
-    return out.select(
-        "feature", F.col("count").cast("long").alias("count"), "mean", "std", "min",
-        *[c for c in qs.columns if c != "feature"], "max",
-        (F.lit(rows) - F.col("count")).cast("long").alias("missing_count"),
-        ((F.lit(rows) - F.col("count")) / F.lit(max(rows, 1))).alias("missing_rate"))
+    rate per column (D9); quartiles by bracket selection.  A column without
+    values has no row."""
+    cols, probs = list(cols), list(probs)
+    stats = column_stats(df, cols, probs)
+    rows, moments = df.count(), {}
+    for s in range(0, len(cols), 32):
+        part = cols[s:s + 32]
+        found = df.agg(*[e.alias(f"{k}{i}") for i, c in enumerate(part) for k, e in (
+            ("m", F.avg(F.col(quote(c)).cast("double"))), ("s", F.stddev_samp(F.col(quote(c)).cast("double"))))]).first()
+        moments |= {c: (found[f"m{i}"], found[f"s{i}"]) for i, c in enumerate(part)}
+    return df.sparkSession.createDataFrame(
+        [(c, s.n, *moments[c], s.low, *s.quantiles, s.high, rows - s.n, (rows - s.n) / max(rows, 1)) for c, s in stats.items() if s.n],
+        "feature string, count long, mean double, std double, min double, "
+        + "".join(f"{quantile_name(p)} double, " for p in probs) + "max double, missing_count long, missing_rate double")
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], value_type: str = "string") -> DataFrame:
@@ -111,7 +104,7 @@ def class_histogram(df: DataFrame, feature: str, target: str, bins: int = 40,
     x = F.col(quote(feature)).cast("double")
     base = df.select(x.alias("x"), F.col(quote(target)).alias("target")).where(
         F.col("x").isNotNull() & F.col("target").isNotNull())
-    lo, hi = exact_quantiles(base.select("x"), [], "x", list(clip), groups_hint=1).first()
+    lo, hi = column_stats(base, ["x"], clip)["x"].quantiles
     if lo is None:
         lo = hi = 0.0
     clipped = base.select("target", F.least(F.greatest("x", F.lit(lo)), F.lit(hi)).alias("x"))
