@@ -1,8 +1,7 @@
 """Two-sample tests against a 0/1 target.
 
-Statistics are exact aggregates over per-value class counts; only the final
-tail probability (one row per feature) goes through an Arrow UDF, since Spark
-SQL has no erfc or incomplete gamma function.
+Statistics are exact aggregates over per-value class counts; the tail
+probabilities are column expressions on the one row per feature.
 """
 
 from __future__ import annotations

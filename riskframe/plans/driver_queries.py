@@ -193,11 +193,8 @@ def q_describe_numeric(spark, sf):
 
 
 def q_quantiles(spark, sf):
-    from riskframe.operators.longform import to_long
-    from riskframe.operators.ordered import exact_quantiles
-    li = derived(spark, sf, LINEITEM_MISSING)
-    return round_doubles(exact_quantiles(to_long(li, LI_FEATURES), ["feature"], "value",
-                                         [0.01, 0.25, 0.5, 0.75, 0.99], groups_hint=4))
+    from riskframe.operators.quantiles import quantile_frame
+    return round_doubles(quantile_frame(derived(spark, sf, LINEITEM_MISSING), LI_FEATURES, [0.01, 0.25, 0.5, 0.75, 0.99]))
 
 
 def q_distinct_counts(spark, sf):
@@ -255,7 +252,7 @@ def q_mann_whitney(spark, sf):
 
 def q_mann_whitney_p(spark, sf):
     li = derived(spark, sf, LINEITEM_MISSING)
-    return stattests.mann_whitney(li, LI_FEATURES, "is_r")
+    return round_doubles(stattests.mann_whitney(li, LI_FEATURES, "is_r"))
 
 
 CHI_SQL = """
@@ -286,7 +283,7 @@ def q_chi_square(spark, sf):
 
 
 def q_chi_square_p(spark, sf):
-    return stattests.chi_square(_chi_input(spark, sf), CHI_COLS, "target")
+    return round_doubles(stattests.chi_square(_chi_input(spark, sf), CHI_COLS, "target"))
 
 
 def q_cluster_profile(spark, sf):
@@ -618,12 +615,9 @@ def q_distinct_ids(spark, sf):
 def q_sample_per_class(spark, sf):
     """At most n rows per class in seeded hash order (the reference caps
     each class at 15,000 rows for its plots; n = 200 here)."""
-    from riskframe.operators.ordered import row_positions
     li = derived(spark, sf, LINEITEM_SCORES).withColumn(
         "row_id", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
-    x = li.withColumn("_h", sampling.hash_key("row_id", 42))
-    pos = row_positions(x, ["y"], ["_h", "row_id"], groups_hint=2, name="_pos")
-    return pos.where(F.col("_pos") < 200).select("row_id", "y")
+    return sampling.sample_n(li, 200, "row_id", 42, target="y").select("row_id", "y")
 
 
 def q_feature_metadata(spark, sf):

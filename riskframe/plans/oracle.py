@@ -354,6 +354,23 @@ SELECT feature, CAST(n0 AS BIGINT) AS n0, CAST(n1 AS BIGINT) AS n1, {_r("u0")} A
        {_r("CASE WHEN sqrt((v0 + v1) / 2) > 0 THEN (g1 - g0) / sqrt((v0 + v1) / 2) ELSE 0.0 END")} AS cohens_d
 FROM z"""
 
+# ---- tail probabilities: erfc by series or continued fraction, chi-square by its finite sum ----
+_ROOT_PI = "sqrt(pi())"
+
+
+def _erfc(x: str) -> str:
+    series = (f"list_sum(list_transform(generate_series(0, 60), lambda n: exp((2 * n + 1) * ln({x}) - lgamma(n + 1.5) - {x} * {x})))")
+    inner = (f"list_reduce(list_concat([CAST(0.0 AS DOUBLE)], list_transform(generate_series(0, 199), lambda k: CAST(200 - k AS DOUBLE))), "
+             f"lambda t, k: (k / 2) / ({x} + t))")
+    return f"CASE WHEN {x} < 1 THEN 1 - {series} ELSE exp(-{x} * {x}) / {_ROOT_PI} / ({x} + {inner}) END"
+
+
+_MW_P = f"""SELECT *, CASE WHEN zz <= 0 THEN 1.0 WHEN zz IS NOT NULL THEN {_erfc("zx")} END AS raw_p
+FROM (SELECT *, zz / sqrt(2.0) AS zx FROM (SELECT *, CASE WHEN s > 0 THEN (u - n0 * n1 / 2.0 - 0.5) / s END AS zz FROM z))"""
+SQL["mann_whitney_p"] = (SQL["mann_whitney"].replace("\nFROM z", f""",
+       {_r("raw_p")} AS p_value
+FROM ({_MW_P})"""))
+
 _CHI = ["c_mktsegment", "n_name", "r_name", "nation_band"]
 SQL["chi_square"] = f"""
 WITH t AS ({CHI_SQL}),
@@ -374,6 +391,15 @@ SELECT feature, CAST(n_levels AS BIGINT) AS n_levels, CAST(n_levels - 1 AS BIGIN
        {_r("CASE WHEN c0 > 0 AND c1 > 0 AND n_levels > 1 THEN sqrt(chi2 / (c0 + c1)) END")} AS cramers_v
 FROM g"""
 
+_CHI_P = f"""SELECT *, CASE WHEN n_levels <= 1 OR c0 = 0 OR c1 = 0 THEN NULL WHEN chi2 <= 0 THEN 1.0
+       WHEN (n_levels - 1) % 2 = 0
+       THEN list_sum(list_transform(generate_series(0, (n_levels - 1) // 2 - 1), lambda k: exp(k * ln(hx) - hx - lgamma(k + 1))))
+       ELSE ({_erfc("sqrt(hx)")}) + coalesce(list_sum(list_transform(generate_series(1, (n_levels - 2) // 2), lambda k: exp((k - 0.5) * ln(hx) - hx - lgamma(k + 0.5)))), 0) END AS raw_p
+FROM (SELECT *, chi2 / 2 AS hx FROM g)"""
+SQL["chi_square_p"] = (SQL["chi_square"].replace("\nFROM g", f""",
+       {_r("raw_p")} AS p_value
+FROM ({_CHI_P})"""))
+
 SQL["cluster_profile"] = f"""
 SELECT c_nationkey % 3 AS CLUSTER_ID, count(*) AS n_rows, {_r("avg(c_acctbal)")} AS c_acctbal,
        {_r("avg(CAST(c_nationkey AS DOUBLE))")} AS c_nationkey, {_r("avg(CAST(target AS DOUBLE))")} AS target
@@ -457,7 +483,7 @@ WITH p AS (SELECT c_custkey, target,
            FROM ({sql_from(CUSTOMER_MAIN)})),
 q AS (SELECT *, floor(n_class * 0.2 + 0.5) AS n_test FROM p)
 SELECT c_custkey, target, CAST(pos < n_test AS INT) AS is_test,
-       CAST(CASE WHEN pos >= n_test THEN (pos - n_test) % 5 END AS INT) AS fold
+       CAST(CASE WHEN pos >= n_test THEN floor(5 * (pos - n_test) / (n_class - n_test)) END AS INT) AS fold
 FROM q"""
 
 SQL["encode_categoricals"] = f"""
@@ -493,7 +519,7 @@ s AS (SELECT *, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) A
 p AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {_HASH.format(id="row_id")}, row_id) - 1 AS pos,
              count(*) OVER (PARTITION BY y) AS n_class FROM s),
 sp AS (SELECT *, CAST(pos < floor(n_class * 0.2 + 0.5) AS INT) AS is_test,
-              CASE WHEN pos >= floor(n_class * 0.2 + 0.5) THEN (pos - floor(n_class * 0.2 + 0.5)) % 5 END AS fold
+              CASE WHEN pos >= floor(n_class * 0.2 + 0.5) THEN floor(5 * (pos - floor(n_class * 0.2 + 0.5)) / (n_class - floor(n_class * 0.2 + 0.5))) END AS fold
        FROM p),
 l AS (SELECT 'discount_score' AS model, discount_score AS score, y, is_test, fold FROM sp
       UNION ALL SELECT 'tax_score', tax_score, y, is_test, fold FROM sp
