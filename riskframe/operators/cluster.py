@@ -10,8 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -19,7 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.names import quote
-from riskframe.spec import KMEANS_K, KMEANS_K_RANGE, KMEANS_RESTARTS, SEED
+from riskframe.operators.sampling import sample_n
+from riskframe.spec import KMEANS_K, KMEANS_K_RANGE, KMEANS_RESTARTS, SEED, SILHOUETTE_ROWS
+
+#: Rows of the sample that meet the whole sample at once: 256 x 5,000 distances are 10 MB.
+SILHOUETTE_BLOCK = 256
 
 
 def _vectors(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
@@ -104,24 +110,94 @@ def assign_clusters(df: DataFrame, cols: Sequence[str], centres: Sequence[Sequen
     return d.withColumn(out, best.cast("int"))
 
 
+def silhouette_rows(df: DataFrame, cols: Sequence[str], cluster_col: str, id_col: str,
+                    sample_size: int = SILHOUETTE_ROWS, seed: int = SEED) -> DataFrame:
+    """(id, cluster, silhouette): the Euclidean silhouette of every row of a sample of at most ``sample_size`` rows.
+
+    With a a row's mean distance to the other sampled rows of its cluster and
+    b the least mean distance to another cluster, the silhouette is
+    (b - a) / max(a, b), and 0 in a cluster of one row or where there is one
+    cluster only.  The sample (a bounded matrix) goes to every task; a task
+    takes its sampled rows in blocks against it and adds distances up per
+    cluster, so no pair of rows leaves a block.  Rows with a NULL cluster take
+    no part; a missing value counts as 0.
+    """
+    wide = df.select(F.col(quote(id_col)).alias("id"), F.col(quote(cluster_col)).cast("long").alias("cluster"),
+                     F.array(*[F.coalesce(F.col(quote(c)).cast("double"), F.lit(0.0)) for c in cols]).alias("x")).where("cluster is not null")
+    sample = sample_n(wide, sample_size, "id", seed)
+    held = sample.select("cluster", "x").toPandas()     # at most sample_size rows
+    matrix = np.array(held["x"].tolist(), np.float64).reshape(-1, len(cols))
+    kind = wide.schema["id"].dataType.simpleString()
+    return sample.mapInArrow(partial(_silhouettes, sample=matrix, clusters=held["cluster"].to_numpy(np.int64)),
+                             f"id {kind}, cluster long, silhouette double")
+
+
+def _silhouettes(batches, sample: np.ndarray, clusters: np.ndarray):
+    kinds, own = np.unique(clusters, return_inverse=True)
+    sizes = np.bincount(own, minlength=len(kinds))
+    member = np.zeros((len(sample), len(kinds)))
+    member[np.arange(len(sample)), own] = 1.0
+    for b in batches:
+        for at in range(0, len(b), SILHOUETTE_BLOCK):
+            part = b.slice(at, SILHOUETTE_BLOCK)
+            x = part.column("x").flatten().to_numpy(zero_copy_only=False).reshape(len(part), -1)
+            mine = np.searchsorted(kinds, part.column("cluster").to_numpy())
+            square = np.zeros((len(x), len(sample)))
+            for f in range(x.shape[1]):     # differences first: sums of squares would lose the digits of near rows
+                square += (x[:, f, None] - sample[None, :, f]) ** 2
+            sums = np.sqrt(square) @ member
+            rows = np.arange(len(x))
+            others = np.where(np.arange(len(kinds)) == mine[:, None], np.inf, sums / sizes)
+            b_mean = others.min(axis=1)
+            a_mean = sums[rows, mine] / np.maximum(sizes[mine] - 1, 1)
+            top = np.maximum(a_mean, b_mean)
+            fine = (sizes[mine] > 1) & (len(kinds) > 1) & (top > 0)
+            score = np.where(fine, (np.where(fine, b_mean, 0.0) - a_mean) / np.where(fine, top, 1.0), 0.0)
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("cluster"), pa.array(score)], names=["id", "cluster", "silhouette"])
+
+
 def kmeans_k_selection(df: DataFrame, cols: Sequence[str], k_range=KMEANS_K_RANGE,
                        restarts: int = KMEANS_RESTARTS, seed: int = SEED,
-                       max_iter: int = 300) -> list[dict]:
-    """Inertia and silhouette for each k (J6).  The silhouette is MLlib's
-    exact squared-Euclidean one over all rows, computed from per-cluster
-    aggregates (no row pairs); the reference's Euclidean silhouette on a
-    5,000-row sample would need all pairs."""
+                       max_iter: int = 300, id_col: str | None = None, sample_size: int = SILHOUETTE_ROWS) -> list[dict]:
+    """Inertia and silhouettes for each k.
+
+    ``silhouette_score`` is the Euclidean silhouette of a sample of at most
+    ``sample_size`` rows, drawn by ``id_col`` (by the rows' values where it is
+    not given); ``silhouette_squared`` is MLlib's squared-Euclidean one over
+    all rows, computed from per-cluster aggregates."""
     rows = []
-    data = _vectors(df, cols).select("features").cache()
+    named = df.withColumn("_id", F.col(quote(id_col)) if id_col else F.xxhash64(*[quote(c) for c in cols]))
+    data = _vectors(named, cols).select("_id", *[quote(c) for c in cols], "features").cache()
     for k in range(k_range[0], k_range[1] + 1):
-        model, cost = _best_kmeans(data, k, restarts, seed, max_iter)
-        sil = ClusteringEvaluator(featuresCol="features", predictionCol="prediction",
-                                  distanceMeasure="squaredEuclidean").evaluate(model.transform(data))
-        rows.append({"k": k, "inertia": float(cost), "silhouette_score": float(sil)})
+        model, cost = _best_kmeans(data.select("features"), k, restarts, seed, max_iter)
+        scored = model.transform(data)
+        squared = ClusteringEvaluator(featuresCol="features", predictionCol="prediction",
+                                      distanceMeasure="squaredEuclidean").evaluate(scored)
+        mean = silhouette_rows(scored, cols, "prediction", "_id", sample_size, seed).agg(F.avg("silhouette")).first()[0]
+        rows.append({"k": k, "inertia": float(cost), "silhouette_score": mean, "silhouette_squared": float(squared)})
     data.unpersist()
     return rows
 
 
+def kmeans_certificate(df: DataFrame, cols: Sequence[str], centres: Sequence[Sequence[float]], cluster_col: str = "CLUSTER_ID",
+                       tolerance: float = 1e-3) -> DataFrame:
+    """Whether an assignment is a fixed point of k-means (J7, J9): per cluster (cluster, nearest, centred).
+
+    ``nearest``: no row of the cluster lies nearer to another centre;
+    ``centred``: no coordinate of the rows' mean is further than ``tolerance``
+    from the centre.  Clusters without rows have no row.
+    """
+    names = [f"DIST_TO_CLUSTER_{j}" for j in range(len(centres))]
+    d = distances_to_centres(df, cols, centres)
+    own = F.element_at(F.array(*names), F.col(cluster_col) + 1)
+    means = d.groupBy(F.col(cluster_col).alias("cluster")).agg(
+        (F.count(F.when(own > F.least(*names) if len(names) > 1 else F.lit(False), 1)) == 0).alias("nearest"),
+        F.array(*[F.avg(F.col(quote(c)).cast("double")) for c in cols]).alias("mean"))
+    centre = F.element_at(F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centres]), F.col("cluster") + 1)
+    moved = F.exists(F.zip_with("mean", centre, lambda a, b: F.abs(a - b) > tolerance), lambda far: far)
+    return means.select("cluster", "nearest", (~moved).alias("centred"))
+
+
 def cluster_profile(df: DataFrame, cluster_col: str, cols: Sequence[str],
                     target: str | None) -> DataFrame:
     """Mean of the given features (and the target) per cluster, with sizes."""

