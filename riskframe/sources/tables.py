@@ -63,9 +63,9 @@ def write_stage(df: DataFrame, base: str, stage: str) -> DataFrame:
 
 
 def read_stage(spark: SparkSession, base: str, stage: str) -> DataFrame:
-    """Resume from a previous stage's table; error when it is absent."""
+    """Resume from a previous stage's table; FileNotFoundError when it is absent (A7), any other error as it is."""
     path = os.path.join(base, stage) if "://" not in base else f"{base.rstrip('/')}/{stage}"
-    try:
-        return spark.read.parquet(path)
-    except Exception as exc:  # AnalysisException: path does not exist
-        raise FileNotFoundError(f"stage table {stage} not found under {base}") from exc
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        raise FileNotFoundError(f"stage table {stage} not found under {base}")
+    return spark.read.parquet(path)
