@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.names import quote, unique_names
+from riskframe.operators.levels import bounded_levels
 from riskframe.operators.longform import string_columns, to_long
 from riskframe.operators.quantiles import column_stats
 from riskframe.spec import CLIP_QUANTILES, LABEL_ENCODE_MAX_LEVELS, ONE_HOT_MAX_LEVELS, TEXT_FILL
@@ -41,26 +42,15 @@ class CategoryEncoder:
         enc = cls(missing_as=missing_as)
         if not cols:
             return enc
-        long = to_long(df, cols, value_type="string").select(
-            "feature", F.coalesce("value", F.lit(missing_as)).alias("level"))
-        levels = long.groupBy("feature", "level").agg(F.lit(1).alias("_x"))
-        sizes = levels.groupBy("feature").agg(F.count(F.lit(1)).alias("n_levels"))
-        # only columns with a small level count send their levels to the driver
-        small = (levels.join(sizes.where(F.col("n_levels") <= one_hot_max), "feature")
-                 .select("feature", "level").collect())
-        counts = {r["feature"]: r["n_levels"] for r in sizes.collect()}
-        found: dict[str, list[str]] = {}
-        for r in small:
-            found.setdefault(r["feature"], []).append(r["level"])
+        found = bounded_levels(df, cols, one_hot_max, missing_as)
         for c in cols:
-            n = counts.get(c, 0)
-            lv = sorted(found.get(c, []))
-            if n <= label_max:
+            lv = found[c]
+            if lv is None:
+                enc.dropped.append(c)
+            elif len(lv) <= label_max:
                 enc.label[c] = lv
-            elif n <= one_hot_max:
-                enc.one_hot[c] = lv
             else:
-                enc.dropped.append(c)
+                enc.one_hot[c] = lv
         return enc
 
     def transform(self, df: DataFrame) -> DataFrame:
