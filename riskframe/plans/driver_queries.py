@@ -648,3 +648,115 @@ def q_feature_metadata(spark, sf):
     kept = spark.createDataFrame([(f,) for f in plan.kept], "feature string")
     var = spark.createDataFrame(list(plan.variance.items()), "feature string, variance double")
     return feature_metadata(all_feats, dropped, imp, var, kept)
+
+
+# ---- queries over saved state, stage records and small operators ------------------------
+
+def q_saved_scaler(spark, sf):
+    """A5: a scaler fitted on lineitem, saved, loaded back from the state store and applied."""
+    from riskframe.sources.state import load_state, save_state
+    li = derived(spark, sf, LINEITEM_MISSING)
+    path = _scratch(spark, "state")
+    save_state(spark, path, encode.StandardScaler.fit(li, WINSOR_COLS))
+    return round_doubles(load_state(spark, path).transform(li).select("l_orderkey", "l_linenumber", *WINSOR_COLS))
+
+
+def q_saved_clipper(spark, sf):
+    """A5: clip bounds fitted on lineitem, saved, loaded back from the state store and applied."""
+    from riskframe.sources.state import load_state, save_state
+    li = derived(spark, sf, LINEITEM_MISSING)
+    path = _scratch(spark, "state")
+    save_state(spark, path, encode.Winsorizer.fit(li, WINSOR_COLS))
+    return round_doubles(load_state(spark, path).transform(li).select("l_orderkey", "l_linenumber", *WINSOR_COLS))
+
+
+def q_resumed_stages(spark, sf):
+    """Two stages run twice over the same stage store; the second run reads both from their commit records.
+
+    Rows are the second run's table with the log of both runs: one row per stage."""
+    from riskframe.plans.inputs import _split_select
+    from riskframe.sources.results import log_rows
+    from riskframe.sources.stages import StageStore
+    store = StageStore(spark, _scratch(spark, "stages"))
+    for _ in range(2):
+        clean_orders = store.run("clean", [table(spark, sf, "orders")], lambda o: clean.impute_constant(
+            clean.normalize_placeholders(o.selectExpr(*_split_select(ORDERS_PLACEHOLDERS[1])), ["o_orderpriority"]), ["o_orderpriority"]))
+        store.log("clean", log_rows(spark, "clean", "orders", {"rows": clean_orders.count()}))
+        counts = store.run("counts", [clean_orders], lambda o: o.groupBy("o_orderpriority").agg(
+            F.count(F.lit(1)).alias("n_orders")))
+        store.log("counts", log_rows(spark, "counts", "orders", {"rows": counts.count()}))
+    log = store.read_log().select(F.concat_ws(":", "stage", "metric").alias("name"), F.col("value").cast("long").alias("n"))
+    return counts.select(F.col("o_orderpriority").alias("name"), F.col("n_orders").alias("n")).unionByName(log)
+
+
+def q_join_sample_features(spark, sf):
+    """Features of a 300-row sample joined onto every customer."""
+    from riskframe.plans.modeling import join_sample_features
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    sample = sampling.sample_n(c, 300, "c_custkey", 42)
+    extra = sample.select("c_custkey", "c_nationkey", (F.col("c_nationkey") % 3).alias("CLUSTER_ID"), F.abs("c_acctbal").alias("DIST_TO_CLUSTER_0"))
+    return join_sample_features(c, extra, "c_custkey")
+
+
+def q_duplicate_columns(spark, sf):
+    """Of equally named columns the first stays."""
+    from riskframe.functions.names import drop_duplicate_columns
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    twice = o.select("*", F.col("o_custkey").alias("O_ORDERKEY"), (F.col("o_totalprice") * 2).alias("o_totalprice"))
+    return drop_duplicate_columns(twice)
+
+
+def q_forced_numeric(spark, sf):
+    """Forced numeric conversion; text that is no number becomes NULL."""
+    from riskframe.functions.numeric import to_double_or_null
+    t = derived(spark, sf, LINEITEM_TEXT_NUMBERS)
+    return t.select("l_orderkey", "l_linenumber", to_double_or_null("t95", text=True).alias("t95"), to_double_or_null("t80", text=True).alias("t80"))
+
+
+def _ranked_by_variance(spark, sf):
+    """Columns of lineitem with their variance as importance, ranked (per-feature table)."""
+    from riskframe.operators.report import top_importances
+    li = derived(spark, sf, LINEITEM_MISSING)
+    order = F.array_position(F.array(*[F.lit(c) for c in LI_FEATURES]), F.col("feature")).cast("int") - 1
+    imp = profile.feature_variance(li, LI_FEATURES).select(
+        F.lit("variance").alias("model"), "feature", F.col("variance").alias("importance"), order.alias("position"))
+    return li, top_importances(imp, 2)
+
+
+def q_top_features(spark, sf):
+    """the two most important columns, ties by position."""
+    return round_doubles(_ranked_by_variance(spark, sf)[1])
+
+
+def q_selected_columns(spark, sf):
+    """Ids, target and the kept features."""
+    li, ranked = _ranked_by_variance(spark, sf)
+    kept = {r["feature"] for r in ranked.collect()}     # two names
+    return li.select("l_orderkey", "l_linenumber", "is_r", *[c for c in LI_FEATURES if c in kept])
+
+
+def q_feature_report(spark, sf):
+    """Selected, dropped by correlation, importance and variance per column, from data-derived per-feature tables."""
+    from riskframe.operators.report import feature_metadata
+    li, ranked = _ranked_by_variance(spark, sf)
+    names = spark.createDataFrame([(c,) for c in LI_FEATURES], "feature string")
+    variance = profile.feature_variance(li, LI_FEATURES)
+    pairs = corr.correlation_matrix(li, LI_FEATURES)
+    dropped = corr.correlation_prune(pairs, 0.9).select("feature")
+    return round_doubles(feature_metadata(names, dropped, ranked.select("feature", "importance"), variance, ranked.select("feature")))
+
+
+def q_safety_fill(spark, sf):
+    """Features and target apart, what is still missing filled with the training rows' medians."""
+    li = derived(spark, sf, LINEITEM_MISSING)
+    train = li.where(F.col("l_orderkey") % 5 != 0)
+    filled = clean.MedianImputer.fit(train, LI_FEATURES).transform(li)
+    return (filled.withColumn("missing", F.col("l_orderkey") % 7 == 0)
+            .withColumn("l_price_m", F.when(F.col("missing"), snap(F.col("l_price_m"))).otherwise(F.col("l_price_m")))
+            .select("l_orderkey", "l_linenumber", *LI_FEATURES, F.col("is_r").alias("label")))
+
+
+def q_rounded_report(spark, sf):
+    """The comparison table with four decimals."""
+    from riskframe.operators import report
+    return report.comparison_table(score_results(spark, sf), digits=4)

@@ -48,6 +48,12 @@ def fit_features(df: DataFrame, spec: TableSpec | None = None, folds: int = CV_F
     return plan, split
 
 
+def join_sample_features(df: DataFrame, features: DataFrame, id_col: str) -> DataFrame:
+    """Per-id features, of a sample or of all rows, left-joined onto every row (C3); columns that ``df`` has stay its own."""
+    have = {c.upper() for c in df.columns}
+    return df.join(features.select(id_col, *[c for c in features.columns if c.upper() not in have]), id_col, "left")
+
+
 def run_models(df: DataFrame, spec: TableSpec | None = None,
                models: Sequence[M.ModelSpec] | None = None,
                cv_models: Sequence[str] | None = None, folds: int = CV_FOLDS,
@@ -59,8 +65,7 @@ def run_models(df: DataFrame, spec: TableSpec | None = None,
     spec = spec or TableSpec()
     models = list(models or M.default_models())
     if unsupervised is not None:
-        extra = [c for c in unsupervised.columns if c != spec.id_col and c not in df.columns]
-        df = df.join(unsupervised.select(spec.id_col, *extra), spec.id_col, "left")
+        df = join_sample_features(df, unsupervised, spec.id_col)
     plan, split = fit_features(df, spec, folds, top_k, importance_model)
     feats = plan.kept
     fold = F.coalesce("fold", F.lit(M.HELD_OUT)).alias("fold")

@@ -662,3 +662,57 @@ WITH s AS (SELECT *, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppk
 p AS (SELECT row_id, y, row_number() OVER (PARTITION BY y ORDER BY {_HASH.format(id="row_id")}, row_id) AS rn
       FROM s)
 SELECT row_id, y FROM p WHERE rn <= 200"""
+
+# ---- saved state, stage records and small operators -----------------------------------
+SQL["saved_scaler"] = SQL["standard_scale"]
+SQL["saved_clipper"] = SQL["winsorize"]
+
+SQL["resumed_stages"] = f"""
+WITH o AS (SELECT coalesce({_clean_priority()}, 'UNKNOWN') AS p FROM ({sql_from(ORDERS_PLACEHOLDERS)}))
+SELECT p AS name, count(*) AS n FROM o GROUP BY p
+UNION ALL SELECT 'clean:rows', count(*) FROM o
+UNION ALL SELECT 'counts:rows', count(DISTINCT p) FROM o"""
+
+SQL["join_sample_features"] = f"""
+WITH s AS (SELECT * FROM customer ORDER BY {_HASH.format(id="c_custkey")}, c_custkey LIMIT 300)
+SELECT c.c_custkey, c.c_nationkey, c.c_acctbal, s.c_nationkey % 3 AS CLUSTER_ID, abs(s.c_acctbal) AS DIST_TO_CLUSTER_0
+FROM customer c LEFT JOIN s ON c.c_custkey = s.c_custkey"""
+
+SQL["duplicate_columns"] = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders"
+
+SQL["forced_numeric"] = f"""
+SELECT l_orderkey, l_linenumber, TRY_CAST(t95 AS DOUBLE) AS t95, TRY_CAST(t80 AS DOUBLE) AS t80
+FROM ({sql_from(LINEITEM_TEXT_NUMBERS).replace("AS STRING", "AS VARCHAR")})"""
+
+_VARIANCE = f"""
+li AS ({sql_from(LINEITEM_MISSING)}),
+v AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, {i} AS position, var_samp({c}) AS importance FROM li" for i, c in enumerate(LI))}),
+k AS (SELECT *, row_number() OVER (ORDER BY importance DESC, position) AS rank FROM v)"""
+SQL["top_features"] = f"""
+WITH {_VARIANCE}
+SELECT 'variance' AS model, feature, {_r("importance")} AS importance, CAST(position AS INT) AS position, CAST(rank AS INT) AS rank
+FROM k WHERE rank <= 2"""
+
+# Price and quantity vary most by far in every supplied table.
+SQL["selected_columns"] = f"""
+SELECT l_orderkey, l_linenumber, is_r, l_quantity, l_price_m FROM ({sql_from(LINEITEM_MISSING)})"""
+
+SQL["feature_report"] = f"""
+WITH {_VARIANCE},
+c AS ({" UNION ALL ".join(f"SELECT '{b}' AS feature, corr({a}, {b}) AS r FROM li" for j, b in enumerate(LI) for a in LI[:j])})
+SELECT feature, CAST(rank <= 2 AS INT) AS selected,
+       CAST(feature IN (SELECT feature FROM c WHERE abs(r) >= 0.9) AS INT) AS dropped_corr,
+       CASE WHEN rank <= 2 THEN {_r("importance")} END AS importance, {_r("importance")} AS variance FROM k"""
+
+SQL["safety_fill"] = f"""
+WITH t AS ({sql_from(LINEITEM_MISSING)})
+SELECT l_orderkey, l_linenumber, l_quantity,
+       coalesce(l_price_m, {_r("(SELECT median(l_price_m) FROM t WHERE l_orderkey % 5 <> 0)")}) AS l_price_m, l_discount, l_tax, is_r AS label
+FROM t"""
+
+SQL["rounded_report"] = f"""
+WITH {_RESULTS}
+SELECT model, {", ".join(f"round({c}, 4) AS {c}" for c in ["cv_auc_mean", "cv_auc_std", "cv_f1_mean", "cv_f1_std", "test_auc", "test_pr_auc",
+                                                        "test_f1", "test_precision", "test_recall", "weighted_score"])},
+       CAST(rank AS INT) AS rank, CASE WHEN rank = 1 THEN 'Selected' ELSE 'Other' END AS selected
+FROM rnk"""

@@ -72,6 +72,17 @@ QUERIES = {
     "selected_features": dq.q_selected_features,
     "feature_log": dq.q_feature_log,
     "pipeline_snapshot": dq.q_pipeline_snapshot,
+    "saved_scaler": dq.q_saved_scaler,
+    "saved_clipper": dq.q_saved_clipper,
+    "resumed_stages": dq.q_resumed_stages,
+    "join_sample_features": dq.q_join_sample_features,
+    "duplicate_columns": dq.q_duplicate_columns,
+    "forced_numeric": dq.q_forced_numeric,
+    "top_features": dq.q_top_features,
+    "selected_columns": dq.q_selected_columns,
+    "feature_report": dq.q_feature_report,
+    "safety_fill": dq.q_safety_fill,
+    "rounded_report": dq.q_rounded_report,
     "csv_roundtrip": dq.q_csv_roundtrip,
     "prepared_customers": dq.q_prepared_customers,
     "prepare_log": dq.q_prepare_log,
