@@ -35,3 +35,40 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("node", "component")
         if not changed:
             return labels
+
+
+#: A set's key: its size and the 128-bit sum over it.
+SET_KEY = ["n", "f1", "f2"]
+
+
+def set_nodes(scan: DataFrame) -> DataFrame:
+    """(n, f1, f2, rep, node): one node for each set of ``scan`` (doc_id, n, f1, f2), named by its smallest id.
+
+    An id that is the smallest of several sets (it repeats with different
+    texts) names the first of them; the others get a negative hash.
+    """
+    sets = scan.filter("n > 0 and doc_id is not null").groupBy(*SET_KEY).agg(F.min("doc_id").alias("rep"))
+    first = sets.groupBy("rep").agg(F.min(F.struct(*SET_KEY)).alias("first"))
+    other = -1 - F.xxhash64(*SET_KEY).bitwiseAND(F.lit((1 << 62) - 1))
+    return sets.join(first, "rep").select(*SET_KEY, "rep", F.when(
+        F.struct(*SET_KEY) == F.col("first"), F.col("rep")).otherwise(other).alias("node"))
+
+
+def same_id_edges(scan: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b) edges that tie the nodes of an id's texts together."""
+    owned = scan.filter("n > 0 and doc_id is not null").join(nodes, SET_KEY).select("doc_id", "node")
+    twice = owned.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("hi")).filter("a < hi")
+    return owned.join(twice, "doc_id").select("a", F.col("node").alias("b")).filter("a <> b").distinct()
+
+
+def named_components(scan: DataFrame, nodes: DataFrame, parts: DataFrame) -> DataFrame:
+    """(doc_id, n, component_id) per row of ``scan``: the smallest id of its component (node, component); NULL for a NULL id."""
+    named = nodes.join(parts, "node")
+    named = named.join(named.groupBy("component").agg(F.min("rep").alias("smallest")), "component").select(*SET_KEY, "smallest")
+    return (scan.join(nodes, SET_KEY, "left").join(named, SET_KEY, "left")
+            .select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("smallest", "rep", "doc_id")).alias("component_id")))
+
+
+def node_texts(base: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, text) of the rows of ``base`` (doc_id, t, text) that ``wanted`` (node, doc_id, t) names; ``t`` hashes the text."""
+    return base.join(wanted, ["doc_id", "t"]).select("node", "text").dropDuplicates(["node"])

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskframe.llm.graph import components
+from riskframe.llm.graph import SET_KEY, components, named_components, node_texts, same_id_edges, set_nodes
 from riskframe.llm.words import gram_hashes, mix, slices, word_hashes
 from riskframe.session import write_checkpoint_table
 
@@ -63,16 +63,16 @@ def _sets(column: pa.Array, width: int):
 
 
 def _scan(batches, width: int, k: int):
-    for b in slices(batches, "text"):
+    for b in slices(batches, "text", 1 << 20):
         sets = list(_sets(b.column("text"), width))
         kept = [s[:k] for s in sets]
         offs = np.cumsum([0, *map(len, kept)]).astype(np.int32)
         sums = np.array([(mix(u).sum(), mix(u ^ _SALT).sum()) for u in (s.view(np.uint64) for s in sets)],
                         np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sums[:, 0]),
+            [b.column("doc_id"), b.column("t"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sums[:, 0]),
              pa.array(sums[:, 1]), pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(kept)))],
-            names=["doc_id", "n", "f1", "f2", "sketch"])
+            names=["doc_id", "t", "n", "f1", "f2", "sketch"])
 
 
 def _explode(batches, width: int):
@@ -121,20 +121,22 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
 
     Only ``doc_id`` and ``text`` are read, so other columns may have any name.
     NULL, empty or word-less texts have an empty set and link with nothing.
-    Rows that repeat a doc_id get equal results; rows with a NULL doc_id are
-    not compared (component NULL, kept).  An empty table gives an empty result.
+    ``doc_id`` is a whole number.  Rows that repeat as a whole are one set; an
+    id that repeats with different texts is one document: it joins the
+    components of all its texts, each row with its own set's size.  Rows with
+    a NULL doc_id are not compared (component NULL, kept).  An empty table
+    gives an empty result.
     """
     need = needed_overlap(k, percent)
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), "text")
     scan = write_checkpoint_table(
         base.mapInArrow(partial(_scan, width=width, k=k),
-                        "doc_id long, n long, f1 long, f2 long, sketch array<long>"), "sketches")
-    classes = write_checkpoint_table(
-        scan.filter("n > 0 and doc_id is not null").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep")),
-        "classes")
-    sketches = write_checkpoint_table(
-        scan.join(classes.select(F.col("rep").alias("doc_id"), "n", "f1", "f2"), ["doc_id", "n", "f1", "f2"], "left_semi")
-            .dropDuplicates(["doc_id"]).select("doc_id", "n", "sketch"), "representatives")
+                        "doc_id long, t long, n long, f1 long, f2 long, sketch array<long>"), "sketches")
+    nodes = write_checkpoint_table(set_nodes(scan), "nodes")
+    named = write_checkpoint_table(
+        scan.join(nodes.withColumnRenamed("rep", "doc_id"), [*SET_KEY, "doc_id"]).dropDuplicates(["node"])
+            .select("node", "doc_id", "t", "n", "sketch"), "representatives")
+    sketches = named.select(F.col("node").alias("doc_id"), "n", "sketch")
 
     # Inverted lists of retained values, cut to each sketch's rarest ones.
     entries = sketches.select(F.explode("sketch").alias("value"), F.col("doc_id").alias("id"), "n")
@@ -150,9 +152,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
                       F.explode(F.slice("vals", F.lit(1), F.col("room"))).alias("v"))
               .select(F.col("v.value").alias("value"), "id", "n", "common"), "lists")
 
+    listed_nodes = lists.select(F.col("id").alias("node")).distinct()
     texts = write_checkpoint_table(
-        base.join(lists.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-            .dropDuplicates(["doc_id"]), "texts")
+        node_texts(base, named.select("node", "doc_id", "t").join(listed_nodes, "node")).withColumnRenamed("node", "doc_id"), "texts")
     listed = write_checkpoint_table(sketches.join(texts.select("doc_id"), "doc_id", "left_semi"), "listed")
     verify = partial(_verified, sketches=listed, texts=texts, width=width, percent=percent, k=k, need=need)
 
@@ -199,11 +201,6 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
              .filter(bound("left_b", "n_b"))
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     rest = verify(cross)
-    final = components(star.union(rest))
-
-    return (scan.join(classes, ["n", "f1", "f2"], "left")
-            .join(final.withColumnRenamed("node", "rep"), "rep", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.coalesce("component", "rep", "doc_id").alias("found"))
-            .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("found")).alias("component_id"))
+    final = components(star.union(rest).union(same_id_edges(scan, nodes)))
+    return (named_components(scan, nodes, final).withColumnRenamed("n", "n_shingles")
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))

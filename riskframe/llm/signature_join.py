@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.graph import components
+from riskframe.llm.graph import SET_KEY, components, named_components, node_texts, same_id_edges, set_nodes
 from riskframe.llm.words import gram_hashes, mix, slices, word_hashes
 from riskframe.session import write_checkpoint_table
 
@@ -97,21 +97,10 @@ def _scan(batches, width: int, k: int, bits: int):
         sums = np.array([(mix(u).sum(), mix(u ^ _SALT).sum()) for u in (s.view(np.uint64) for s in sets)],
                         np.uint64).reshape(-1, 2).view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sums[:, 0]), pa.array(sums[:, 1]),
+            [b.column("doc_id"), b.column("t"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sums[:, 0]), pa.array(sums[:, 1]),
              pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, kept)]), pa.int32()), pa.array(np.concatenate(kept))),
              _binary(_bitmaps(kept, bits)), _binary((s[:FINE] & (FINE_BITS - 1)).astype(np.uint16) for s in sets)],
-            names=["doc_id", "n", "f1", "f2", "tokens", "bitmap", "fine"])
-
-
-def _identify(batches, width: int):
-    """Texts with the size and sums of their sets."""
-    for b in slices(batches, "text", 1 << 20):
-        sets = shingle_sets(b.column("text"), width)
-        sums = np.array([(mix(u).sum(), mix(u ^ _SALT).sum()) for u in (s.view(np.uint64) for s in sets)],
-                        np.uint64).reshape(-1, 2).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sums[:, 0]), pa.array(sums[:, 1]),
-             b.column("text")], names=["doc_id", "n", "f1", "f2", "text"])
+            names=["doc_id", "t", "n", "f1", "f2", "tokens", "bitmap", "fine"])
 
 
 def _confirm(batches, width: int, percent: int):
@@ -252,19 +241,6 @@ def _second_round(batches, percent: int, k: int, need: int):
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
-def _nodes(scan: DataFrame) -> DataFrame:
-    """(n, f1, f2, rep, node): one node for each set, named by its smallest id.
-
-    An id that is the smallest of several sets (it repeats with different
-    texts) names the first of them; the others get a negative hash.
-    """
-    sets = scan.filter("n > 0 and doc_id is not null").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"))
-    first = sets.groupBy("rep").agg(F.min(F.struct("n", "f1", "f2")).alias("first"))
-    other = -1 - F.xxhash64("n", "f1", "f2").bitwiseAND(F.lit((1 << 62) - 1))
-    return sets.join(first, "rep").select("n", "f1", "f2", "rep", F.when(
-        F.struct("n", "f1", "f2") == F.col("first"), F.col("rep")).otherwise(other).alias("node"))
-
-
 def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, k: int = TOKENS) -> DataFrame:
     """Per row: doc_id, n_shingles (its own set's size), component_id.
 
@@ -278,14 +254,13 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     need = shared_tokens(k, percent)
     tree = {"percent": percent, "k": k, "need": need}
     fine = {"percent": percent, "k": FINE, "need": shared_tokens(FINE, percent)}
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), "text")
     scan = write_checkpoint_table(base.mapInArrow(
-        partial(_scan, width=width, k=k, bits=BITS), "doc_id long, n long, f1 long, f2 long, tokens array<long>, bitmap binary, fine binary"), "signatures")
-    nodes = write_checkpoint_table(_nodes(scan), "nodes")
-    key = ["n", "f1", "f2"]
+        partial(_scan, width=width, k=k, bits=BITS), "doc_id long, t long, n long, f1 long, f2 long, tokens array<long>, bitmap binary, fine binary"), "signatures")
+    nodes = write_checkpoint_table(set_nodes(scan), "nodes")
     sets = write_checkpoint_table(
-        scan.join(nodes.withColumnRenamed("rep", "doc_id"), [*key, "doc_id"]).dropDuplicates(["node"])
-            .select("node", "n", "tokens", "bitmap", "fine"), "sets")
+        scan.join(nodes.withColumnRenamed("rep", "doc_id"), [*SET_KEY, "doc_id"]).dropDuplicates(["node"])
+            .select("node", "doc_id", "t", "n", "tokens", "bitmap", "fine"), "sets")
 
     # The rarest tokens of each set, among those that several sets hold.
     entries = sets.select(F.explode("tokens").alias("value"), "node")
@@ -305,7 +280,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     first = write_checkpoint_table(blocks.select("value", "members").mapInArrow(
         partial(_first_round, **tree), "a long, b long, value long"), "first-round")
     proposed = write_checkpoint_table(first.filter("a is not null").select("a", "b").distinct(), "proposed")
-    links = write_checkpoint_table(_verified(proposed, base, nodes, width, percent), "links")
+    links = write_checkpoint_table(_verified(proposed, base, sets, width, percent), "links")
     so_far = components(links)
 
     # Second round: open tokens whose members lie in several components.
@@ -322,29 +297,16 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
               .join(mixed_blocks.select("value", F.col("block").alias("other"), F.col("members").alias("others")), ["value", "other"])
               .select("members", "others").mapInArrow(partial(_second_round, **fine), "a long, b long"))
     rest = write_checkpoint_table(walked.distinct().join(proposed, ["a", "b"], "left_anti"), "second-round")
-    more = _verified(rest, base, nodes, width, percent)
-
-    # All texts of an id belong together.
-    owned = scan.filter("n > 0 and doc_id is not null").join(nodes, key).select("doc_id", "node")
-    twice = owned.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("hi")).filter("a < hi")
-    same_id = owned.join(twice, "doc_id").select("a", F.col("node").alias("b")).filter("a <> b").distinct()
-    parts = write_checkpoint_table(components(links.unionByName(more).unionByName(same_id)), "parts")
-    named = nodes.join(parts, "node")
-    smallest = named.groupBy("component").agg(F.min("rep").alias("smallest"))
-    named = named.join(smallest, "component").select(*key, "smallest")
-    return (scan.join(nodes, key, "left").join(named, key, "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("smallest", "rep", "doc_id")).alias("component_id")))
-
-
-def _verified(pairs: DataFrame, base: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+    more = _verified(rest, base, sets, width, percent)
+
+    parts = write_checkpoint_table(components(links.unionByName(more).unionByName(same_id_edges(scan, nodes))), "parts")
+    return named_components(scan, nodes, parts).withColumnRenamed("n", "n_shingles")
+
+
+def _verified(pairs: DataFrame, base: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs of nodes (a, b) whose full sets reach the threshold."""
     used = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = nodes.join(used, "node").withColumnRenamed("rep", "doc_id")
-    texts = base.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(
-        partial(_identify, width=width), "doc_id long, n long, f1 long, f2 long, text string")
-    texts = write_checkpoint_table(texts.join(wanted, ["doc_id", "n", "f1", "f2"]).select("node", "text")
-                                   .dropDuplicates(["node"]), "texts")
+    texts = write_checkpoint_table(node_texts(base, sets.select("node", "doc_id", "t").join(used, "node")), "texts")
     side = lambda s: texts.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(
         partial(_confirm, width=width, percent=percent), "a long, b long")
