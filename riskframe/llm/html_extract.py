@@ -31,7 +31,7 @@ ROLES = {
     "nav": "nav", "head": "header", "foot": "footer", "side": "aside dialog", "form": "form button select textarea label option legend",
 }
 ROLE = {tag: role for role, tags in ROLES.items() for tag in tags.split()}
-DROPPED = frozenset("head script style noscript template svg iframe object canvas audio video math title".split())
+DROPPED = frozenset("head script style noscript template svg iframe object canvas audio video title".split())
 #: Start tags that may stand in a head; any other one ends it (its end tag may be left out).
 IN_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -90,11 +90,17 @@ class _Tree(HTMLParser):
         self.parent, self.tag, self.attrs, self.chars, self.linked, self.gold = [-1], ["html"], [""], [0], [0], [False]
         self.runs: list[tuple[int, list[str]]] = []
         self.stack: list[tuple[str, int]] = [("html", 0)]
+        #: Places of block elements in the stack, and for each how often every inline tag is open right inside it.
+        self.blocks: list[int] = [0]
+        self.inline: list[Counter] = [Counter()]
+        self.open = Counter()   # block elements by tag
+        #: The block made for text that stands in the body itself, until a block element ends it.
+        self.loose: int | None = None
         self.links, self.html = 0, html
         #: Open elements from the outermost dropped one inwards; none outside of dropped elements.
         self.dropped: list[str] = []
         self.last_end: dict[str, tuple[int, int]] = {}
-        self.feed(html)
+        self.feed(html[:_end_of_tags(html)])
         self.close()
 
     def handle_starttag(self, tag, attrs):
@@ -107,23 +113,31 @@ class _Tree(HTMLParser):
         if tag in VOID:
             if tag in ("br", "hr"):
                 self._text(" ")
+            if tag == "hr":
+                self.loose = None
             return
         if tag in CLOSES:
             ends, stops = (x.split() for x in CLOSES[tag])
             self._close(ends, stops)
         if tag in ROLE and tag not in ("html", "body"):
-            node = len(self.tag)
-            self.parent.append(self.stack[-1][1])
-            self.tag.append(tag)
-            self.attrs.append(" ".join(v for k, v in attrs if k in ("class", "id", "role") and v).lower())
-            self.gold.append(any(k == "gold" for k, _ in attrs))
-            self.chars.append(0)
-            self.linked.append(0)
+            self.loose = None
+            node = self._node(tag, " ".join(v for k, v in attrs if k in ("class", "id", "role") and v).lower(),
+                              any(k == "gold" for k, _ in attrs))
+            self.blocks.append(len(self.stack))
+            self.inline.append(Counter())
+            self.open[tag] += 1
             self.stack.append((tag, node))
         elif tag not in ("html", "body"):
             self.stack.append((tag, self.stack[-1][1]))
+            self.inline[-1][tag] += 1
             self.links += tag == "a"
 
+    def _node(self, tag: str, attrs: str, gold: bool) -> int:
+        for column, v in ((self.parent, self.stack[-1][1]), (self.tag, tag), (self.attrs, attrs), (self.gold, gold),
+                          (self.chars, 0), (self.linked, 0)):
+            column.append(v)
+        return len(self.tag) - 1
+
     def _unclosed(self, tag: str) -> bool:
         """No end tag of ``tag`` follows the current place."""
         if tag not in self.last_end:
@@ -137,7 +151,7 @@ class _Tree(HTMLParser):
         top, inner = self.dropped[0], self.dropped[-1]
         if top == "head":
             return tag == "body" or (tag not in IN_HEAD and (inner == "head" or (tag in ROLE and self._unclosed(inner))))
-        return tag in ROLE and all(x not in ROLE or x == "html" for x, _ in self.stack) and self._unclosed(top)
+        return tag in ROLE and len(self.blocks) == 1 and self._unclosed(top)
 
     def set_cdata_mode(self, elem, **kw):
         """Raw text runs to the end tag; an iframe or title that lacks one is read like any other element."""
@@ -147,17 +161,22 @@ class _Tree(HTMLParser):
     def _close(self, ends, stops):
         """Pop to the outermost element of ``ends`` above any element of ``stops`` or any other block."""
         cut = None
-        for i in range(len(self.stack) - 1, 0, -1):
-            tag = self.stack[i][0]
-            if tag in ends:
-                cut = i
-            elif tag in stops or (tag in ROLE and tag not in ends):
+        for at in range(len(self.blocks) - 1, 0, -1):
+            if self.stack[self.blocks[at]][0] not in ends:
                 break
+            cut = self.blocks[at]
         if cut is not None:
             self._pop(cut)
 
     def _pop(self, cut: int):
-        self.links -= sum(tag == "a" for tag, _ in self.stack[cut:])
+        for tag, _ in self.stack[cut:]:
+            self.links -= tag == "a"
+            if tag not in ROLE:
+                self.inline[-1][tag] -= 1       # inline tags above the last block; those of popped blocks go with them
+        while self.blocks[-1] >= cut:
+            self.open[self.stack[self.blocks.pop()][0]] -= 1
+            self.inline.pop()
+            self.loose = None
         del self.stack[cut:]
 
     def handle_endtag(self, tag):
@@ -168,14 +187,15 @@ class _Tree(HTMLParser):
         if tag in ("html", "body", "head"):
             self.dropped = []
             return
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] == tag:
-                if self.dropped and tag not in ROLE:
-                    return
-                self.dropped = []
-                return self._pop(i)
-            if self.stack[i][0] in ROLE and tag not in ROLE:
-                return
+        if tag in ROLE:
+            at = next(i for i in reversed(self.blocks) if self.stack[i][0] == tag) if self.open[tag] else None
+        elif self.dropped or not self.inline[-1][tag]:
+            return      # no such element is open inside the innermost block
+        else:
+            at = next(i for i in range(len(self.stack) - 1, 0, -1) if self.stack[i][0] == tag)
+        if at is not None:
+            self.dropped = []
+            self._pop(at)
 
     def handle_startendtag(self, tag, attrs):
         if tag not in DROPPED:
@@ -192,6 +212,12 @@ class _Tree(HTMLParser):
     def _text(self, data):
         node = self.stack[-1][1]
         n = len(data.strip())
+        if node == 0:       # text of the body itself is a block of its own
+            if self.loose is None:
+                if not n:
+                    return
+                self.loose = self._node("p", "", False)
+            node = self.loose
         self.chars[node] += n
         if self.links:
             self.linked[node] += n
@@ -201,6 +227,12 @@ class _Tree(HTMLParser):
             self.runs.append((node, [data]))
 
 
+def _end_of_tags(html: str) -> int:
+    """Where a tag starts that the page's end cuts off; such a tag is no text."""
+    found = re.compile(r"<[A-Za-z/!?]").search(html, html.rfind(">") + 1)
+    return found.start() if found else len(html)
+
+
 @lru_cache(maxsize=4096)
 def _hint(attrs: str) -> str:
     found = HINT.search(attrs) if attrs else None
