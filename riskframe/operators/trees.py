@@ -312,7 +312,14 @@ def _weights(b: dict, fit: int, classes: dict[int, tuple[float, float]]) -> np.n
     return np.where(B.learns(b["fold"], fit), np.where(b["y"] > 0, classes[fit][1], classes[fit][0]), 0.0)
 
 
-_NODES = "array<struct<feature:int,cut:int,left:int,right:int,value:double,gain:double>>"
+def _pack_tree(t: Tree) -> bytes:
+    """The six columns of a tree as doubles, which hold its whole numbers exactly."""
+    return np.array([t.feature, t.cut, t.left, t.right, t.value, t.gain], np.float64).tobytes()
+
+
+def _unpack_tree(packed: bytes) -> Tree:
+    m = np.frombuffer(packed, np.float64).reshape(6, -1)
+    return Tree(*(m[:4].astype(np.int64).tolist()), *(m[4:].tolist()))
 
 
 def _fit_beside(coded: DataFrame, width: int, p: TreeParams, fits: list[int], classes, base) -> dict[int, list[Tree]]:
@@ -323,10 +330,10 @@ def _fit_beside(coded: DataFrame, width: int, p: TreeParams, fits: list[int], cl
                                                                 F.lit(e).alias("stop")) for i, (k, s, e) in enumerate(jobs)])))
     dealt = dealt.withColumn("at", F.col("job.at")).repartitionById(len(jobs), "at")
     found = dealt.select("keys", "y", "fold", "codes", "job.fit", "job.first", "job.stop").mapInArrow(
-        partial(_grow_block, p=p, classes=classes, base=base), f"fit int, tree int, nodes {_NODES}").collect()  # bounded by rounds x leaves
+        partial(_grow_block, p=p, classes=classes, base=base), "fit int, tree int, nodes binary").collect()  # bounded by rounds x leaves
     trees = {k: [] for k in fits}
     for r in sorted(found, key=lambda r: (r.fit, r.tree)):
-        trees[r.fit].append(Tree(*([n[c] for n in r.nodes] for c in range(6))))
+        trees[r.fit].append(_unpack_tree(r.nodes))
     return trees
 
 
@@ -341,13 +348,8 @@ def _grow_block(batches, p: TreeParams, classes, base):
             tree = _grow_here(p, t, codes, g, h)
             if not p.forest:
                 margin += p.rate * tree.values(codes)
-            nodes = [dict(zip(("feature", "cut", "left", "right", "value", "gain"), n)) for n in zip(
-                tree.feature, tree.cut, tree.left, tree.right, tree.value, tree.gain)]
-            yield pa.RecordBatch.from_pylist([{"fit": fit, "tree": t, "nodes": nodes}], schema=_NODE_SCHEMA)
-
-
-_NODE_SCHEMA = pa.schema([("fit", pa.int32()), ("tree", pa.int32()), ("nodes", pa.list_(pa.struct(
-    [(c, pa.int32()) for c in ("feature", "cut", "left", "right")] + [(c, pa.float64()) for c in ("value", "gain")])))])
+            yield pa.RecordBatch.from_arrays([pa.array([fit], pa.int32()), pa.array([t], pa.int32()), pa.array([_pack_tree(tree)], pa.binary())],
+                                             names=["fit", "tree", "nodes"])
 
 
 def _grow_here(p: TreeParams, number: int, codes: np.ndarray, g: np.ndarray, h: np.ndarray) -> Tree:
