@@ -37,7 +37,8 @@ ADDED = {
     # Only the country code is consumed, so every start is tested and no failed one hides the next.
     "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?=({_IBAN})(?![A-Za-z0-9]))[A-Z]{{2}}",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "secret": r"(?<![0-9A-Za-z])[0-9a-f]{32,64}(?![0-9A-Za-z])",
+    # One case throughout, 32 hexadecimal digits or more, a letter and a digit among them.
+    "secret": r"(?<![0-9A-Za-z])(?=[0-9]*[A-Fa-f])(?=[A-Fa-f]*[0-9])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![0-9A-Za-z])",
 }
 KINDS = {**BASE, **ADDED}
 #: Kinds whose text is a group of the pattern, with the number of characters that the pattern consumes.
