@@ -33,7 +33,7 @@ from riskframe.session import write_checkpoint_table
 
 WINDOW = 20
 CHARS_PER_PART = 12_000_000
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 _LOW24 = np.uint64((1 << 24) - 1)
 _SECOND_SALT = np.uint64(0x51AFD7ED558CCD5B)
 _PART_SALT = np.uint64(0x8CB92BA72F3D8DD7)
@@ -85,7 +85,7 @@ def _deal(h, g, doc, pos, parts: int):
     rows = []
     for s, e in zip(edge[:-1].tolist(), edge[1:].tolist()):
         cut = s + int(np.searchsorted(again[s:e], True))
-        bits = np.hstack([h[s:cut].view(np.uint8).reshape(-1, 8)[:, :7], g[s:cut].view(np.uint8).reshape(-1, 8)[:, :3]])
+        bits = np.hstack([h[s:cut].view(np.uint8).reshape(-1, 8)[:, :7], g[s:cut].view(np.uint8).reshape(-1, 4)[:, :3]])
         rows.append((int(part[s]), bits.tobytes(), *_pack_places(doc[s:cut], pos[s:cut]), *_pack_places(doc[cut:e], pos[cut:e])))
     cols = list(zip(*rows))
     return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32())] + [pa.array(c, pa.binary()) for c in cols[1:]],
@@ -102,7 +102,7 @@ def _windows(batches, window: int, parts: int):
             offset = b.column("offset").to_numpy(zero_copy_only=False)
             if int(offset.max()) + len(words) >= 1 << 32:
                 raise ValueError("the different texts of one id hold 2^32 characters or more")
-            second = gram_hashes(mix(words ^ _SECOND_SALT), window)[start] & _LOW24
+            second = (gram_hashes(mix(words ^ _SECOND_SALT), window)[start] & _LOW24).astype(np.uint32)
             held.append((gram_hashes(words, window)[start], second, ids[row], offset[row] + start - rows[:-1][row]))
             size += b.column("text").nbytes
         if size >= BLOCK_BYTES:
