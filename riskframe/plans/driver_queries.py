@@ -393,17 +393,13 @@ def score_results(spark, sf) -> DataFrame:
     split = write_checkpoint_table(sampling.stratified_split(s, "row_id", "y", 0.2, 5, 42), "split")
     from riskframe.operators.longform import to_long
     lf = to_long(split, SCORE_COLS, keep=["y", "is_test", "fold"], feature="model", value="score")
-    test = lf.where(F.col("is_test") == 1).select("model", "score", "y")
-    t_rank = curves.ranking_metrics(test, groups_hint=3)
-    t_conf = curves.confusion_metrics(test, 0.5)
-    test_m = t_rank.join(t_conf, "model")
-    cv = lf.where(F.col("is_test") == 0).select(
-        F.concat_ws("|", "model", F.col("fold").cast("string")).alias("model"), "score", "y")
-    c_rank = curves.ranking_metrics(cv, groups_hint=15)
-    c_conf = curves.confusion_metrics(cv, 0.5)
-    folds = c_rank.join(c_conf, "model").select(
-        F.split("model", r"\|")[0].alias("model"),
-        F.split("model", r"\|")[1].cast("int").alias("fold"), "roc_auc", "f1")
+    # One ordered pass: the test rows and every fold of a model are groups of the same counts.
+    named = lf.select(F.concat_ws("|", "model", F.coalesce("fold", F.lit(-1)).cast("string")).alias("model"), "score", "y")
+    every = write_checkpoint_table(curves.ranking_metrics(named, groups_hint=18).join(curves.confusion_metrics(named, 0.5), "model"), "metrics")
+    part = F.split("model", r"\|")
+    every = every.withColumn("fold", part[1].cast("int")).withColumn("model", part[0])
+    test_m = every.where("fold = -1").drop("fold")
+    folds = every.where("fold >= 0").select("model", "fold", "roc_auc", "f1")
     return report.results_long(test_m, folds)
 
 
@@ -462,7 +458,7 @@ def _projection(spark, sf):
 
 def q_pca_project(spark, sf):
     proj, e = _projection(spark, sf)
-    return proj.transform(e, "vec_id").select("vec_id", "PCA_1", "PCA_2")
+    return proj.transform(e, "vec_id").select("vec_id", F.round("PCA_1", 6).alias("PCA_1"), F.round("PCA_2", 6).alias("PCA_2"))
 
 
 def q_kmeans_assign(spark, sf):

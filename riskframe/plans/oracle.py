@@ -417,6 +417,36 @@ FROM c"""
 SQL["kmeans_certificate"] = """
 SELECT CAST(cluster AS INT) AS cluster, true AS nearest, true AS centred FROM range(3) t(cluster)"""
 
+def _top_vector(matrix: str, out: str) -> str:
+    """The leading eigenvector of a symmetric list of lists by repeated squaring, largest entry positive."""
+    return f"""
+{out}_pow AS (SELECT 0 AS k, m FROM {matrix}
+    UNION ALL
+    SELECT k + 1, list_transform(sq, lambda r: list_transform(r, lambda x: x / tr)) FROM (
+        SELECT k, sq, list_sum(list_transform(generate_series(1, len(sq)), lambda i: sq[i][i])) AS tr FROM (
+            SELECT k, list_transform(m, lambda a: list_transform(m, lambda b: list_inner_product(a, b))) AS sq FROM {out}_pow WHERE k < 26))),
+{out}_col AS (SELECT m, list_position(d, list_max(d)) AS p FROM (
+    SELECT m, list_transform(generate_series(1, len(m)), lambda i: m[i][i]) AS d FROM {out}_pow WHERE k = 26)),
+{out}_raw AS (SELECT list_transform(m[p], lambda x: x / sqrt(m[p][p])) AS v FROM {out}_col),
+{out} AS (SELECT list_transform(v, lambda x: x * sign(v[list_position(list_transform(v, lambda y: abs(y)), list_max(list_transform(v, lambda y: abs(y))))])) AS v
+    FROM {out}_raw)"""
+
+
+# Embeddings clipped at 1% / 99%, scaled (ddof 0) and projected on the two leading eigenvectors of their covariance.
+SQL["pca_project"] = f"""
+WITH RECURSIVE l AS (SELECT vec_id, unnest(generate_series(1, 64)) AS i, unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings),
+b AS (SELECT i, quantile_cont(x, 0.01) AS lo, quantile_cont(x, 0.99) AS hi FROM l GROUP BY i),
+c AS (SELECT vec_id, i, least(greatest(x, lo), hi) AS x FROM l JOIN b USING (i)),
+s AS (SELECT i, avg(x) AS mean, stddev_pop(x) AS sd FROM c GROUP BY i),
+z AS (SELECT vec_id, i, (x - mean) / sd AS z FROM c JOIN s USING (i)),
+pairs AS (SELECT a.i AS i, b.i AS j, sum(a.z * b.z) / (count(*) - 1) AS v FROM z a JOIN z b USING (vec_id) GROUP BY a.i, b.i),
+cov AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(v ORDER BY j) AS r FROM pairs GROUP BY i)),
+{_top_vector("cov", "one")},
+less AS (SELECT list_transform(m, lambda r, i: list_transform(r, lambda x, j: x - lam * v[i] * v[j])) AS m FROM (
+    SELECT m, v, list_inner_product(v, list_transform(m, lambda r: list_inner_product(r, v))) AS lam FROM cov, one)),
+{_top_vector("less", "two")}
+SELECT vec_id, round(sum(z * one.v[i]), 6) AS PCA_1, round(sum(z * two.v[i]), 6) AS PCA_2 FROM z, one, two GROUP BY vec_id"""
+
 SQL["silhouette"] = """
 WITH s AS (SELECT vec_id, CAST(label AS BIGINT) AS label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL
            ORDER BY ('0x' || substr(md5(CAST(vec_id AS VARCHAR) || ':42'), 1, 15))::BIGINT, vec_id LIMIT 5000),
