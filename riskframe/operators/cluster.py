@@ -21,9 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.names import quote
+from riskframe.operators.blocks import summed
 from riskframe.operators.sampling import sample_n
 from riskframe.spec import KMEANS_K, KMEANS_K_RANGE, KMEANS_RESTARTS, SEED, SILHOUETTE_ROWS
 
+#: Up to this many columns the Gram matrix (32 MB) is summed and factored whole.
+GRAM_COLUMNS = 2048
 #: Rows of the sample that meet the whole sample at once: 256 x 5,000 distances are 10 MB.
 SILHOUETTE_BLOCK = 256
 
@@ -32,16 +35,71 @@ def _vectors(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
 
 
+def _signed(loadings: np.ndarray) -> np.ndarray:
+    """The largest-magnitude loading of each component is positive."""
+    top = np.abs(loadings).argmax(axis=0)
+    return loadings * np.where(loadings[top, np.arange(loadings.shape[1])] < 0, -1.0, 1.0)
+
+
 def pca_fit(df: DataFrame, cols: Sequence[str], k: int = 2) -> tuple[np.ndarray, list[float]]:
     """Loadings (p x k) and explained-variance shares.  Input must already be
     centred and scaled (MLlib's transform does not centre).  Signs are fixed so
-    the largest-magnitude loading of each component is positive."""
+    the largest-magnitude loading of each component is positive.  Up to
+    ``GRAM_COLUMNS`` columns MLlib sums the p x p Gram matrix in one pass; wider
+    tables go through :func:`pca_subspace`."""
+    if len(cols) > GRAM_COLUMNS:
+        return pca_subspace(df, cols, k)
     model = PCA(k=k, inputCol="features", outputCol="pca").fit(_vectors(df, cols).select("features"))
-    pc = model.pc.toArray().copy()
-    for j in range(pc.shape[1]):
-        if pc[np.argmax(np.abs(pc[:, j])), j] < 0:
-            pc[:, j] = -pc[:, j]
-    return pc, [float(v) for v in model.explainedVariance.toArray()]
+    return _signed(model.pc.toArray().copy()), [float(v) for v in model.explainedVariance.toArray()]
+
+
+def _gram_times(batches, block: np.ndarray, mean: np.ndarray):
+    """The task's part of X' (X block) with centred rows X."""
+    total = np.zeros_like(block)
+    for b in batches:
+        for at in range(0, len(b), 2048):
+            x = b.column("x").slice(at, 2048).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(mean)) - mean
+            total += x.T @ (x @ block)
+    yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
+
+
+def pca_subspace(df: DataFrame, cols: Sequence[str], k: int = 2, extra: int = 6, tolerance: float = 1e-12,
+                 max_passes: int = 200, seed: int = SEED) -> tuple[np.ndarray, list[float]]:
+    """:func:`pca_fit` without a p x p matrix anywhere (J5): block Krylov iteration with Rayleigh-Ritz.
+
+    A pass sums X'(X Q) for a block Q of k + ``extra`` vectors; the driver
+    holds p x (passes x block) numbers, orthogonalises the new block against
+    the earlier ones and stops when every wanted pair (value, vector) leaves a
+    residual below ``tolerance`` times the largest value.
+    """
+    p = len(cols)
+    found = []
+    for s in range(0, p, 100):
+        part = [F.col(quote(c)).cast("double") for c in cols[s:s + 100]]
+        found.append(df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(part)],
+                            *[F.var_samp(c).alias(f"v{i}") for i, c in enumerate(part)]).first())
+    n = found[0]["n"]
+    mean = np.array([r[f"m{i}"] for r in found for i in range((len(r) - 1) // 2)], np.float64)
+    whole = sum(r[f"v{i}"] or 0.0 for r in found for i in range((len(r) - 1) // 2))
+    rows = df.select(F.array(*[F.col(quote(c)).cast("double") for c in cols]).alias("x"))
+    block = np.linalg.qr(np.random.default_rng(seed).normal(size=(p, min(p, k + extra))))[0]
+    basis, images = np.empty((p, 0)), np.empty((p, 0))
+    for _ in range(max_passes):
+        sums = rows.mapInArrow(partial(_gram_times, block=block, mean=mean), "part int, sums binary")
+        image = np.frombuffer(summed(sums, ["part"], "sums", 1).first().sums, np.float64).reshape(block.shape) / max(n - 1, 1)
+        basis, images = np.hstack([basis, block]), np.hstack([images, image])
+        inner = basis.T @ images
+        values, turns = np.linalg.eigh((inner + inner.T) / 2)
+        values, turns = values[::-1][:k], turns[:, ::-1][:, :k]
+        loadings = basis @ turns
+        rest = np.linalg.norm(images @ turns - loadings * values, axis=0)
+        fresh = image - basis @ (basis.T @ image)
+        fresh -= basis @ (basis.T @ fresh)
+        q, r = np.linalg.qr(fresh)
+        block = q[:, np.abs(np.diag(r)) > 1e-10 * max(values[0], 1e-300)][:, :p - basis.shape[1]]
+        if rest.max() <= tolerance * max(values[0], 1e-300) or not block.shape[1]:
+            break
+    return _signed(loadings), [float(v / whole) if whole else 0.0 for v in values]
 
 
 def project(df: DataFrame, cols: Sequence[str], loadings: np.ndarray, prefix: str = "PCA_") -> DataFrame:

@@ -100,3 +100,25 @@ def test_certificate_finds_moved_centres_and_wrong_rows(spark):
     assert rows([[1.5], [11.0]]) == {0: (True, False), 1: (True, True)}
     wrong = df.union(spark.createDataFrame([(9.0, 0)], df.schema))
     assert rows([[11.0 / 3], [11.0]], wrong) == {0: (False, True), 1: (True, True)}
+
+
+@pytest.mark.parametrize("p, n", [(30, 200), (5, 40), (400, 60), (3, 2)])
+def test_subspace_iteration_equals_the_gram_matrix(spark, p, n):
+    x = RNG.normal(size=(n, p)) * np.linspace(3, 1, p) + 5
+    df = spark.createDataFrame(pd.DataFrame(x, columns=[f"c{i}" for i in range(p)])).repartition(3)
+    k = min(2, p, n - 1)
+    got, shares = cluster.pca_subspace(df, df.columns, k)
+    values, vectors = np.linalg.eigh(np.cov(x.T))
+    want = cluster._signed(vectors[:, ::-1][:, :k])
+    assert got == pytest.approx(want, abs=1e-7)
+    assert shares == pytest.approx((values[::-1][:k] / values.sum()).tolist(), rel=1e-9)
+
+
+def test_wide_tables_take_the_subspace_path(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "GRAM_COLUMNS", 4)
+    x = RNG.normal(size=(80, 6)) * [4, 3, 1, 1, 1, 1]
+    df = spark.createDataFrame(pd.DataFrame(x - x.mean(0), columns=list("abcdef")))
+    wide, shares = cluster.pca_fit(df, df.columns, 2)
+    monkeypatch.setattr(cluster, "GRAM_COLUMNS", 100)
+    narrow, same = cluster.pca_fit(df, df.columns, 2)
+    assert wide == pytest.approx(narrow, abs=1e-7) and shares == pytest.approx(same, rel=1e-9)
