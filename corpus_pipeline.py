@@ -16,9 +16,11 @@ from riskframe.session import ensure_checkpoint_dir, write_checkpoint_table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents that the quality classifier accepts; rows with a NULL id are judged by their own text.
+    """Keep documents that the quality classifier accepts (a score of 0.7 at least).
 
-    Without labels to learn from, all documents stay.
+    Every row is judged by its own text: NULL texts as empty ones, rows with a
+    NULL id like any other, repeated rows alike.  Without labels to learn from,
+    all documents stay; an empty table stays empty.
     """
     stats = quality_classifier.with_stats(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text"))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -31,7 +33,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each near-duplicate component and all rows without an id."""
+    """Keep the smallest id of each near-duplicate component and all rows without an id.
+
+    Whole rows that repeat stay once where they have an id.  Texts without
+    words are nobody's duplicate; an id with several texts goes or stays with
+    all of them; an empty table stays empty.
+    """
     found = near_dedup.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
     kept = docs.join(found, "doc_id", "left_anti").select(docs.columns)
     known = kept.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
@@ -39,26 +46,40 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark passage."""
+    """Drop documents that hold a benchmark passage.
+
+    An id with several texts goes where one of them holds a passage; rows
+    without an id, NULL and empty texts stay; with an empty benchmark, or an
+    empty table, nothing changes.
+    """
     found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace personal data in every text and update ``n_chars``; no row goes."""
+    """Replace personal data in every text and update ``n_chars``; no row goes.
+
+    NULL texts stay NULL (``n_chars`` too), texts without personal data stay as
+    they are, repeated rows change alike; an empty table stays empty.
+    """
     return pii.redact(docs).withColumn(
         "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token chunks in length buckets and batches."""
+    """Token chunks in length buckets and token-budget batches.
+
+    Every token of every row is in one chunk; NULL and empty texts, rows
+    without an id and ties in length are packed as :func:`packing.pack` says;
+    an empty table gives an empty result.
+    """
     return packing.pack(docs)
 
 
 STAGES = [("quality_classifier", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
           ("personal_data", personal_data), ("packing", packed)]
 
-#: The stages are not expressible in SQL; tests/llm/test_pipeline.py tests the first two on a small table.
+#: The stages are not expressible in SQL; tests/llm holds each one, and the whole run, against small tables.
 ORACLE_SQL = None
 
 
