@@ -3,7 +3,7 @@
 A run log is one long table ``(stage, table, metric, value)`` appended per
 stage, so there is no nested document whose schema could drift.  Results JSON
 in the reference's nested shape ``{model: {metric: value}}`` is read back
-into the long form with ``stack``.
+into the long form as maps of maps.
 """
 
 from __future__ import annotations
@@ -49,19 +49,14 @@ def read_results_json(spark: SparkSession, path: str) -> DataFrame:
     -> (model, stage, metric, value).  A missing file gives an empty table (A4)."""
     if not _exists(spark, path):
         return spark.createDataFrame([], RESULTS_SCHEMA)
-    raw = spark.read.option("multiLine", True).json(path)
-    out = None
-    for section, stage in (("test_results", "test"), ("cv_results", "cv")):
-        if section not in raw.columns:
-            continue
-        models = raw.select(f"{section}.*")
-        for m in models.columns:
-            metrics = models.select(f"`{m}`.*")
-            pairs = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(f"`{c}`").cast("double").alias("value"))
-                              for c in metrics.columns])
-            part = metrics.select(F.lit(m).alias("model"), F.lit(stage).alias("stage"), F.inline(pairs))
-            out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], RESULTS_SCHEMA)
+    sections = {"test_results": "test", "cv_results": "cv"}
+    kind = ", ".join(f"{s} map<string,map<string,string>>" for s in sections)
+    # Maps of maps: any number of models and metrics is the same plan; a metric that is no number is NULL.
+    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", kind).alias("j"))
+    named = F.explode(F.array(*[F.struct(F.lit(stage).alias("stage"), F.col(f"j.{s}").alias("models")) for s, stage in sections.items()]))
+    per_model = raw.select(named.alias("s")).select("s.stage", F.explode("s.models").alias("model", "metrics"))
+    return per_model.select("model", "stage", F.explode("metrics").alias("metric", "text")).select(
+        "model", "stage", "metric", F.col("text").try_cast("double").alias("value"))
 
 
 def write_results(df: DataFrame, path: str) -> None:
