@@ -154,7 +154,7 @@ def _per_stat(rows: DataFrame, keys: list[str], value, name: str) -> DataFrame:
 
 def _starts(rows: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, start, m_*, c_*) of every start."""
-    centre = _per_stat(rows, keys, F.col, "m")
+    centre = write_checkpoint_table(_per_stat(rows, keys, F.col, "m"), "mcd-medians")
     spread = _per_stat(rows.join(centre, keys), keys, lambda x: F.abs(F.col(x) - F.col(f"m_{x}")), "s")
     centre = write_checkpoint_table(centre.join(spread, keys), "mcd-centres")
     diagonal = lambda name, size: centre.select(
@@ -174,19 +174,20 @@ def _concentrate(rows: DataFrame, fit: DataFrame, keys: list[str]) -> DataFrame:
     """One step: centre and covariance of the ``KEEP`` share of each group that is nearest under ``fit``."""
     far = _distance(rows, fit, keys)
     log_d2 = F.log(F.col("d2") + 1e-6)
-    edge = _quantile(far, keys, log_d2, KEEP, "edge")
+    # Per-group tables are written before they meet rows: with a known size, a small one is broadcast and no row moves.
+    edge = write_checkpoint_table(_quantile(far, keys, log_d2, KEEP, "edge"), "mcd-edges")
     return write_checkpoint_table(_factored(_moments(far.join(edge, keys), keys, log_d2 <= F.col("edge"))), "mcd")
 
 
 def mcd_fits(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Per key the minimum-covariance-determinant estimate: n (rows), m_*, c_*, and the start that it comes from."""
     several = rows.withColumn("start", F.explode(F.array(*map(F.lit, STARTS))))
-    fit = _factored(_starts(rows, keys))
+    fit = write_checkpoint_table(_factored(_starts(rows, keys)), "mcd-starts")
     for _ in range(FIRST_STEPS):
         fit = _concentrate(several, fit, [*keys, "start"])
     order = F.array_position(F.array(*map(F.lit, STARTS)), F.col("start"))
     best = fit.groupBy(*keys).agg(F.min(F.struct("log_det", order.alias("place"), "start")).alias("b")).select(*keys, F.col("b.start").alias("start"))
-    fit = fit.join(best, [*keys, "start"])
+    fit = write_checkpoint_table(fit.join(best, [*keys, "start"]), "mcd-best")
     for _ in range(STEPS):
         fit = _concentrate(rows, fit, keys)
     whole = rows.groupBy(*keys).agg(F.count("*").alias("n"))
@@ -223,6 +224,7 @@ def mcd_distances(passed: DataFrame) -> DataFrame:
     wide = _levels(far.select("lang", "source", "d2"))
     half = _quantile(wide, _GROUP, log_d2, 0.5, "half").join(wide.groupBy(*_GROUP).agg(F.count("*").alias("n")), _GROUP)
     half = _blended(write_checkpoint_table(half, "mcd-halves"), ["half"]).withColumnsRenamed({"g_lang": "lang", "g_source": "source"})
+    half = write_checkpoint_table(half, "mcd-scales")
     scale = F.greatest(F.exp("half"), F.lit(CHI2_MEDIAN / 4)) / CHI2_MEDIAN
     return far.join(half, ["lang", "source"]).withColumn("d2", F.col("d2") / scale).drop("half")
 
