@@ -72,3 +72,21 @@ def write_checkpoint_table(df: DataFrame, name: str) -> DataFrame:
     path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def expire_tables(spark: SparkSession, hours: float = 24.0) -> int:
+    """Delete stage tables and models below the checkpoint folder that nothing has changed for ``hours``; returns how many.
+
+    Results are lazy, so only their user knows when their tables are done with:
+    run this between jobs, with a span longer than the longest of them.
+    """
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    oldest, gone = spark._jvm.java.lang.System.currentTimeMillis() - int(hours * 3_600_000), 0
+    for folder, prefix in ((f"{base}/tables", ""), (base, "lm-")):
+        if fs.exists(path(folder)):
+            for status in fs.listStatus(path(folder)):
+                if status.isDirectory() and status.getPath().getName().startswith(prefix) and status.getModificationTime() < oldest:
+                    gone += bool(fs.delete(status.getPath(), True))
+    return gone

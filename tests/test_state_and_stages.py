@@ -168,3 +168,14 @@ def test_read_stage_hides_no_other_error(spark, tmp_path):
     with pytest.raises(Exception) as raised:
         read_stage(spark, str(tmp_path), "bad").count()
     assert not isinstance(raised.value, FileNotFoundError)
+
+
+def test_old_tables_expire(spark):
+    from riskframe.session import expire_tables, write_checkpoint_table
+    kept = write_checkpoint_table(spark.range(3), "expiring")
+    assert expire_tables(spark, hours=24) == 0 and kept.count() == 3
+    folder = kept.inputFiles()[0].rsplit("/", 1)[0]
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.setTimes(where, spark._jvm.java.lang.System.currentTimeMillis() - 2 * 3_600_000, -1)
+    assert expire_tables(spark, hours=1) == 1 and not fs.exists(where)
