@@ -433,7 +433,8 @@ def _grow_spread(coded: DataFrame, width: int, p: TreeParams, units: list[tuple[
             places = {(i, n): place for i, n, place in part}
             sums = coded.mapInArrow(partial(_sum_histograms, p=p, jobs=jobs, classes=classes, boosted=boosted, width=width),
                                     "unit int, node int, sums binary")
-            best = sums.repartition(len(part), "unit", "node").sortWithinPartitions("unit", "node").mapInArrow(
+            reducers = min(len(part), coded.sparkSession.sparkContext.defaultParallelism)
+            best = sums.repartition(reducers, "unit", "node").sortWithinPartitions("unit", "node").mapInArrow(
                 partial(_settle, p=p, width=width, numbers={i: u.number for i, u in jobs.items()}, places=places),
                 "unit int, node int, split array<double>").collect()  # one row per asked leaf
             for r in best:
