@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from riskframe.operators import blocks as B
 from riskframe.session import write_checkpoint_table
 
-MAX_BINS, MARGIN_ROUNDS = 255, 20
+MAX_BINS, MARGIN_ROUNDS = 255, 5
 #: Leaves whose histograms one pass sums, and forest trees that grow side by side.
 LEAVES_A_PASS, TREES_A_PASS = 64, 16
 
