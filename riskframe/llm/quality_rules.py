@@ -93,7 +93,9 @@ def _quantile(rows: DataFrame, keys: list[str], value: Column, share: float, nam
     Counts per bin give counts per coarse bin; the running sum goes over those
     and then over the bins of the coarse bin that reaches the share.
     """
-    bins = rows.groupBy(*keys, F.floor(value * _BINS_PER_UNIT).alias("_bin")).agg(F.count("*").alias("_n"))
+    # Written, so that the counts are dealt by key and bin and not, for the windows' sake, by key alone.
+    bins = write_checkpoint_table(
+        rows.groupBy(*keys, F.floor(value * _BINS_PER_UNIT).alias("_bin")).agg(F.count("*").alias("_n")), "mcd-bins")
     coarse = bins.groupBy(*keys, F.floor(F.col("_bin") / _COARSE).alias("_coarse")).agg(F.sum("_n").alias("_m"))
     all_of = Window.partitionBy(*keys)
     coarse = (coarse.withColumn("_upto", F.sum("_m").over(all_of.orderBy("_coarse"))).withColumn("_all", F.sum("_m").over(all_of))
