@@ -11,7 +11,7 @@ row moves, and a class of any size costs the same few counts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -52,29 +52,31 @@ def _at(cut: Cut, h: Column, i: Column) -> Column:
     return (h == F.lit(cut.hash)) & i.eqNullSafe(F.lit(cut.id))
 
 
-def class_sizes(df: DataFrame, target: str) -> dict[object, int]:
-    """Rows per class; a NULL class raises."""
-    sizes = {r[0]: r[1] for r in df.groupBy(F.col(quote(target))).agg(F.count(F.lit(1))).collect()}
-    if None in sizes:
-        raise ValueError(f"NULL in target {target}")
-    return sizes
+def find_cuts(df: DataFrame, id_col: str, seed: int, ranks: Callable[[int], Sequence[int]],
+              target: str | None = None) -> tuple[dict, dict[tuple, Cut]]:
+    """(rows of each class, (class, rank) -> :class:`Cut` of the row at each 0-based rank of the class's hash order).
 
-
-def find_cuts(df: DataFrame, id_col: str, seed: int, ranks: dict[object, Sequence[int]], target: str | None = None) -> dict[tuple, Cut]:
-    """(class, rank) -> :class:`Cut` of the row at each 0-based rank of each class's hash order (class None without ``target``).
-
-    Ranks must lie inside their class.  Every pass counts hash ranges of the
-    classes and ids only; what returns is one row per range that may hold a cut.
+    ``ranks`` gives the wanted ranks for a class of so many rows; those
+    outside of it are left out.  Without ``target`` all rows are the class
+    None; a NULL target raises.  Every pass counts hash ranges of the classes
+    and ids only; what returns is one row per range that may hold a cut.
     """
     group = F.lit(None).cast("string") if target is None else F.col(quote(target))
     rows = df.select(group.alias("g"), hash_key(id_col, seed).alias("h"), F.col(quote(id_col)).alias("i"))
-    todo = {(g, 0): [(r, r) for r in sorted(set(rs))] for g, rs in ranks.items() if rs}  # (class, prefix) -> (rank, rank inside)
+    sizes: dict = {}
+    todo: dict[tuple, list[tuple[int, int]]] | None = None  # (class, hash prefix) -> (rank, rank inside)
     cuts, depth = {}, 0
-    while todo:
+    while todo is None or todo:
         depth += STEP_BITS
         prefix = F.shiftright("h", HASH_BITS - depth)
-        inside = _in_ranges(todo, HASH_BITS - depth + STEP_BITS)
-        counts = rows.where(inside).groupBy("g", prefix.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+        inside = rows if todo is None else rows.where(_in_ranges(todo, HASH_BITS - depth + STEP_BITS))
+        counts = inside.groupBy("g", prefix.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+        if todo is None:
+            for r in counts:
+                sizes[r.g] = sizes.get(r.g, 0) + r.n
+            if target is not None and None in sizes:
+                raise ValueError(f"NULL in target {target}")
+            todo = {(g, 0): own for g, n in sizes.items() if (own := [(r, r) for r in sorted(set(ranks(n))) if 0 <= r < n])}
         next_todo, small = {}, {}
         for (g, p), wanted in todo.items():
             start = 0
@@ -93,7 +95,7 @@ def find_cuts(df: DataFrame, id_col: str, seed: int, ranks: dict[object, Sequenc
                     cuts.update({(g, rank): Cut(r.h, r.i, at - start) for rank, at in wanted if start <= at < start + r.n})
                     start += r.n
         todo = next_todo
-    return cuts
+    return sizes, cuts
 
 
 def _in_ranges(ranges: dict, shift: int) -> Column:
@@ -108,8 +110,7 @@ def sample_n(df: DataFrame, n: int, id_col: str, seed: int = SEED, target: str |
     that many of each class of ``target`` (I2).  The row cap is the operator's
     purpose (the reference fits PCA/k-means on a 20,000-row sample).  Where the
     last wanted row repeats an id, any of its rows make up the number."""
-    sizes = {None: df.count()} if target is None else class_sizes(df, target)
-    cuts = find_cuts(df, id_col, seed, {g: [n] for g, size in sizes.items() if 0 <= n < size}, target)
+    sizes, cuts = find_cuts(df, id_col, seed, lambda size: [n], target)
     h, i = hash_key(id_col, seed), F.col(quote(id_col))
     group = F.lit(True) if target is None else None
     kept, ties = F.lit(False), []
@@ -137,19 +138,18 @@ def stratified_split(df: DataFrame, id_col: str, target: str, test_share: float
     Rows that repeat an id stay together.  A NULL target belongs to no class:
     it raises.
     """
-    sizes = class_sizes(df, target)
-    ranks, ends = {}, {}
-    for g, n in sizes.items():
+    def ends(n: int) -> list[int]:
+        """Where the test rows end and where each later fold starts."""
         n_test = int(n * test_share + 0.5)
-        ends[g] = [n_test + -(-k * (n - n_test) // folds) for k in range(folds)]  # the test rows' end and where each later fold starts
-        ranks[g] = [r for r in ends[g] if r < n]
-    cuts = find_cuts(df, id_col, seed, ranks, target)
+        return [n_test + -(-k * (n - n_test) // folds) for k in range(folds)]
+
+    sizes, cuts = find_cuts(df, id_col, seed, ends, target)
     h, i = F.col("_h"), F.col(quote(id_col))
     place = None
     for g, n in sizes.items():
         # Cuts that a row has reached: 0 for a test row, k + 1 in fold k.
         reached = F.lit(0)
-        for e in ends[g]:
+        for e in ends(n):
             if e < n:
                 reached = reached + (~_first(cuts[g, e], h, i)).cast("int")
         own = F.col(quote(target)) == F.lit(g)
