@@ -1,9 +1,10 @@
 """Projection and clustering.
 
-MLlib fits PCA and k-means (distributed Gram matrix and Lloyd iterations);
-projections and centre distances are then plain column expressions built from
-the fitted loadings and centres, so scoring every row stays inside
-whole-stage codegen.
+MLlib fits PCA (distributed Gram matrix) and draws the first centres of
+k-means; its Lloyd iterations then run for all restarts, and all numbers of
+clusters, in the same passes over packed rows.  Projections and centre
+distances are plain column expressions built from the fitted loadings and
+centres, so scoring every row stays inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -17,12 +18,14 @@ import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.names import quote
-from riskframe.operators.blocks import summed
+from riskframe.operators.blocks import BLOCK_ROWS, summed
 from riskframe.operators.sampling import sample_n
+from riskframe.session import write_checkpoint_table
 from riskframe.spec import KMEANS_K, KMEANS_K_RANGE, KMEANS_RESTARTS, SEED, SILHOUETTE_ROWS
 
 #: Up to this many columns the Gram matrix (32 MB) is summed and factored whole.
@@ -113,18 +116,94 @@ def project(df: DataFrame, cols: Sequence[str], loadings: np.ndarray, prefix: st
     return df.select("*", *outs)
 
 
-def _best_kmeans(data: DataFrame, k: int, restarts: int, seed: int, max_iter: int,
-                 parallelism: int = 4):
-    """Least-inertia model of ``restarts`` seeded runs.  The runs are independent
-    Spark jobs submitted from a few driver threads (like CrossValidator's
-    ``parallelism``), so small fits overlap instead of queueing."""
-    def fit(r):
-        model = KMeans(k=k, seed=seed + r, maxIter=max_iter, initMode="k-means||").fit(data)
-        return r, model, model.summary.trainingCost
+def _first_centres(data: DataFrame, k: int, restarts: int, seed: int, parallelism: int = 4) -> list[np.ndarray]:
+    """MLlib's k-means|| centres of each seeded restart, before any Lloyd iteration.  The restarts are independent
+    Spark jobs submitted from a few driver threads (like CrossValidator's ``parallelism``)."""
+    def begin(r):
+        return np.array(KMeans(k=k, seed=seed + r, maxIter=0, initMode="k-means||").fit(data).clusterCenters(), np.float64)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        runs = sorted(pool.map(fit, range(restarts)), key=lambda t: (t[2], t[0]))
-    _, model, cost = runs[0]
-    return model, cost
+        return list(pool.map(begin, range(restarts)))
+
+
+def _matrix_blocks(data: DataFrame) -> DataFrame:
+    """The feature vectors as packed matrices of up to ``BLOCK_ROWS`` rows, in no more partitions than cores."""
+    rows = data.select(vector_to_array("features").alias("x")).mapInArrow(_pack_matrix, "x binary, width int")
+    return write_checkpoint_table(rows, "matrix").coalesce(max(1, data.sparkSession.sparkContext.defaultParallelism))
+
+
+def _pack_matrix(batches):
+    held, n = [], 0
+
+    def settle():
+        x = np.concatenate(held)
+        return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()), pa.array([x.shape[1]], pa.int32())], names=["x", "width"])
+    for b in batches:
+        if len(b):
+            held.append(b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(len(b), -1))
+            n += len(b)
+        if n >= BLOCK_ROWS:
+            yield settle()
+            held, n = [], 0
+    if n:
+        yield settle()
+
+
+def _lloyd_sums(batches, runs: list[np.ndarray]):
+    """The task's part of a Lloyd step of every run: per centre the rows' sum and number, and the run's squared distances."""
+    sums = [np.zeros((len(c), c.shape[1] + 2)) for c in runs]
+    for b in batches:
+        for packed, width in zip(b.column("x"), b.column("width").to_pylist()):
+            whole = np.frombuffer(packed.as_py(), np.float64).reshape(-1, width)
+            for at in range(0, len(whole), 4096):
+                x = whole[at:at + 4096]
+                square = (x * x).sum(1)
+                for centres, total in zip(runs, sums):
+                    far = (centres * centres).sum(1) - 2.0 * (x @ centres.T)
+                    near = far.argmin(1)
+                    own = np.zeros((len(x), len(centres)))
+                    own[np.arange(len(x)), near] = 1.0
+                    total[:, :-2] += own.T @ x
+                    total[:, -2] += own.sum(0)
+                    total[:, -1] += own.T @ np.maximum(square + far[np.arange(len(x)), near], 0.0)
+    yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([t.ravel() for t in sums]).tobytes()], pa.binary())], names=["sums"])
+
+
+def _lloyd(blocks: DataFrame, runs: list[np.ndarray], max_iter: int, tolerance: float = 1e-4) -> list[tuple[np.ndarray, float, np.ndarray]]:
+    """(centres, inertia, rows of each centre) of every run: MLlib's Lloyd iterations, all runs in the same passes.
+
+    As in MLlib a run ends when no centre moves further than ``tolerance``, a
+    centre without rows stays, and the inertia is that of the last step's
+    assignment.  A task returns one row of sums, whatever its rows.
+    """
+    def step(which):
+        parts = blocks.mapInArrow(partial(_lloyd_sums, runs=[centres[i] for i in which]), "sums binary").collect()   # one row per task
+        total = sum(np.frombuffer(r.sums, np.float64) for r in parts)
+        edges = np.cumsum([centres[i].shape[0] * (centres[i].shape[1] + 2) for i in which])[:-1]
+        return [s.reshape(len(centres[i]), -1) for i, s in zip(which, np.split(total, edges))]
+
+    centres, inertia = [c.copy() for c in runs], [0.0] * len(runs)
+    going = list(range(len(runs)))
+    for _ in range(max_iter):
+        still = []
+        for i, s in zip(going, step(going)):
+            inertia[i], full = float(s[:, -1].sum()), s[:, -2] > 0
+            moved = centres[i].copy()
+            moved[full] = s[full, :-2] / s[full, -2:-1]
+            if not (((moved - centres[i]) ** 2).sum(1) <= tolerance ** 2).all():
+                still.append(i)
+            centres[i] = moved
+        going = still
+        if not going:
+            break
+    sizes = [s[:, -2].astype(np.int64) for s in step(list(range(len(runs))))]
+    return list(zip(centres, inertia, sizes))
+
+
+def _best_kmeans(data: DataFrame, ks: Sequence[int], restarts: int, seed: int, max_iter: int) -> list[tuple[np.ndarray, float, np.ndarray]]:
+    """Per k the least-inertia (centres, inertia, sizes) of ``restarts`` seeded runs; the runs of all ks share each pass over the rows."""
+    first = [c for k in ks for c in _first_centres(data, k, restarts, seed)]
+    done = _lloyd(_matrix_blocks(data), first, max_iter)
+    return [min(done[i * restarts:(i + 1) * restarts], key=lambda run: run[1]) for i in range(len(ks))]
 
 
 def kmeans_fit(df: DataFrame, cols: Sequence[str], k: int = KMEANS_K,
@@ -133,12 +212,10 @@ def kmeans_fit(df: DataFrame, cols: Sequence[str], k: int = KMEANS_K,
     """Best of ``restarts`` k-means runs (least inertia).  Centres are returned
     ordered by cluster size, largest first, so cluster ids are stable."""
     data = _vectors(df, cols).select("features").cache()
-    model, cost = _best_kmeans(data, k, restarts, seed, max_iter)
-    sizes = model.summary.clusterSizes
+    (centres, cost, sizes), = _best_kmeans(data, [k], restarts, seed, max_iter)
     order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
-    centres = [list(map(float, model.clusterCenters()[i])) for i in order]
     data.unpersist()
-    return centres, float(cost)
+    return [centres[i].tolist() for i in order], float(cost)
 
 
 def distances_to_centres(df: DataFrame, cols: Sequence[str], centres: Sequence[Sequence[float]],
@@ -226,9 +303,9 @@ def kmeans_k_selection(df: DataFrame, cols: Sequence[str], k_range=KMEANS_K_RANG
     rows = []
     named = df.withColumn("_id", F.col(quote(id_col)) if id_col else F.xxhash64(*[quote(c) for c in cols]))
     data = _vectors(named, cols).select("_id", *[quote(c) for c in cols], "features").cache()
-    for k in range(k_range[0], k_range[1] + 1):
-        model, cost = _best_kmeans(data.select("features"), k, restarts, seed, max_iter)
-        scored = model.transform(data)
+    ks = list(range(k_range[0], k_range[1] + 1))
+    for k, (centres, cost, _) in zip(ks, _best_kmeans(data.select("features"), ks, restarts, seed, max_iter)):
+        scored = assign_clusters(data, cols, centres, "prediction")
         squared = ClusteringEvaluator(featuresCol="features", predictionCol="prediction",
                                       distanceMeasure="squaredEuclidean").evaluate(scored)
         mean = silhouette_rows(scored, cols, "prediction", "_id", sample_size, seed).agg(F.avg("silhouette")).first()[0]
