@@ -12,9 +12,10 @@ sums the histograms of every wanted leaf of every fit inside each task; a
 reducer for each (fit, tree, leaf) adds them up and returns its best split
 only, so the driver sees one row per leaf.  Boosted margins are written with
 the blocks every ``MARGIN_ROUNDS`` rounds, between which the newest trees are
-applied on the fly.  A table that fits one block (``blocks.BLOCK_ROWS`` rows)
-needs no sums across tasks: each fit's loop over the same functions then runs
-beside its block.
+applied on the fly.  Histograms are summed for the columns a leaf may split on
+only.  A table of up to ``BESIDE_BLOCKS`` blocks (of ``blocks.BLOCK_ROWS`` rows)
+has fewer bins than its trees have histograms and needs no sums across tasks:
+each fit's loop over the same functions then runs in a task that holds them.
 
 Row samples and column samples come from hashes of the row's key and of the
 round, so a lost task draws the same ones again.
@@ -36,8 +37,12 @@ from riskframe.operators import blocks as B
 from riskframe.session import write_checkpoint_table
 
 MAX_BINS, MARGIN_ROUNDS = 255, 5
-#: Leaves whose histograms one pass sums, and forest trees that grow side by side.
+#: Leaves whose histograms one pass sums (of all columns; more of fewer ones), and forest trees that grow side by side.
 LEAVES_A_PASS, TREES_A_PASS = 64, 16
+#: Up to this many blocks (131,072 rows) each fit grows in one task: its rows are then fewer numbers than the histograms of a tree's passes.
+BESIDE_BLOCKS = 8
+#: Rows of a leaf above which its histograms are summed column by column.
+COLUMN_ROWS = 4096
 
 
 @dataclass(frozen=True)
@@ -82,11 +87,11 @@ class Tree:
             column.append(v)
         return len(self.left) - 1
 
-    def leaves(self, codes: np.ndarray) -> np.ndarray:
-        """The leaf of each row of bins."""
+    def leaves(self, codes: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+        """The leaf of each row of bins; ``at``: the nodes that the rows have reached so far."""
         feature, cut, left, right = (np.array(c, np.int64) for c in (self.feature, self.cut, self.left, self.right))
-        at = np.zeros(len(codes), np.int64)
-        moving = np.arange(len(codes)) if left[0] >= 0 else np.empty(0, np.int64)
+        at = np.zeros(len(codes), np.int64) if at is None else at.copy()
+        moving = np.flatnonzero(left[at] >= 0)
         while len(moving):
             node = at[moving]
             at[moving] = np.where(codes[moving, feature[node]] <= cut[node], left[node], right[node])
@@ -144,24 +149,37 @@ def _bin(batches, cuts):
 
 # ---------------------------------------------------------------- splits
 
-def histograms(codes: np.ndarray, slot: np.ndarray, slots: int, g: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Sums of (gradient, Hessian, rows) per (slot, feature, bin); rows with a negative slot take no part."""
-    width = codes.shape[1]
-    out = np.zeros((slots, 3, width * MAX_BINS))
+def histograms(codes: np.ndarray, slot: np.ndarray, columns: np.ndarray, g: np.ndarray, h: np.ndarray,
+               by_column: np.ndarray | None = None) -> np.ndarray:
+    """Sums of (gradient, Hessian, rows) per (slot, column, bin) of each slot's ``columns``; rows with a negative slot take no part.
+
+    ``by_column``: the transposed bins, where they are held in that order too.
+    """
+    by_column = codes.T if by_column is None else by_column
+    slots, width = columns.shape
+    out = np.zeros((slots, 3, width, MAX_BINS))
     base = np.arange(width, dtype=np.int64) * MAX_BINS
     order = np.argsort(slot, kind="stable")
     starts = np.searchsorted(slot[order], np.arange(slots + 1))
     for s in range(slots):
         at = order[starts[s]:starts[s + 1]]
-        if len(at):
-            key = (codes[at] + base).ravel()
-            out[s, 0] = np.bincount(key, np.repeat(g[at], width), minlength=width * MAX_BINS)
-            out[s, 1] = np.bincount(key, np.repeat(h[at], width), minlength=width * MAX_BINS)
-            out[s, 2] = np.bincount(key, minlength=width * MAX_BINS)
-    return out.reshape(slots, 3, width, MAX_BINS)
+        if len(at) > COLUMN_ROWS:
+            drawn_g, drawn_h = g[at], h[at]
+            for i, f in enumerate(columns[s]):
+                key = by_column[f][at].astype(np.int64)
+                out[s, 0, i] = np.bincount(key, drawn_g, minlength=MAX_BINS)
+                out[s, 1, i] = np.bincount(key, drawn_h, minlength=MAX_BINS)
+                out[s, 2, i] = np.bincount(key, minlength=MAX_BINS)
+        elif len(at):
+            key = (codes[at[:, None], columns[s]] + base).ravel()
+            flat = out[s].reshape(3, -1)
+            flat[0] = np.bincount(key, np.repeat(g[at], width), minlength=width * MAX_BINS)
+            flat[1] = np.bincount(key, np.repeat(h[at], width), minlength=width * MAX_BINS)
+            flat[2] = np.bincount(key, minlength=width * MAX_BINS)
+    return out
 
 
-def best_splits(hist: np.ndarray, allowed: np.ndarray, p: TreeParams) -> list[tuple]:
+def best_splits(hist: np.ndarray, columns: np.ndarray, p: TreeParams) -> list[tuple]:
     """Per slot: (gain, feature, cut, left g, left h, right g, right h, rows); gain 0 where no split is allowed."""
     left = np.cumsum(hist[..., :-1], axis=-1)
     whole = hist.sum(-1, keepdims=True)
@@ -169,7 +187,6 @@ def best_splits(hist: np.ndarray, allowed: np.ndarray, p: TreeParams) -> list[tu
     gl, hl, nl = left[:, 0], left[:, 1], left[:, 2]
     gr, hr, nr = right[:, 0], right[:, 1], right[:, 2]
     fine = (nl > 0) & (nr > 0) & (nl >= p.min_rows) & (nr >= p.min_rows) & (hl >= p.min_hessian) & (hr >= p.min_hessian)
-    fine &= allowed[:, :, None]
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = gl * gl / (hl + p.l2) + gr * gr / (hr + p.l2) - (whole[:, 0] ** 2 / (whole[:, 1] + p.l2))
     # Rounded, so that cuts of equal gain come by feature and bin whatever the order of the sums.
@@ -178,7 +195,7 @@ def best_splits(hist: np.ndarray, allowed: np.ndarray, p: TreeParams) -> list[tu
     out = []
     for s, i in enumerate(at.tolist()):
         f, c = divmod(i, MAX_BINS - 1)
-        out.append((float(gain[s, i]), f, c, *(float(m[s, f, c]) for m in (gl, hl, gr, hr)), float(whole[s, 2, 0, 0])))
+        out.append((float(gain[s, i]), int(columns[s, f]), c, *(float(m[s, f, c]) for m in (gl, hl, gr, hr)), float(whole[s, 2, 0, 0])))
     return out
 
 
@@ -203,12 +220,20 @@ def _uniform(keys: np.ndarray, seed: int) -> np.ndarray:
 def allowed_columns(p: TreeParams, width: int, tree: int, place: int) -> np.ndarray:
     """The columns a leaf may split on: one sample per tree, in a forest one of sqrt(width) per leaf (by its place in the tree)."""
     rng = np.random.default_rng(_mixed(p.seed, tree, place if p.forest else 0))
-    n = max(1, round(width ** 0.5 if p.forest else p.columns * width))
     out = np.zeros(width, bool)
-    out[rng.permutation(width)[:n]] = True
+    out[rng.permutation(width)[:_columns_a_leaf(p, width)]] = True
     return out
 
 
+def _columns_a_leaf(p: TreeParams, width: int) -> int:
+    return max(1, round(width ** 0.5 if p.forest else p.columns * width))
+
+
+def _columns(p: TreeParams, width: int, tree: int, places: Sequence[int]) -> np.ndarray:
+    """The numbers of the allowed columns of each leaf, rising."""
+    return np.stack([np.flatnonzero(allowed_columns(p, width, tree, i)) for i in places])
+
+
 def gradients(p: TreeParams, tree: int, y: np.ndarray, weight: np.ndarray, keys: np.ndarray, margin: np.ndarray | None):
     """(g, h) of each row for tree number ``tree``; both are 0 for rows that are not drawn."""
     u = _uniform(keys, _mixed(p.seed, tree, -1))
@@ -281,17 +306,17 @@ def _kept(seen: Tree, kept: set[int]) -> Tree:
     return out
 
 
-def _slots(tree: Tree, nodes: list[int], codes: np.ndarray, g: np.ndarray, h: np.ndarray) -> np.ndarray:
+def _slots(tree: Tree, nodes: list[int], leaves: np.ndarray, g: np.ndarray, h: np.ndarray) -> np.ndarray:
     """The number among ``nodes`` of each row's node in the tree so far; -1 elsewhere and for rows not drawn."""
     number = np.full(len(tree.left), -1)
     number[nodes] = np.arange(len(nodes))
-    return np.where((h > 0) | (g != 0), number[tree.leaves(codes)], -1)
+    return np.where((h > 0) | (g != 0), number[leaves], -1)
 
 
 # ---------------------------------------------------------------- fits
 
 def fit_trees(table: B.RowBlocks, p: TreeParams, fits: Sequence[int], spread: bool | None = None) -> dict[int, Ensemble]:
-    """One ensemble per fit.  ``spread``: sum over the blocks of many tasks (by default where there is more than one block)."""
+    """One ensemble per fit.  ``spread``: sum over the blocks of many tasks (by default above ``BESIDE_BLOCKS`` blocks)."""
     cuts = table.cuts(MAX_BINS)
     counts = table.counts()
     classes = {k: B.class_weights(counts[k], p.weight_scheme, p.positive_weight) for k in fits}
@@ -303,7 +328,7 @@ def fit_trees(table: B.RowBlocks, p: TreeParams, fits: Sequence[int], spread: bo
     coded = write_checkpoint_table(table.blocks.select("keys", "y", "fold", "x").mapInArrow(
         partial(_bin, cuts=cuts), "keys binary, y binary, fold binary, codes binary"), "binned")
     if spread is None:
-        spread = coded.count() > 1
+        spread = coded.count() > BESIDE_BLOCKS
     trees = (_fit_spread if spread else _fit_beside)(coded, len(cuts), p, list(fits), classes, base)
     return {k: Ensemble(table.features, cuts, trees[k], base[k], p) for k in fits}
 
@@ -323,42 +348,52 @@ def _unpack_tree(packed: bytes) -> Tree:
 
 
 def _fit_beside(coded: DataFrame, width: int, p: TreeParams, fits: list[int], classes, base) -> dict[int, list[Tree]]:
-    """The table is one block: each fit (of a forest, each run of its trees) grows in a task of its own."""
-    step = TREES_A_PASS if p.forest else max(p.rounds, 1)
+    """The table is a few blocks: each fit (of a forest, each run of its trees) grows in a task of its own."""
+    step = max(p.rounds, 1)
+    if p.forest:    # about two tasks a core
+        step = max(TREES_A_PASS, -(-p.rounds * len(fits) // (2 * coded.sparkSession.sparkContext.defaultParallelism)))
     jobs = [(k, t, min(t + step, p.rounds)) for k in fits for t in range(0, p.rounds, step)]
     dealt = coded.withColumn("job", F.explode(F.array(*[F.struct(F.lit(i).alias("at"), F.lit(k).alias("fit"), F.lit(s).alias("first"),
                                                                 F.lit(e).alias("stop")) for i, (k, s, e) in enumerate(jobs)])))
     dealt = dealt.withColumn("at", F.col("job.at")).repartitionById(len(jobs), "at")
     found = dealt.select("keys", "y", "fold", "codes", "job.fit", "job.first", "job.stop").mapInArrow(
-        partial(_grow_block, p=p, classes=classes, base=base), "fit int, tree int, nodes binary").collect()  # bounded by rounds x leaves
+        partial(_grow_blocks, p=p, classes=classes, base=base), "fit int, tree int, nodes binary").collect()  # bounded by rounds x leaves
     trees = {k: [] for k in fits}
     for r in sorted(found, key=lambda r: (r.fit, r.tree)):
         trees[r.fit].append(_unpack_tree(r.nodes))
     return trees
 
 
-def _grow_block(batches, p: TreeParams, classes, base):
+def _grow_blocks(batches, p: TreeParams, classes, base):
+    jobs: dict[tuple, list[dict]] = {}
     for b in B.each_block(batches):
-        fit, first, stop = (b[c][0].as_py() for c in ("fit", "first", "stop"))
+        fit, first, stop = (b.pop(c)[0].as_py() for c in ("fit", "first", "stop"))
         at = np.flatnonzero(B.learns(b["fold"], fit))
-        codes, y, keys, weight = b["codes"][at], b["y"][at], b["keys"][at], _weights(b, fit, classes)[at]
-        margin = np.full(len(at), base[fit])
+        jobs.setdefault((fit, first, stop), []).append(
+            {"codes": b["codes"][at], "y": b["y"][at], "keys": b["keys"][at], "weight": _weights(b, fit, classes)[at]})
+    for (fit, first, stop), held in jobs.items():
+        held.sort(key=lambda b: b["keys"].tobytes())    # the same order of rows in every run
+        codes, y, keys, weight = (np.concatenate([b[c] for b in held]) for c in ("codes", "y", "keys", "weight"))
+        by_column = np.ascontiguousarray(codes.T)
+        margin = np.full(len(codes), base[fit])
         for t in range(first, stop):
             g, h = gradients(p, t, y, weight, keys, margin)
-            tree = _grow_here(p, t, codes, g, h)
+            tree = _grow_here(p, t, codes, by_column, g, h)
             if not p.forest:
                 margin += p.rate * tree.values(codes)
             yield pa.RecordBatch.from_arrays([pa.array([fit], pa.int32()), pa.array([t], pa.int32()), pa.array([_pack_tree(tree)], pa.binary())],
                                              names=["fit", "tree", "nodes"])
 
 
-def _grow_here(p: TreeParams, number: int, codes: np.ndarray, g: np.ndarray, h: np.ndarray) -> Tree:
+def _grow_here(p: TreeParams, number: int, codes: np.ndarray, by_column: np.ndarray, g: np.ndarray, h: np.ndarray) -> Tree:
     growing = grow(p)
     tree, nodes, places = next(growing)
+    leaves = None
     while True:
-        slot = _slots(tree, nodes, codes, g, h)
-        allowed = np.stack([allowed_columns(p, codes.shape[1], number, i) for i in places])
-        found = best_splits(histograms(codes, slot, len(nodes), g, h), allowed, p)
+        leaves = tree.leaves(codes, leaves)
+        slot = _slots(tree, nodes, leaves, g, h)
+        columns = _columns(p, codes.shape[1], number, places)
+        found = best_splits(histograms(codes, slot, columns, g, h, by_column), columns, p)
         try:
             tree, nodes, places = growing.send(dict(zip(nodes, found)))
         except StopIteration as end:
@@ -373,6 +408,7 @@ class _Unit:
     number: int
     tree: Tree
     nodes: list[int]
+    places: list[int]
 
 
 def _fit_spread(coded: DataFrame, width: int, p: TreeParams, fits: list[int], classes, base) -> dict[int, list[Tree]]:
@@ -424,14 +460,16 @@ def _grow_spread(coded: DataFrame, width: int, p: TreeParams, units: list[tuple[
     growing = [grow(p) for _ in units]
     asked = {i: next(c) for i, c in enumerate(growing)}
     done: list[Tree | None] = [None] * len(units)
+    room = LEAVES_A_PASS * width // _columns_a_leaf(p, width)
     while asked:
         found: dict[int, dict[int, tuple]] = {i: {} for i in asked}
         wanted = [(i, n, place) for i, (_, nodes, places) in asked.items() for n, place in zip(nodes, places)]
-        for s in range(0, len(wanted), LEAVES_A_PASS):
-            part = wanted[s:s + LEAVES_A_PASS]
-            jobs = {i: _Unit(*units[i], asked[i][0], [n for j, n, _ in part if j == i]) for i in sorted({i for i, _, _ in part})}
+        for s in range(0, len(wanted), room):
+            part = wanted[s:s + room]
+            jobs = {i: _Unit(*units[i], asked[i][0], [n for j, n, _ in part if j == i], [o for j, _, o in part if j == i])
+                    for i in sorted({i for i, _, _ in part})}
             places = {(i, n): place for i, n, place in part}
-            sums = coded.mapInArrow(partial(_sum_histograms, p=p, jobs=jobs, classes=classes, boosted=boosted, width=width),
+            sums = coded.mapInArrow(partial(_sum_histograms, p=p, jobs=jobs, classes=classes, boosted=boosted),
                                     "unit int, node int, sums binary")
             reducers = min(len(part), coded.sparkSession.sparkContext.defaultParallelism)
             best = sums.repartition(reducers, "unit", "node").sortWithinPartitions("unit", "node").mapInArrow(
@@ -451,14 +489,17 @@ def _grow_spread(coded: DataFrame, width: int, p: TreeParams, units: list[tuple[
     return done
 
 
-def _sum_histograms(batches, p: TreeParams, jobs: dict[int, _Unit], classes, boosted, width: int):
+def _sum_histograms(batches, p: TreeParams, jobs: dict[int, _Unit], classes, boosted):
     total: dict[tuple[int, int], np.ndarray] = {}
     for b in B.each_block(batches):
         margins = _margins(b, boosted[0], p.rate, boosted[1]) if boosted else None
+        by_column = np.ascontiguousarray(b["codes"].T)
         for i, unit in jobs.items():
             g, h = gradients(p, unit.number, b["y"], _weights(b, unit.fit, classes), b["keys"],
                              None if margins is None else margins[boosted[0].index(unit.fit)])
-            hist = histograms(b["codes"], _slots(unit.tree, unit.nodes, b["codes"], g, h), len(unit.nodes), g, h)
+            columns = _columns(p, b["codes"].shape[1], unit.number, unit.places)
+            slot = _slots(unit.tree, unit.nodes, unit.tree.leaves(b["codes"]), g, h)
+            hist = histograms(b["codes"], slot, columns, g, h, by_column)
             for n, sums in zip(unit.nodes, hist):
                 total[i, n] = total[i, n] + sums if (i, n) in total else sums
     for (i, n), sums in total.items():
@@ -468,7 +509,7 @@ def _sum_histograms(batches, p: TreeParams, jobs: dict[int, _Unit], classes, boo
 
 def _settle(batches, p: TreeParams, width: int, numbers: dict[int, int], places: dict[tuple[int, int], int]):
     for (i, n), sums in B.add_up(batches, ["unit", "node"], "sums"):
-        allowed = allowed_columns(p, width, numbers[i], places[i, n])[None]
-        split = best_splits(sums.reshape(1, 3, width, MAX_BINS), allowed, p)[0]
+        columns = _columns(p, width, numbers[i], [places[i, n]])
+        split = best_splits(sums.reshape(1, 3, -1, MAX_BINS), columns, p)[0]
         yield pa.RecordBatch.from_pylist([{"unit": i, "node": n, "split": [float(v) for v in split]}], schema=pa.schema(
             [("unit", pa.int32()), ("node", pa.int32()), ("split", pa.list_(pa.float64()))]))

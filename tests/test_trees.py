@@ -185,3 +185,29 @@ def test_fused_folds_equal_separate_fits(spark, data):
         w = fused[k].weights
         slope = rows.T @ (s * (1 / (1 + np.exp(-rows @ w)) - own)) + np.append(w[:-1], 0.0)
         assert np.abs(slope).max() < 1e-6  # the optimum of the penalised loss
+
+
+def test_a_few_blocks_grow_beside_their_fits(spark, data, monkeypatch):
+    monkeypatch.setattr(T, "_fit_spread", lambda *_: pytest.fail("a Spark job for each step of growth"))
+    few = B.row_blocks(_frame(spark, data), FEATURES, "y", "id", "fold", [B.HELD_OUT, 0], block_rows=150)
+    assert 1 < few.blocks.count() <= T.BESIDE_BLOCKS
+    for params in (LEAFWISE, FOREST):
+        assert len(params.fit_all(few, [B.HELD_OUT])[B.HELD_OUT].trees) == params.rounds
+
+
+@pytest.mark.parametrize("params", [BOOSTED, LEAFWISE, FOREST], ids=["depth", "leaves", "forest"])
+def test_spread_sums_give_the_trees_grown_beside_the_blocks(whole, parts, params, monkeypatch):
+    monkeypatch.setattr(T, "LEAVES_A_PASS", 3)
+    monkeypatch.setattr(T, "COLUMN_ROWS", 20)
+    beside, spread = (T.fit_trees(parts, params, [B.HELD_OUT, 1], spread=how) for how in (False, True))
+    one = T.fit_trees(whole, params, [B.HELD_OUT, 1])
+    for k in beside:
+        assert [(t.feature, t.cut) for t in beside[k].trees] == [(t.feature, t.cut) for t in spread[k].trees] == [(t.feature, t.cut) for t in one[k].trees]
+
+
+def test_histograms_hold_the_allowed_columns_only():
+    rng = np.random.default_rng(3)
+    codes = rng.integers(0, 9, (300, 25)).astype(np.uint8)
+    columns = T._columns(FOREST, 25, 0, [1])
+    hist = T.histograms(codes, np.zeros(300, int), columns, rng.normal(size=300), np.ones(300))
+    assert columns.shape == (1, 5) and hist.shape == (1, 3, 5, T.MAX_BINS) and (hist[0, 2].sum(-1) == 300).all()
