@@ -14,6 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -199,6 +200,15 @@ def _lloyd(blocks: DataFrame, runs: list[np.ndarray], max_iter: int, tolerance:
     return list(zip(centres, inertia, sizes))
 
 
+def _nearest(centres: np.ndarray):
+    """A column function: the number of the nearest centre (first on ties) of an array of features."""
+    @F.pandas_udf("int")
+    def nearest(x: pd.Series) -> pd.Series:
+        rows = np.array(x.tolist(), np.float64).reshape(len(x), -1)
+        return pd.Series(((centres * centres).sum(1) - 2.0 * (rows @ centres.T)).argmin(1) if len(x) else [], dtype="int32")
+    return nearest
+
+
 def _best_kmeans(data: DataFrame, ks: Sequence[int], restarts: int, seed: int, max_iter: int) -> list[tuple[np.ndarray, float, np.ndarray]]:
     """Per k the least-inertia (centres, inertia, sizes) of ``restarts`` seeded runs; the runs of all ks share each pass over the rows."""
     first = [c for k in ks for c in _first_centres(data, k, restarts, seed)]
@@ -305,7 +315,7 @@ def kmeans_k_selection(df: DataFrame, cols: Sequence[str], k_range=KMEANS_K_RANG
     data = _vectors(named, cols).select("_id", *[quote(c) for c in cols], "features").cache()
     ks = list(range(k_range[0], k_range[1] + 1))
     for k, (centres, cost, _) in zip(ks, _best_kmeans(data.select("features"), ks, restarts, seed, max_iter)):
-        scored = assign_clusters(data, cols, centres, "prediction")
+        scored = data.withColumn("prediction", _nearest(centres)(vector_to_array("features")))
         squared = ClusteringEvaluator(featuresCol="features", predictionCol="prediction",
                                       distanceMeasure="squaredEuclidean").evaluate(scored)
         mean = silhouette_rows(scored, cols, "prediction", "_id", sample_size, seed).agg(F.avg("silhouette")).first()[0]

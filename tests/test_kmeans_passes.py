@@ -40,3 +40,9 @@ def test_a_centre_without_rows_stays(rows):
     far = np.array([[0.0, 0.0, 0.0], [1e6, 1e6, 1e6]])
     (centres, _, sizes), = C._lloyd(blocks, [far], 20)
     assert centres[1].tolist() == far[1].tolist() and sizes.tolist() == [400, 0]
+
+
+def test_nearest_centre_is_the_first_on_ties(spark):
+    near = C._nearest(np.array([[0.0, 0.0], [2.0, 0.0], [2.0, 0.0]]))
+    rows = spark.createDataFrame([(0, [1.0, 5.0]), (1, [1.5, 0.0]), (2, [0.5, 0.0])], "id int, x array<double>")
+    assert [r.k for r in rows.select("id", near("x").alias("k")).orderBy("id").collect()] == [0, 1, 0]
