@@ -19,8 +19,9 @@ node, so copies never meet each other.
    partner of smaller id, and exact Jaccard on full sets confirms or rejects it.
 5. Second round: tokens with further pairs (several blocks, or more partners
    than proposed) and several components so far.  Every pair of their blocks
-   is walked on the wider bitmaps, nodes inside one component are dropped, and
-   each remaining pair is confirmed exactly.  No token, member or pair is capped.
+   is walked on the wider bitmaps, nodes inside one component are dropped, a
+   pair leaves the walk at its first common token alone, and each remaining
+   pair is confirmed exactly.  No token, member or pair is capped.
 6. Components of all confirmed links, named by the smallest document id.
 
 ``need`` is the binomial 1e-9 tail of the k smallest hashes of a union, so a
@@ -123,7 +124,7 @@ class Forest:
     def __init__(self, sizes: np.ndarray, node: np.ndarray, n: np.ndarray, component: np.ndarray, bitmap: np.ndarray, k: int):
         block = np.repeat(np.arange(len(sizes)), sizes)
         order = np.lexsort((node, n, component, block))
-        self.node, words = node[order], bitmap[order].view(np.uint64)
+        self.order, self.node, words = order, node[order], bitmap[order].view(np.uint64)
         size, comp = n[order], component[order]
         excess = np.minimum(size, k) - np.bitwise_count(words).sum(1, dtype=np.int64)
         self.levels = [{"bits": words, "low": size, "high": size, "excess": excess, "first": comp, "last": comp}]
@@ -231,14 +232,28 @@ def _first_round(batches, percent: int, k: int, need: int):
              pa.concat_arrays([pa.nulls(len(found), pa.int64()), b.column("value").take(pa.array(more))])], names=["a", "b", "value"])
 
 
+def _earlier(column: pa.Array, forest: Forest) -> list[frozenset]:
+    """Each leaf's tokens before the one that gathers its block."""
+    tokens = column.flatten().field("earlier").to_pylist()
+    return [frozenset(tokens[p]) for p in forest.order.tolist()]
+
+
 def _second_round(batches, percent: int, k: int, need: int):
-    """All pairs (a < b) of different components in two blocks."""
+    """All pairs (a < b) of different components in two blocks of a token, but those that share an ``earlier`` one.
+
+    An earlier common token has settled its pair: closed ones proposed all
+    their pairs, those inside one component need none, the others are walked here.
+    """
     for b in _cut(_cut(batches, "members", 1 << 13), "others", 1 << 13):
         left, right = _members(b.column("members"), k), _members(b.column("others"), k)
+        before, behind = _earlier(b.column("members"), left), _earlier(b.column("others"), right)
+        itself = np.repeat(b.column("itself").to_numpy(zero_copy_only=False), np.diff(b.column("members").offsets.to_numpy()))
         for i, j, _ in walk(left, right, percent, k, need):
             x, y = left.node[i], right.node[j]
-            pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1)[x != y], axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            once = np.flatnonzero(np.where(itself[i], x < y, x != y))  # a block against itself meets each pair twice
+            first = [before[p].isdisjoint(behind[q]) for p, q in zip(i[once].tolist(), j[once].tolist())]
+            x, y = x[once][first], y[once][first]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, k: int = TOKENS) -> DataFrame:
@@ -269,8 +284,9 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     must = F.least(F.lit(need), F.ceil(F.col("n") * percent / 100))
     room = F.size("held") - must + 1  # tokens that no other set holds come first and are left out
     members = (ranked.join(sets.select("node", "n", "bitmap"), "node").withColumn("room", room.cast("int")).filter("room > 0")
-               .select("node", "n", "bitmap", F.explode(F.slice("held", F.lit(1), F.col("room"))).alias("v"))
-               .select(F.col("v.value").alias("value"), F.ceil(F.col("v.df") / BLOCK).cast("long").alias("blocks"), "node", "n", "bitmap")
+               .select("node", "n", "bitmap", "held", F.posexplode(F.slice("held", F.lit(1), F.col("room"))).alias("at", "v"))
+               .select(F.col("v.value").alias("value"), F.ceil(F.col("v.df") / BLOCK).cast("long").alias("blocks"), "node", "n", "bitmap",
+                       F.slice(F.col("held.value"), F.lit(1), F.col("at")).alias("earlier"))
                .withColumn("block", F.pmod(F.xxhash64("node", "value"), F.col("blocks"))))
     members = write_checkpoint_table(members, "members")
 
@@ -292,11 +308,12 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     mixed_blocks = write_checkpoint_table(
         open_members.join(mixed.select("value"), "value", "left_semi").join(sets.select("node", "fine"), "node")
                     .groupBy("value", "block", "blocks").agg(
-                        F.collect_list(F.struct("node", "n", "component", "fine")).alias("members")), "mixed-blocks")
+                        F.collect_list(F.struct("node", "n", "component", "fine", "earlier")).alias("members")), "mixed-blocks")
     walked = (mixed_blocks.withColumn("other", F.explode(F.expr("sequence(block, blocks - 1)")))
               .join(mixed_blocks.select("value", F.col("block").alias("other"), F.col("members").alias("others")), ["value", "other"])
-              .select("members", "others").mapInArrow(partial(_second_round, **fine), "a long, b long"))
-    rest = write_checkpoint_table(walked.distinct().join(proposed, ["a", "b"], "left_anti"), "second-round")
+              .select("members", "others", (F.col("block") == F.col("other")).alias("itself"))
+              .mapInArrow(partial(_second_round, **fine), "a long, b long"))
+    rest = write_checkpoint_table(walked.join(proposed, ["a", "b"], "left_anti"), "second-round")
     more = _verified(rest, base, sets, width, percent)
 
     parts = write_checkpoint_table(components(links.unionByName(more).unionByName(same_id_edges(scan, nodes))), "parts")

@@ -142,6 +142,19 @@ def test_join_of_an_empty_table(spark):
     assert S.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_second_round_gives_a_pair_at_its_first_common_token():
+    row = lambda node, component, earlier: {"node": node, "n": 3, "component": component,
+                                            "fine": np.array([1, 2, 3], np.uint16).tobytes(), "earlier": earlier}
+    one, two = [row(1, 1, []), row(2, 2, []), row(3, 1, [])], [row(1, 1, [10]), row(2, 2, [10]), row(4, 4, [])]
+    block = pa.list_(pa.struct([("node", pa.int64()), ("n", pa.int64()), ("component", pa.int64()), ("fine", pa.binary()),
+                                ("earlier", pa.list_(pa.int64()))]))
+    batch = lambda m, o, itself: pa.RecordBatch.from_arrays(
+        [pa.array([m], block), pa.array([o], block), pa.array([itself])], names=["members", "others", "itself"])
+    batches = [batch(one, one, True), batch(two, two, True), batch([row(5, 5, [10, 11])], two, False)]
+    got = [(r["a"], r["b"]) for b in S._second_round(batches, S.PERCENT, S.FINE, S.shared_tokens(S.FINE, S.PERCENT)) for r in b.to_pylist()]
+    assert sorted(got) == [(1, 2), (1, 4), (2, 3), (2, 4), (4, 5)]  # 1 and 2 once; 5 met 1 and 2 at token 10
+
+
 def test_walk_loses_no_pair():
     rng = np.random.default_rng(7)
     need = S.shared_tokens(S.TOKENS, S.PERCENT)
