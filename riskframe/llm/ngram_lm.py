@@ -1,10 +1,11 @@
 """Interpolated modified Kneser-Ney language model (operator 8).
 
 Tokens are the words of a text (A-Z folded) and one end mark.  Counting runs
-in Spark, one exchange for each order from the highest down: blocks of text
+in Spark.  A first exchange numbers the vocabulary: a word is sent as its part
+and place there.  Then one exchange for each order from the highest down: blocks of text
 send their distinct n-grams with counts, dealt by n-gram hash, so the commonest
 context's n-grams spread over all parts; each part merges them, stores a shard
-of sorted hashes and counts, and sends sums for the n-grams one word shorter
+of sorted hashes (six bytes each below 65,536 buckets), distinct rows of sums and a place among them for each hash, and sends sums for the n-grams one word shorter
 (as suffix: count and distinct predecessors; as context: followers' total and
 number by multiplicity), which the next exchange deals by their hash, down to
 the words.  Shards are plain ``.npy`` arrays in the shared folder; scoring
@@ -38,13 +39,12 @@ from riskframe.session import ensure_checkpoint_dir, write_checkpoint_table
 
 #: Hashes of the two marks; any fixed values that are not hashes of short words do.
 BEGIN, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES, BLOCK_WORDS = 16 << 20, 4 << 20
 CHARS_PER_PART = 12_000_000
 _PAIR = np.uint64(0xD1342543DE82EF95)
 #: Sums of an n-gram: count, distinct predecessors, and as a context followers' total, followers of 1, 2, more.
 STATS = ("c", "a", "t", "n1", "n2", "n3")
-_WIDE = ("c", "t")
-_SCHEMA = "part int, words binary, at array<binary>, " + ", ".join(f"{k} binary" for k in STATS) + ", facts array<long>"
+_SCHEMA = "part int, words binary, at array<binary>, kinds binary, kind binary, facts array<long>"
 
 
 def _gram_hash(grams: np.ndarray) -> np.ndarray:
@@ -67,17 +67,22 @@ def _tokens(column: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray, np.nd
     inner[ends] = False
     token[inner] = words
     place = np.arange(len(token)) - np.repeat(ends - size + 1, size)
-    grams = np.full((len(token), order), BEGIN, np.uint64)
+    return _grams(token, place, order, BEGIN), place, np.repeat(np.arange(n), size)
+
+
+def _grams(token: np.ndarray, place: np.ndarray, order: int, begin) -> np.ndarray:
+    """The n-gram that ends at each token, filled up with ``begin`` at the start of a row."""
+    grams = np.full((len(token), order), begin, token.dtype)
     grams[:, -1] = token
     for back in range(1, order):
         has = np.flatnonzero(place >= back)
         grams[has, order - 1 - back] = token[has - back]
-    return grams, place, np.repeat(np.arange(n), size)
+    return grams
 
 
-def _merge(grams: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Add up the sums of equal n-grams; sorted by hash."""
-    h = _gram_hash(grams)
+def _merge(words: np.ndarray, grams: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Add up the sums of equal n-grams (places among ``words``); sorted by hash."""
+    h = _gram_hash(words[grams])
     order = np.argsort(h, kind="stable")
     h = h[order]
     head = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
@@ -89,42 +94,123 @@ def _part_of(h: np.ndarray, parts: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def _deal(grams: np.ndarray, sums: np.ndarray, parts: int, facts: list[int]) -> pa.RecordBatch:
-    """Packed rows, one for each part: its words once, n-grams as places among them, sums as byte planes."""
-    h, grams, sums = _merge(grams, sums)
+def _pack(values: np.ndarray, dtype: str) -> bytes:
+    """Integers as byte planes, each compressed by itself: a plane has its own frequencies."""
+    planes = to_planes(values, dtype)
+    blobs = [pa.compress(planes[s:s + len(values)], codec="zstd", asbytes=True) for s in range(0, len(planes), max(len(values), 1))]
+    return np.array([len(values), *map(len, blobs)], "<u4").tobytes() + b"".join(blobs)
+
+
+def _unpack(blob: bytes, dtype: str) -> np.ndarray:
+    n, *sizes = np.frombuffer(blob, "<u4", 1 + np.dtype(dtype).itemsize).tolist()
+    ends = np.cumsum(sizes) + 4 + 4 * len(sizes)
+    return from_planes(b"".join(pa.decompress(blob[e - size:e], n, codec="zstd", asbytes=True) for e, size in zip(ends.tolist(), sizes)), dtype)
+
+
+def _vocabulary(batches, parts: int):
+    """Packed rows of a block's distinct words, one for each part of the vocabulary."""
+    def deal(held):
+        words = np.unique(np.concatenate([[BEGIN, END], *held]))
+        runs = edges(part := _part_of(words, parts))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([int(part[s]) for s, _ in runs], pa.int32()),
+             pa.array([_pack(np.diff(words[s:e], prepend=np.uint64(0)), "<u8") for s, e in runs], pa.binary())], names=["part", "words"])
+    held, size = [], 0
+    for b in slices(batches, "text"):
+        held.append(np.unique(word_hashes(b.column("text"), lower=True)[0]))
+        size += len(held[-1])
+        if size >= BLOCK_WORDS:
+            yield deal(held)
+            held, size = [], 0
+    if held:
+        yield deal(held)
+
+
+def _vocabulary_shard(part: int, rows: list[dict], folder: str) -> pa.RecordBatch:
+    words = np.unique(np.concatenate([np.cumsum(_unpack(r["words"], "<u8"), dtype=np.uint64) for r in rows]))
+    _store(folder, f"v-{part}", words)
+    return pa.RecordBatch.from_arrays([pa.array([len(words)], pa.int64())], names=["words"])
+
+
+def _codes(folder: str, parts: int, words: np.ndarray) -> np.ndarray:
+    """Part and place in the vocabulary of sorted words (all are in it); codes have the order of the words."""
+    out = np.empty(len(words), np.int64)
+    for s, e in edges(part := _part_of(words, parts)):
+        out[s:e] = (part[s] << 32) + np.searchsorted(np.load(f"{folder}/v-{part[s]}.npy", mmap_mode="r"), words[s:e])
+    return out
+
+
+def _words(folder: str, codes: np.ndarray) -> np.ndarray:
+    """Words of sorted codes."""
+    out = np.empty(len(codes), np.uint64)
+    for s, e in edges(part := codes >> 32):
+        out[s:e] = np.load(f"{folder}/v-{part[s]}.npy", mmap_mode="r")[codes[s:e] & 0xFFFFFFFF]
+    return out
+
+
+def _by_rank(codes: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(codes of the words in use, the most frequent first and sorted where equal; the place of each word of ``grams`` among them)."""
+    used, at, seen = np.unique(grams.ravel(), return_inverse=True, return_counts=True)
+    order = np.argsort(-seen, kind="stable")
+    rank = np.empty(len(used), np.int64)
+    rank[order] = np.arange(len(used))
+    return codes[used[order]], rank[at.reshape(grams.shape)]
+
+
+def _steps(at: np.ndarray) -> list[np.ndarray]:
+    """Columns of sorted n-grams as differences to the n-gram before, while all words before are the same."""
+    out, head = [], np.zeros(len(at), bool)
+    head[:1] = True
+    for x in at.T:
+        step = np.where(head, x, np.diff(x, prepend=0))
+        out.append(step)
+        head = head | (step != 0)
+    return out
+
+
+def _deal(words: np.ndarray, codes: np.ndarray, grams: np.ndarray, sums: np.ndarray, parts: int, facts: list[int]) -> pa.RecordBatch:
+    """Packed rows, one for each part: the codes of its words once, n-grams as places among them, distinct rows of sums (the missing ones are 0) and each n-gram's place among those."""
+    h, grams, sums = _merge(words, grams, sums)
+    sums = np.pad(sums, ((0, 0), (0, len(STATS) - sums.shape[1])))
     rows = []
     for s, e in edges(part := _part_of(h, parts)):
-        words, at = np.unique(grams[s:e].ravel(), return_inverse=True)
-        at = at.reshape(e - s, -1)
+        own, at = _by_rank(codes, grams[s:e])
         order = np.lexsort(at.T[::-1])
-        at = at[order]
-        at[:, 0] = np.diff(at[:, 0], prepend=0)
-        rows.append((int(part[s]), words.tobytes(), [to_planes(x, "<u4") for x in at.T],
-                     *(to_planes(sums[s:e, i][order], "<u8" if k in _WIDE else "<u4") for i, k in enumerate(STATS)),
+        kinds, kind = _kinds(sums[s:e])
+        rows.append((int(part[s]), _pack(np.diff(own, prepend=0), "<i8"), [_pack(x, "<u4") for x in _steps(at[order])],
+                     _pack(kinds.ravel(), "<i8"), _pack(kind[order], "<u4"),
                      facts if not rows else [0] * len(facts)))
     cols = list(zip(*rows))
     return pa.RecordBatch.from_arrays(
         [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.list_(pa.binary())),
          *(pa.array(x, pa.binary()) for x in cols[3:-1]), pa.array(cols[-1], pa.list_(pa.int64()))],
-        names=["part", "words", "at", *STATS, "facts"])
+        names=["part", "words", "at", "kinds", "kind", "facts"])
 
 
-def _undeal(r: dict) -> tuple[np.ndarray, np.ndarray]:
-    words, at = np.frombuffer(r["words"], np.uint64), [from_planes(x, "<u4").astype(np.int64) for x in r["at"]]
-    at[0] = np.cumsum(at[0])
-    return (np.stack([words[x] for x in at], axis=1),
-            np.stack([from_planes(r[k], "<u8" if k in _WIDE else "<u4").astype(np.int64) for k in STATS], axis=1))
+def _undeal(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, n-grams as places among them, sums) of a packed row."""
+    at = [_unpack(x, "<u4").astype(np.int64) for x in r["at"]]
+    head = np.zeros(len(at[0]), bool)  # where an n-gram's first words are not those of the one before
+    head[:1] = True
+    for x in at:
+        total = np.cumsum(x)
+        new, start = x != 0, np.maximum.accumulate(np.where(head, np.arange(len(x)), 0))
+        x[:] = total - (total - x)[start]
+        head |= new
+    kinds = _unpack(r["kinds"], "<i8").reshape(-1, len(STATS))
+    return np.cumsum(_unpack(r["words"], "<i8")), np.stack(at, axis=1), kinds[_unpack(r["kind"], "<u4")]
 
 
-def _count(batches, parts: int, order: int):
+def _count(batches, folder: str, parts: int, order: int):
     def deal(held):
-        grams = np.concatenate(held)
-        sums = np.zeros((len(grams), len(STATS)), np.int64)
-        sums[:, 0] = 1
-        return _deal(grams, sums, parts, [0] * (4 * order + 3))
+        token, place = map(np.concatenate, zip(*held))
+        words, at = np.unique(np.concatenate([[BEGIN], token]), return_inverse=True)
+        grams = _grams(at[1:], place, order, at[0])
+        return _deal(words, _codes(folder, parts, words), grams, np.ones((len(grams), 1), np.int64), parts, [0] * (4 * order + 3))
     held, size = [], 0
     for b in slices(batches, "text"):
-        held.append(_tokens(b.column("text"), order)[0])
+        grams, place, _ = _tokens(b.column("text"), 1)
+        held.append((grams[:, 0], place))
         size += b.column("text").nbytes
         if size >= BLOCK_BYTES:
             yield deal(held)
@@ -141,6 +227,48 @@ def _store(folder: str, name: str, array: np.ndarray) -> None:
     os.replace(path, f"{folder}/{name}.npy")
 
 
+def _store_hashes(folder: str, name: str, h: np.ndarray) -> None:
+    """Sorted hashes as 32 and 16 bits below their bucket, the first 16 bits, and the start of each bucket."""
+    first = int(h[0] >> np.uint64(48)) if len(h) else 0
+    top = (h >> np.uint64(48)).astype(np.int64) - first
+    _store(folder, name.format("b"), np.concatenate([[first], np.searchsorted(top, np.arange(top.max(initial=-1) + 2))]))
+    _store(folder, name.format("m"), (h >> np.uint64(16)).astype(np.uint32))
+    _store(folder, name.format("l"), h.astype(np.uint16))
+
+
+def _seek(folder: str, name: str, keys: np.ndarray) -> np.ndarray:
+    """Place of each sorted key among stored hashes, -1 where absent."""
+    buckets, mid, low = (np.load(f"{folder}/{name.format(x)}.npy", mmap_mode="r") for x in "bml")
+    out = np.full(len(keys), -1)
+    top = (keys >> np.uint64(48)).astype(np.int64) - buckets[0]
+    inside = np.flatnonzero((top >= 0) & (top < len(buckets) - 2))
+    lo, hi = buckets[top[inside] + 1], buckets[top[inside] + 2]
+    want, rest = (keys[inside] >> np.uint64(16)).astype(np.uint32), keys[inside].astype(np.uint16)
+    end = hi.copy()
+    for _ in range(int((hi - lo).max(initial=0)).bit_length()):
+        half = (lo + hi) >> 1
+        right = (lo < hi) & (mid[np.minimum(half, len(mid) - 1)] < want)
+        lo, hi = np.where(right, half + 1, lo), np.where(right | (lo >= hi), hi, half)
+    while len(inside):  # hashes of equal 48 bits stand side by side
+        same = (lo < end) & (mid[np.minimum(lo, len(mid) - 1)] == want)
+        inside, lo, end, want, rest = (x[same] for x in (inside, lo, end, want, rest))
+        hit = low[lo] == rest
+        out[inside[hit]] = lo[hit]
+        inside, lo, end, want, rest = (x[~hit] for x in (inside, lo + 1, end, want, rest))
+    return out
+
+
+def _kinds(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct rows, place of each row among them)."""
+    order = np.lexsort(table.T[::-1])
+    rows = table[order]
+    head = np.ones(len(rows), bool)
+    head[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+    at = np.empty(len(rows), np.int64)
+    at[order] = np.cumsum(head) - 1
+    return rows[head], at
+
+
 def _shard(part: int, rows: list[dict], folder: str, parts: int, k: int, order: int) -> pa.RecordBatch:
     """Merge a part's k-grams into a shard; return the sums of their suffixes and contexts, dealt by hash.
 
@@ -148,15 +276,22 @@ def _shard(part: int, rows: list[dict], folder: str, parts: int, k: int, order:
     number of distinct predecessors of all words.
     """
     facts = np.sum([r["facts"] for r in rows], axis=0)
-    h, grams, sums = _merge(*map(np.concatenate, zip(*map(_undeal, rows))))
-    begun = (grams[:, 0] == BEGIN) & (k > 1)
+    own, grams, sums = zip(*map(_undeal, rows))
+    codes = np.unique(np.concatenate(own))
+    words = _words(folder, codes)
+    h, grams, sums = _merge(words, np.concatenate([np.searchsorted(codes, o)[g] for o, g in zip(own, grams)]), np.concatenate(sums))
+    begin = words == BEGIN
+    begun = begin[grams[:, 0]] & (k > 1)
     # Padded with more than one BEGIN: an n-gram of a lower order on its way down.
-    whole = ~(begun & (grams[:, min(1, k - 1)] == BEGIN))
+    whole = ~(begun & begin[grams[:, min(1, k - 1)]])
     c, seen = sums[:, 0], sums[:, 0] > 0
     count = c if k == order else np.where(begun, c, sums[:, 1])
     table = np.column_stack([count, sums[:, 2:], c][:1 if k == order else 2 if k > 1 else 3])[whole]
-    _store(folder, f"{k}-h-{part}", h[whole])
-    _store(folder, f"{k}-s-{part}", table.astype(np.min_scalar_type(int(table.max(initial=0)))))
+    _store_hashes(folder, f"{k}-{{}}-{part}", h[whole])
+    # Few rows of sums differ: each is kept once, and a place for each n-gram.
+    kinds, at = _kinds(table)
+    _store(folder, f"{k}-s-{part}", kinds.astype(np.min_scalar_type(int(kinds.max(initial=0)))))
+    _store(folder, f"{k}-p-{part}", at.astype(np.min_scalar_type(max(len(kinds) - 1, 0))))
     facts[4 * k - 4:4 * k] += [int((count[whole & seen] == i).sum()) for i in (1, 2, 3, 4)]
     if k == 1:
         facts[-3:] += [int(c.sum()), int(seen.sum()), int(count.sum())]
@@ -164,7 +299,7 @@ def _shard(part: int, rows: list[dict], folder: str, parts: int, k: int, order:
     zero = np.zeros_like(c)
     after = np.stack([c, whole.astype(np.int64), zero, zero, zero, zero], axis=1)
     before = np.stack([zero, zero, count, count == 1, count == 2, count >= 3], axis=1)[whole]
-    return _deal(np.concatenate([grams[:, 1:], grams[whole, :-1]]), np.concatenate([after, before]), parts, facts.tolist())
+    return _deal(words, codes, np.concatenate([grams[:, 1:], grams[whole, :-1]]), np.concatenate([after, before]), parts, facts.tolist())
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -182,15 +317,12 @@ def _find(folder: str, k: int, parts: int, keys: np.ndarray, width: int) -> np.n
     """Sums of sorted distinct k-gram hashes from memory-mapped shards; 0 where absent (a missing shard is an empty one)."""
     out = np.zeros((len(keys), width), np.int64)
     for s, e in edges(part := _part_of(keys, parts)):
-        name = f"{folder}/{k}-h-{part[s]}.npy"
-        if not os.path.exists(name):
-            continue
-        have = np.load(name, mmap_mode="r")
-        if not len(have):
+        if not os.path.exists(f"{folder}/{k}-b-{part[s]}.npy"):
             continue
-        at = np.minimum(np.searchsorted(have, keys[s:e]), len(have) - 1)
-        hit = have[at] == keys[s:e]
-        out[s:e][hit] = np.load(f"{folder}/{k}-s-{part[s]}.npy", mmap_mode="r")[at[hit]]
+        at = _seek(folder, f"{k}-{{}}-{part[s]}", keys[s:e])
+        hit = at >= 0
+        place = np.load(f"{folder}/{k}-p-{part[s]}.npy", mmap_mode="r")[at[hit]]
+        out[s:e][hit] = np.load(f"{folder}/{k}-s-{part[s]}.npy", mmap_mode="r")[place]
     return out
 
 
@@ -254,7 +386,11 @@ def score_texts(docs: DataFrame, held_out=None, order: int = 2) -> DataFrame:
     chars = base.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars * order // (2 * CHARS_PER_PART)))
     folder = _model_folder(spark)
-    sums = base.filter(~F.col("held_out")).select("text").mapInArrow(partial(_count, parts=parts, order=order), _SCHEMA)
+    train = base.filter(~F.col("held_out")).select("text")
+    # Numbering the words first: n-grams are then sent as small numbers.
+    train.mapInArrow(partial(_vocabulary, parts=parts), "part int, words binary").repartition(parts, "part").sortWithinPartitions(
+        "part").mapInArrow(partial(by_part, settle=partial(_vocabulary_shard, folder=folder)), "words long").agg(F.sum("words")).first()
+    sums = train.mapInArrow(partial(_count, folder=folder, parts=parts, order=order), _SCHEMA)
     for k in range(order, 0, -1):
         sums = sums.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(
             partial(by_part, settle=partial(_shard, folder=folder, parts=parts, k=k, order=order)),

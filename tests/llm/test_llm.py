@@ -9,6 +9,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from riskframe.llm import (decontaminate, html_extract, near_dedup, ngram_lm, packing, pii, quality_classifier,
@@ -240,6 +242,33 @@ def test_language_model_of_higher_order(docs, order):
     assert ngram_lm.score_texts(docs.limit(0), order=order).count() == 0
 
 
+def test_language_model_shards_find_all_hashes_in_six_bytes(tmp_path):
+    rng = np.random.default_rng(3)
+    h = np.unique(np.concatenate([rng.integers(0, 1 << 64, 5000, np.uint64), (np.uint64(77) << np.uint64(50)) + np.arange(300, dtype=np.uint64)]))
+    have, none = h[::2], h[1::2]
+    ngram_lm._store_hashes(str(tmp_path), "2-{}-0", have)
+    assert ngram_lm._seek(str(tmp_path), "2-{}-0", have).tolist() == list(range(len(have)))
+    assert (ngram_lm._seek(str(tmp_path), "2-{}-0", none) == -1).all()
+    ngram_lm._store_hashes(str(tmp_path), "2-{}-1", have[:0])
+    assert (ngram_lm._seek(str(tmp_path), "2-{}-1", none) == -1).all()
+    assert sum((tmp_path / f"2-{x}-0.npy").stat().st_size for x in "ml") <= 6 * len(have) + 300
+
+
+def test_language_model_exchange_is_small(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    texts = pa.array([" ".join(f"w{w}" for w in rng.zipf(1.3, 300) % 50000) for _ in range(400)])
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    rows = [r for b in ngram_lm._vocabulary([batch], 4) for r in b.to_pylist()]
+    for part in range(4):
+        ngram_lm._vocabulary_shard(part, [r for r in rows if r["part"] == part], str(tmp_path))
+    sent = [r for b in ngram_lm._count([batch], str(tmp_path), 4, 3) for r in b.to_pylist()]
+    tokens = ngram_lm._tokens(texts, 3)[0]
+    size = sum(len(v) for r in sent for v in (r["words"], *r["at"], r["kinds"], r["kind"]))
+    assert size < 7 * len(np.unique(tokens, axis=0))  # eight bytes for each word and four for each place before
+    back = np.concatenate([ngram_lm._words(str(tmp_path), np.sort(o))[np.argsort(np.argsort(o))][g] for o, g, _ in map(ngram_lm._undeal, sent)])
+    assert (np.unique(back, axis=0) == np.unique(tokens, axis=0)).all()
+
+
 def test_decontaminate(spark, docs):
     item = " ".join(f"q{i}" for i in range(30))
     tests = spark.createDataFrame([(1, item), (2, "alpha beta gamma delta epsilon zeta eta"), (3, None), (4, "too short"), (None, item)],
