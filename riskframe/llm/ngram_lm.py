@@ -95,16 +95,18 @@ def _part_of(h: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _pack(values: np.ndarray, dtype: str) -> bytes:
-    """Integers as byte planes, each compressed by itself: a plane has its own frequencies."""
-    planes = to_planes(values, dtype)
-    blobs = [pa.compress(planes[s:s + len(values)], codec="zstd", asbytes=True) for s in range(0, len(planes), max(len(values), 1))]
+    """Integers as byte planes, each compressed by itself: a plane has its own frequencies, one of zeros takes nothing."""
+    planes, n = to_planes(values, dtype), len(values)
+    cut = [planes[s * n:s * n + n] for s in range(np.dtype(dtype).itemsize)]
+    blobs = [pa.compress(x, codec="zstd", asbytes=True) if x.count(0) < n else b"" for x in cut]
     return np.array([len(values), *map(len, blobs)], "<u4").tobytes() + b"".join(blobs)
 
 
 def _unpack(blob: bytes, dtype: str) -> np.ndarray:
     n, *sizes = np.frombuffer(blob, "<u4", 1 + np.dtype(dtype).itemsize).tolist()
     ends = np.cumsum(sizes) + 4 + 4 * len(sizes)
-    return from_planes(b"".join(pa.decompress(blob[e - size:e], n, codec="zstd", asbytes=True) for e, size in zip(ends.tolist(), sizes)), dtype)
+    return from_planes(b"".join(pa.decompress(blob[e - size:e], n, codec="zstd", asbytes=True) if size else bytes(n)
+                                for e, size in zip(ends.tolist(), sizes)), dtype)
 
 
 def _vocabulary(batches, parts: int):
