@@ -269,6 +269,48 @@ def test_language_model_exchange_is_small(spark, tmp_path):
     assert (np.unique(back, axis=0) == np.unique(tokens, axis=0)).all()
 
 
+def test_language_model_reads_each_shard_once_for_many_slices(tmp_path, monkeypatch):
+    texts = pa.array([" ".join(f"{w}{'x' * 2000}" for w in range(500)) for _ in range(7)] + [None, ""])
+    batch = pa.RecordBatch.from_arrays([texts, pa.array(range(9), pa.int64()), pa.array([False] * 9)], names=["text", "doc_id", "held_out"])
+    asked, find = [], ngram_lm._find
+    monkeypatch.setattr(ngram_lm, "_find", lambda folder, k, *a: asked.append(k) or find(folder, k, *a))
+    totals = {"types": 0, "vocab": 0, "tokens": 0, "a": (0, 0, 0), "d": [(0.5, 1.0, 1.5)] * 3}
+    rows = [r for b in ngram_lm._score([batch], str(tmp_path), 4, 3, totals) for r in b.to_pylist()]
+    assert asked == [1, 2, 3]  # seven slices of text, one walk over the shards of each order
+    assert [(r["doc_id"], r["n_tokens"], r["score"]) for r in rows] == [(i, 501 if i < 7 else 1, 0.0) for i in range(9)]
+
+
+def test_language_model_kinds_take_few_bits(tmp_path):
+    rng = np.random.default_rng(5)
+    for n, size in ((0, 0), (1, 1), (5000, 2), (100_000, 900), (100_000, 50_000)):
+        at = np.unique(np.minimum(rng.zipf(1.6, n), max(size, 1)), return_inverse=True)[1]
+        kinds = np.arange(3 * (at.max(initial=-1) + 1)).reshape(-1, 3)
+        ngram_lm._store_kinds(str(tmp_path), "2-{}-0", kinds, at)
+        table, asked = ngram_lm._map(str(tmp_path), "2-s-0").reshape(-1, 3), rng.permutation(n)
+        assert (table[ngram_lm._kinds_at(str(tmp_path), "2-{}-0", asked)] == kinds[at[asked]]).all()
+    kinds, at = np.arange(3000).reshape(-1, 3), np.where(rng.random(100_000) < 0.99, 0, rng.integers(0, 1000, 100_000))
+    ngram_lm._store_kinds(str(tmp_path), "2-{}-1", kinds, at)
+    assert sum((tmp_path / f"2-{x}-1.npy").stat().st_size for x in "px") < 0.4 * len(at)  # two bytes for each place before
+
+
+def test_language_model_merges_wide_keys():
+    rng = np.random.default_rng(6)
+    for top in (1, 50, 1 << 22, 1 << 30):  # the last two do not fit into one integer
+        grams = rng.choice(rng.integers(0, top, 40), (5000, 3)).astype(np.int32)
+        sums = [rng.integers(0, 1 << 40, 5000), rng.integers(0, 3, 5000).astype(np.uint8)]
+        want, inverse, seen = np.unique(grams, axis=0, return_inverse=True, return_counts=True)
+        got, (count,) = ngram_lm._merge(grams, None)
+        assert (got == want).all() and (count == seen).all()
+        got, totals = ngram_lm._merge(grams, sums)
+        for x, y in zip(sums, totals):
+            total = np.zeros(len(want), np.int64)
+            np.add.at(total, inverse, x)
+            assert (got == want).all() and (total == y).all()
+    h = np.r_[rng.integers(0, 1 << 64, 5000, np.uint64), np.arange(5000, dtype=np.uint64), np.arange(70, dtype=np.uint64)]
+    order, ordered = ngram_lm._order(h)
+    assert (ordered == np.sort(h)).all() and (h[order] == ordered).all() and len(set(order.tolist())) == len(h)
+
+
 def test_decontaminate(spark, docs):
     item = " ".join(f"q{i}" for i in range(30))
     tests = spark.createDataFrame([(1, item), (2, "alpha beta gamma delta epsilon zeta eta"), (3, None), (4, "too short"), (None, item)],
