@@ -13,9 +13,10 @@ reducer for each (fit, tree, leaf) adds them up and returns its best split
 only, so the driver sees one row per leaf.  Boosted margins are written with
 the blocks every ``MARGIN_ROUNDS`` rounds, between which the newest trees are
 applied on the fly.  Histograms are summed for the columns a leaf may split on
-only.  A table of up to ``BESIDE_BLOCKS`` blocks (of ``blocks.BLOCK_ROWS`` rows)
-has fewer bins than its trees have histograms and needs no sums across tasks:
-each fit's loop over the same functions then runs in a task that holds them.
+only.  A table whose bins fit a task (``BESIDE_BYTES``, or ``BESIDE_BLOCKS``
+blocks of ``blocks.BLOCK_ROWS`` rows) needs no sums across tasks: each fit then
+grows in a task that holds them, its rows in order of their leaves, and of two
+large sibling leaves it sums the smaller one and subtracts.
 
 Row samples and column samples come from hashes of the row's key and of the
 round, so a lost task draws the same ones again.
@@ -39,10 +40,11 @@ from riskframe.session import write_checkpoint_table
 MAX_BINS, MARGIN_ROUNDS = 255, 5
 #: Leaves whose histograms one pass sums (of all columns; more of fewer ones), and forest trees that grow side by side.
 LEAVES_A_PASS, TREES_A_PASS = 64, 16
-#: Up to this many blocks (131,072 rows) each fit grows in one task: its rows are then fewer numbers than the histograms of a tree's passes.
-BESIDE_BLOCKS = 8
-#: Rows of a leaf above which its histograms are summed column by column.
-COLUMN_ROWS = 4096
+#: Up to this many blocks (131,072 rows) or bytes of bins each fit grows in one task, which holds them twice and about 15 numbers a row:
+#: 2 million rows of 32 columns take some 350 MB.  Beyond, a pass of Spark stages is paid for each step of growth.
+BESIDE_BLOCKS, BESIDE_BYTES = 8, 64 << 20
+#: Rows of a leaf above which its histograms are summed column by column; bins of several columns together that are summed as one column's.
+COLUMN_ROWS, BUNDLE_BINS = 4096, 1024
 
 
 @dataclass(frozen=True)
@@ -316,7 +318,7 @@ def _slots(tree: Tree, nodes: list[int], leaves: np.ndarray, g: np.ndarray, h: n
 # ---------------------------------------------------------------- fits
 
 def fit_trees(table: B.RowBlocks, p: TreeParams, fits: Sequence[int], spread: bool | None = None) -> dict[int, Ensemble]:
-    """One ensemble per fit.  ``spread``: sum over the blocks of many tasks (by default above ``BESIDE_BLOCKS`` blocks)."""
+    """One ensemble per fit.  ``spread``: sum over the blocks of many tasks (by default where one task cannot hold the bins)."""
     cuts = table.cuts(MAX_BINS)
     counts = table.counts()
     classes = {k: B.class_weights(counts[k], p.weight_scheme, p.positive_weight) for k in fits}
@@ -328,7 +330,8 @@ def fit_trees(table: B.RowBlocks, p: TreeParams, fits: Sequence[int], spread: bo
     coded = write_checkpoint_table(table.blocks.select("keys", "y", "fold", "x").mapInArrow(
         partial(_bin, cuts=cuts), "keys binary, y binary, fold binary, codes binary"), "binned")
     if spread is None:
-        spread = coded.count() > BESIDE_BLOCKS
+        size = coded.agg(F.count(F.lit(1)).alias("blocks"), F.coalesce(F.sum(F.length("fold")), F.lit(0)).alias("folds")).first()
+        spread = size.blocks > BESIDE_BLOCKS and size.folds // np.dtype(np.int32).itemsize * len(cuts) > BESIDE_BYTES
     trees = (_fit_spread if spread else _fit_beside)(coded, len(cuts), p, list(fits), classes, base)
     return {k: Ensemble(table.features, cuts, trees[k], base[k], p) for k in fits}
 
@@ -374,30 +377,132 @@ def _grow_blocks(batches, p: TreeParams, classes, base):
     for (fit, first, stop), held in jobs.items():
         held.sort(key=lambda b: b["keys"].tobytes())    # the same order of rows in every run
         codes, y, keys, weight = (np.concatenate([b[c] for b in held]) for c in ("codes", "y", "keys", "weight"))
-        by_column = np.ascontiguousarray(codes.T)
+        held.clear()
+        bins = _Bins(codes)
         margin = np.full(len(codes), base[fit])
         for t in range(first, stop):
             g, h = gradients(p, t, y, weight, keys, margin)
-            tree = _grow_here(p, t, codes, by_column, g, h)
-            if not p.forest:
-                margin += p.rate * tree.values(codes)
+            tree = _grow_here(p, t, bins, g, h, None if p.forest else margin)
             yield pa.RecordBatch.from_arrays([pa.array([fit], pa.int32()), pa.array([t], pa.int32()), pa.array([_pack_tree(tree)], pa.binary())],
                                              names=["fit", "tree", "nodes"])
 
 
-def _grow_here(p: TreeParams, number: int, codes: np.ndarray, by_column: np.ndarray, g: np.ndarray, h: np.ndarray) -> Tree:
+class _Bins:
+    """Bins of the rows that a task holds, row by row, column by column, and in bundles.
+
+    A bundle is the joint bin of several columns that have few bins together:
+    sums per joint bin are added up to those of each of its columns.
+    """
+
+    def __init__(self, codes: np.ndarray):
+        self.codes, self.by_column = codes, np.ascontiguousarray(codes.T)
+        counts = (codes.max(0).astype(int) + 1) if len(codes) else np.ones(codes.shape[1], int)
+        self.bundles, now, size = [], [], 1
+        for f in sorted(np.flatnonzero(counts <= BUNDLE_BINS // 2).tolist(), key=lambda f: (counts[f], f)):
+            if now and size * counts[f] > BUNDLE_BINS:
+                self._close(now, counts)
+                now, size = [], 1
+            now.append(f)
+            size *= counts[f]
+        self._close(now, counts)
+
+    def _close(self, columns: list[int], counts: np.ndarray) -> None:
+        if len(columns) < 2:
+            return
+        joint, size, parts = np.zeros(len(self.codes), np.uint16), 1, []
+        for f in columns:
+            joint += self.by_column[f] * np.uint16(size)
+            parts.append((f, size, int(counts[f])))
+            size *= int(counts[f])
+        # For each column the 0/1 matrix from joint bins to its own.
+        self.bundles.append((joint, size, {f: np.eye(n)[np.arange(size) // step % n] for f, step, n in parts}))
+
+    def sums(self, at: np.ndarray, columns: np.ndarray, g: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """Sums of (gradient, Hessian, rows) per (column, bin) over the rows ``at``."""
+        width = len(columns)
+        g, h = g[at], h[at]
+        if len(at) <= COLUMN_ROWS:
+            key = (self.codes[at[:, None], columns] + np.arange(width, dtype=np.int64) * MAX_BINS).ravel()
+            return np.stack(_counted(key, np.repeat(g, width), np.repeat(h, width), width * MAX_BINS)).reshape(3, width, MAX_BINS)
+        out = np.zeros((3, width, MAX_BINS))
+        place = {f: i for i, f in enumerate(columns.tolist())}
+        for joint, size, members in self.bundles:
+            if len(asked := [f for f in members if f in place]) > 1:
+                found = np.stack(_counted(joint[at].astype(np.int64), g, h, size))
+                for f in asked:
+                    out[:, place.pop(f), :members[f].shape[1]] = found @ members[f]
+        for f, i in place.items():
+            out[:, i] = _counted(self.by_column[f][at].astype(np.int64), g, h, MAX_BINS)
+        return out
+
+
+def _counted(key: np.ndarray, g: np.ndarray, h: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    return np.bincount(key, g, minlength=size), np.bincount(key, h, minlength=size), np.bincount(key, minlength=size)
+
+
+def _grow_here(p: TreeParams, number: int, bins: _Bins, g: np.ndarray, h: np.ndarray, margin: np.ndarray | None = None) -> Tree:
+    """One tree over rows that this task holds; its values times the rate are added to ``margin``."""
+    drawn = (h > 0) | (g != 0)
+    # Drawn rows, and for the margins the others, in order of their nodes: a node's rows stand between its two marks.
+    orders = [np.flatnonzero(drawn)] + ([] if margin is None else [np.flatnonzero(~drawn)])
+    marks = {0: [(0, len(o)) for o in orders]}
+    divided: set[int] = set()
+    sums: dict[int, np.ndarray] = {}
+
+    def divide():
+        for n in range(len(seen.left)):
+            if seen.left[n] >= 0 and n not in divided:
+                divided.add(n)
+                column, cut = bins.by_column[seen.feature[n]], seen.cut[n]
+                children = seen.left[n], seen.right[n]
+                for child in children:
+                    marks[child] = []
+                for order, (start, end) in zip(orders, marks[n]):
+                    at = order[start:end]
+                    left = column[at] <= cut
+                    middle = start + int(np.count_nonzero(left))
+                    order[start:middle], order[middle:end] = at.compress(left), at.compress(~left)
+                    marks[children[0]].append((start, middle))
+                    marks[children[1]].append((middle, end))
+
+    def summed(n, columns):
+        start, end = marks[n][0]
+        return bins.sums(orders[0][start:end], columns, g, h)
+
     growing = grow(p)
-    tree, nodes, places = next(growing)
-    leaves = None
+    seen, nodes, places = next(growing)
     while True:
-        leaves = tree.leaves(codes, leaves)
-        slot = _slots(tree, nodes, leaves, g, h)
-        columns = _columns(p, codes.shape[1], number, places)
-        found = best_splits(histograms(codes, slot, columns, g, h, by_column), columns, p)
+        divide()
+        columns = _columns(p, bins.codes.shape[1], number, places)
+        hist = np.empty((len(nodes), 3, columns.shape[1], MAX_BINS))
+        above = {child: n for n in sums if seen.left[n] >= 0 for child in (seen.left[n], seen.right[n])}
+        place = {n: i for i, n in enumerate(nodes)}
+        for i, n in enumerate(nodes):
+            if n not in above:
+                hist[i] = summed(n, columns[i])
+        for n in {above[n] for n in nodes if n in above}:
+            few, many = sorted((seen.left[n], seen.right[n]), key=lambda c: marks[c][0][1] - marks[c][0][0])
+            hist[place[few]] = summed(few, columns[place[few]])
+            # Rows are whole numbers; a bin without rows gets exact zeros, so that cuts on its two sides gain the same.
+            hist[place[many]] = np.where((rest := sums.pop(n) - hist[place[few]])[2] > 0, rest, 0.0)
+        if not p.forest:    # all leaves of a tree have the same columns
+            sums.update((n, hist[i].copy()) for i, n in enumerate(nodes) if marks[n][0][1] - marks[n][0][0] > COLUMN_ROWS)
+        found = [split for s in range(0, len(nodes), 32) for split in best_splits(hist[s:s + 32], columns[s:s + 32], p)]
         try:
-            tree, nodes, places = growing.send(dict(zip(nodes, found)))
+            seen, nodes, places = growing.send(dict(zip(nodes, found)))
         except StopIteration as end:
-            return end.value
+            tree = end.value
+            break
+    if margin is not None:
+        divide()
+        todo = [(0, 0)]
+        for node, old in todo:
+            if tree.left[node] >= 0:
+                todo += [(tree.left[node], seen.left[old]), (tree.right[node], seen.right[old])]
+            else:
+                for order, (start, end) in zip(orders, marks[old]):
+                    margin[order[start:end]] += p.rate * tree.value[node]
+    return tree
 
 
 @dataclass(frozen=True)

@@ -211,3 +211,37 @@ def test_histograms_hold_the_allowed_columns_only():
     columns = T._columns(FOREST, 25, 0, [1])
     hist = T.histograms(codes, np.zeros(300, int), columns, rng.normal(size=300), np.ones(300))
     assert columns.shape == (1, 5) and hist.shape == (1, 3, 5, T.MAX_BINS) and (hist[0, 2].sum(-1) == 300).all()
+
+
+def _leaf_values(params, number, bins, g, h):
+    margin = np.zeros(len(g))
+    return T._grow_here(params, number, bins, g, h, margin), margin
+
+
+@pytest.mark.parametrize("params", [BOOSTED, LEAFWISE], ids=["depth", "leaves"])
+def test_subtracted_and_bundled_sums_give_the_trees_of_direct_ones(params, monkeypatch):
+    rng = np.random.default_rng(4)
+    codes = np.stack([rng.integers(1, k, 3000) for k in (3, 250, 4, 90, 2, 6, 8)], 1).astype(np.uint8)
+    g, h = rng.normal(size=3000) + (codes[:, 1] > 99) * (codes[:, 0] - 1.0), rng.random(3000)
+    g[::7] = h[::7] = 0.0
+    bins = T._Bins(codes)
+    assert max(len(members) for _, _, members in bins.bundles) > 1
+    direct, margin = _leaf_values(params, 0, bins, g, h)
+    monkeypatch.setattr(T, "COLUMN_ROWS", 30)
+    columns = T._columns(params, 7, 0, [1])
+    at = np.flatnonzero(h)
+    assert bins.sums(at, columns[0], g, h) == pytest.approx(T.histograms(codes, np.where(h > 0, 0, -1), columns, g, h)[0], abs=1e-9)
+    for tree, values in ((direct, margin), _leaf_values(params, 0, bins, g, h)):
+        assert (tree.feature, tree.cut) == (direct.feature, direct.cut) and len(tree.left) > 9
+        assert values == pytest.approx(params.rate * tree.values(codes), abs=1e-9)
+
+
+def test_many_blocks_grow_beside_their_fits_while_their_bins_fit_a_task(spark, data, monkeypatch):
+    monkeypatch.setattr(T, "_fit_spread", lambda *_: pytest.fail("a Spark job for each step of growth"))
+    many = B.row_blocks(_frame(spark, data), FEATURES, "y", "id", "fold", [B.HELD_OUT, 0], block_rows=30)
+    assert many.blocks.count() > T.BESIDE_BLOCKS
+    for params in (BOOSTED, LEAFWISE, FOREST):
+        assert len(params.fit_all(many, [B.HELD_OUT])[B.HELD_OUT].trees) == params.rounds
+    monkeypatch.setattr(T, "_fit_spread", lambda coded, width, p, fits, *_: {k: [] for k in fits})
+    monkeypatch.setattr(T, "BESIDE_BYTES", 500 * 5 - 1)
+    assert LEAFWISE.fit_all(many, [B.HELD_OUT])[B.HELD_OUT].trees == []
