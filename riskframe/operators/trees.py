@@ -353,8 +353,8 @@ def _unpack_tree(packed: bytes) -> Tree:
 def _fit_beside(coded: DataFrame, width: int, p: TreeParams, fits: list[int], classes, base) -> dict[int, list[Tree]]:
     """The table is a few blocks: each fit (of a forest, each run of its trees) grows in a task of its own."""
     step = max(p.rounds, 1)
-    if p.forest:    # about two tasks a core
-        step = max(TREES_A_PASS, -(-p.rounds * len(fits) // (2 * coded.sparkSession.sparkContext.defaultParallelism)))
+    if p.forest:    # about four tasks a core, so that the last of them end together
+        step = max(TREES_A_PASS, -(-p.rounds * len(fits) // (4 * coded.sparkSession.sparkContext.defaultParallelism)))
     jobs = [(k, t, min(t + step, p.rounds)) for k in fits for t in range(0, p.rounds, step)]
     dealt = coded.withColumn("job", F.explode(F.array(*[F.struct(F.lit(i).alias("at"), F.lit(k).alias("fit"), F.lit(s).alias("first"),
                                                                 F.lit(e).alias("stop")) for i, (k, s, e) in enumerate(jobs)])))
