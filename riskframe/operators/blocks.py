@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import partial
+from threading import Lock
 
 import numpy as np
 import pyarrow as pa
@@ -108,6 +109,7 @@ class RowBlocks:
     fits: tuple[int, ...]
     _counts: dict[int, tuple[int, int]] | None = None
     _cuts: dict[int, list[np.ndarray]] = field(default_factory=dict)
+    _once: Lock = field(default_factory=Lock, repr=False)     # models that are fitted side by side wait for the same cuts
 
     def counts(self) -> dict[int, tuple[int, int]]:
         """(rows of class 0, rows of class 1) that each fit learns from; counted once."""
@@ -120,16 +122,17 @@ class RowBlocks:
 
     def cuts(self, bins: int) -> list[np.ndarray]:
         """At most ``bins`` - 2 rising cut values per feature: approximate quantiles of the training rows, values that occur."""
-        if bins not in self._cuts:
-            train = self.rows.where(F.col(quote(self.fold)) != HELD_OUT)
-            probs, found = [(i + 1) / (bins - 1) for i in range(bins - 2)], []
-            for s in range(0, len(self.features), 50):  # wide aggregates in pieces that still compile
-                values = [F.col(quote(f)).cast("double") for f in self.features[s:s + 50]]
-                row = train.agg(*[F.percentile_approx(F.when(~F.isnan(v), v), probs, 20 * bins).alias(f"c{i}")
-                                  for i, v in enumerate(values)]).first()
-                found += [np.unique(np.array(c or [], np.float64) + 0.0) for c in row]
-            self._cuts[bins] = found
-        return self._cuts[bins]
+        with self._once:
+            if bins not in self._cuts:
+                train = self.rows.where(F.col(quote(self.fold)) != HELD_OUT)
+                probs, found = [(i + 1) / (bins - 1) for i in range(bins - 2)], []
+                for s in range(0, len(self.features), 50):  # wide aggregates in pieces that still compile
+                    values = [F.col(quote(f)).cast("double") for f in self.features[s:s + 50]]
+                    row = train.agg(*[F.percentile_approx(F.when(~F.isnan(v), v), probs, 20 * bins).alias(f"c{i}")
+                                      for i, v in enumerate(values)]).first()
+                    found += [np.unique(np.array(c or [], np.float64) + 0.0) for c in row]
+                self._cuts[bins] = found
+            return self._cuts[bins]
 
 
 def row_blocks(df: DataFrame, features: Sequence[str], target: str, id_col: str, fold: str, fits: Sequence[int],

@@ -1,5 +1,7 @@
 """Histogram trees and fold-fused logistic regression against plain numpy."""
 
+from multiprocessing.pool import ThreadPool
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -245,3 +247,11 @@ def test_many_blocks_grow_beside_their_fits_while_their_bins_fit_a_task(spark, d
     monkeypatch.setattr(T, "_fit_spread", lambda coded, width, p, fits, *_: {k: [] for k in fits})
     monkeypatch.setattr(T, "BESIDE_BYTES", 500 * 5 - 1)
     assert LEAFWISE.fit_all(many, [B.HELD_OUT])[B.HELD_OUT].trees == []
+
+
+def test_models_fitted_side_by_side_share_the_cuts(spark, data):
+    table = B.row_blocks(_frame(spark, data), FEATURES, "y", "id", "fold", [B.HELD_OUT, 0])
+    with ThreadPool(3) as pool:
+        found = pool.map(table.cuts, [T.MAX_BINS] * 3, chunksize=1)
+    assert all(cuts is found[0] for cuts in found)
+
