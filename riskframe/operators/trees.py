@@ -40,8 +40,8 @@ from riskframe.session import write_checkpoint_table
 MAX_BINS, MARGIN_ROUNDS = 255, 5
 #: Leaves whose histograms one pass sums (of all columns; more of fewer ones), and forest trees that grow side by side.
 LEAVES_A_PASS, TREES_A_PASS = 64, 16
-#: Up to this many blocks (131,072 rows) or bytes of bins each fit grows in one task, which holds them twice and about 15 numbers a row:
-#: 2 million rows of 32 columns take some 350 MB.  Beyond, a pass of Spark stages is paid for each step of growth.
+#: Up to this many blocks (131,072 rows) or bytes of bins each fit grows in one task, which holds them twice beside some numbers a row
+#: (a worker took 254 MB for 900,000 rows of 34 columns).  Beyond, a pass of Spark stages is paid for each step of growth.
 BESIDE_BLOCKS, BESIDE_BYTES = 8, 64 << 20
 #: Rows of a leaf above which its histograms are summed column by column; bins of several columns together that are summed as one column's.
 COLUMN_ROWS, BUNDLE_BINS = 4096, 1024
